@@ -1,0 +1 @@
+"""Writers: files, keyed tables with replace-on-key, the batch lake, messages, exports."""

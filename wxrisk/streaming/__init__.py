@@ -1,0 +1 @@
+"""Structured Streaming pipelines and their per-batch sinks."""
