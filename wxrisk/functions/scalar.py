@@ -40,9 +40,9 @@ def clamp01(value: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), value))
 
 
-def steady(value: Column, digits: int) -> Column:
+def steady(value: Column, digits: int, guard: int = 6) -> Column:
     """Round twice, so that the order of a floating-point sum cannot tip the last digit."""
-    return F.round(F.round(value, digits + 6), digits)
+    return F.round(F.round(value, digits + guard), digits)
 
 
 def pick(df: DataFrame, *names: str, default=None) -> Column:

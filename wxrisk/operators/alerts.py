@@ -59,7 +59,7 @@ def alert_totals(df: DataFrame, by=(), temp: str = "MaxTemp_2m", precip: str = "
     """Records and alerts; with ``exclusive`` a hot day is not also counted as a flood day."""
     hot, wet = holds(F.col(temp) > K.HOT_ABOVE), holds(F.col(precip) > K.WET_ABOVE)
     return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_records"),
+        F.count("*").alias("total_records"),
         F.count_if(hot).alias("heatwave_alerts"),
         F.count_if(wet & ~hot if exclusive else wet).alias("flood_alerts"),
     )

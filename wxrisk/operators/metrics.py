@@ -83,7 +83,7 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 def scoring_summary(df: DataFrame, prediction: str = "prediction", actual: str | None = "actual") -> DataFrame:
     """Rows, positive and negative decisions and, where labels exist, the share that is right."""
     said = F.col(prediction)
-    parts = [F.count(F.lit(1)).alias("total"), F.sum(said).alias("positives"),
+    parts = [F.count("*").alias("total"), F.sum(said).alias("positives"),
              F.count_if(said == 0).alias("negatives")]
     if actual and actual in df.columns:
         parts.append(F.avg((said == F.col(actual)).cast("int")).alias("accuracy"))

@@ -34,7 +34,7 @@ def group_quantiles(
         df.select(*group, F.explode(pairs).alias("_p"))
         .select(*group, "_p.metric", "_p.v")
         .filter(F.col("v").isNotNull())
-        .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*keys, "v").agg(F.count("*").alias("n"))
     )
     counted = stage(counted, "value-counts")
     ranked = running(

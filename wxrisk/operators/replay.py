@@ -29,7 +29,7 @@ def round_robin_batches(df: DataFrame, size: int = 10, *, key: str = "District",
     own round. The rounds are counted first, so no task sorts the whole table.
     """
     placed = with_position(df, key, order)
-    rounds = placed.groupBy(POSITION).agg(F.count(F.lit(1)).alias("_in_round"))
+    rounds = placed.groupBy(POSITION).agg(F.count("*").alias("_in_round"))
     before = running(rounds, [], POSITION, {"_before": ("sum", "_in_round")}, before=True)
     rank = F.row_number().over(W.partitionBy(POSITION).orderBy(key))
     return (
@@ -46,7 +46,7 @@ def row_range(df: DataFrame, start: int, end: int, *, key: str, order: str) -> D
     Stands for "the first ``end`` rows without the first ``start``" in one pass.
     """
     placed = with_position(df, key, order)
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = df.groupBy(key).agg(F.count("*").alias("_size"))
     offsets = running(sizes, [], key, {"_offset": ("sum", "_size")}, before=True).select(key, "_offset")
     place = F.col("_offset") + F.col(POSITION)
     return (
@@ -63,5 +63,5 @@ def prefix_difference(df: DataFrame, start: int, end: int, *order: str) -> DataF
 def progress_by_batch(batched: DataFrame, by: str = "batch") -> DataFrame:
     """Rows and distinct districts delivered by each batch."""
     return batched.groupBy(by).agg(
-        F.count(F.lit(1)).alias("records"), F.count_distinct("District").alias("districts")
+        F.count("*").alias("records"), F.count_distinct("District").alias("districts")
     )

@@ -36,7 +36,7 @@ def with_position(
     tie = F.xxhash64(*df.columns)
     slotted = df.withColumn(_SLOT, F.year(order) if slot is None else slot)
     inside = W.partitionBy(key, _SLOT).orderBy(order, tie)
-    counts = slotted.groupBy(key, _SLOT).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = slotted.groupBy(key, _SLOT).agg(F.count("*").alias("_rows"))
     earlier = W.partitionBy(key).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select(key, _SLOT, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     numbered = slotted.withColumn("_place", F.row_number().over(inside))

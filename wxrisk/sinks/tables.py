@@ -25,7 +25,7 @@ def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame
 def _committed(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was completed."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.sparkContext().hadoopConfiguration()).exists(marker)
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

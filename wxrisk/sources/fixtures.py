@@ -59,7 +59,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("Date"),
         "l_quantity", "l_returnflag", "l_linenumber", "l_discount",
     )
-    lines = F.count(F.lit(1))
+    lines = F.count("*")
     season = F.abs(F.dayofyear("Date") - 182) / F.lit(12.0)
     return (
         items.groupBy("District", "Date")

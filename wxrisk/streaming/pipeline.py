@@ -33,7 +33,7 @@ def checkpoint_location(spark: SparkSession, preferred: str | None, fallback: st
     if preferred:
         try:
             path = spark._jvm.org.apache.hadoop.fs.Path(preferred)
-            files = path.getFileSystem(spark._jsc.sparkContext().hadoopConfiguration())
+            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
             if files.exists(path) or files.mkdirs(path):
                 return preferred
         except Exception:  # file system unknown or unreachable
@@ -134,7 +134,7 @@ def counter_stream(rows: DataFrame, time: str = "fetch_time", late: str = "2 hou
     """
     hour = F.window(time, "1 hour")
     counted = rows.withWatermark(time, late).groupBy(hour.alias("w"), "district").agg(
-        F.count(F.lit(1)).alias("record_count")
+        F.count("*").alias("record_count")
     )
     start_time = F.col("w.start")
     return counted.select(
