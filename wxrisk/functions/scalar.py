@@ -66,3 +66,13 @@ def short_time(epoch_seconds: Column, missing: str) -> Column:
     """HH:mm of an epoch value; zero or NULL gives ``missing``."""
     shown = F.date_format(F.timestamp_seconds(epoch_seconds), "HH:mm")
     return F.when(holds(epoch_seconds != 0), shown).otherwise(F.lit(missing))
+
+
+def parsed_once(value: Column, name: str) -> Column:
+    """A select item that is computed once per row, however its parts are used later.
+
+    The optimizer copies an ordinary expression into every filter that uses it;
+    for a JSON parse that means one more parse per use. It does not copy a
+    generator's output.
+    """
+    return F.explode(F.array(value)).alias(name)

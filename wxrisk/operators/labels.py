@@ -19,12 +19,26 @@ from wxrisk.operators.series import BLOCK, BLOCK_ROWS, POSITION, Blocks, in_bloc
 from wxrisk.session import unstaged
 
 RAIN_OVERLAP = 6
+BLOCKS_PER_PIECE = 4096
+
+HEAT_LIMITS = {"heat_limit": ("MaxTemp_2m", K.HEAT_QUANTILE)}
+FLOOD_LIMITS = {
+    "precip_p99": ("precip_1d", K.RAIN_1D_QUANTILE),
+    "precip3_p98": ("precip_3d", K.RAIN_3D_QUANTILE),
+    "wet_limit": ("RH_2m_filled", K.WET_QUANTILE),
+}
+
+
+def _newest(condition: Column, *parts: str) -> Column:
+    """Aggregate: the struct of ``parts`` with the highest first part where ``condition`` holds."""
+    return F.max(F.when(condition, F.struct(*parts)))
 
 
 def _carry(summary: DataFrame, key: str, column: str) -> DataFrame:
     """Per block: the newest non-NULL ``column`` of earlier blocks of the same series."""
     stamped = summary.withColumn("_mark", F.when(F.col(column).isNotNull(), F.struct(BLOCK, column)))
-    carried = running(stamped, [key], BLOCK, {"_seen": ("max", "_mark")}, before=True)
+    piece = F.floor(F.col(BLOCK) / BLOCKS_PER_PIECE)
+    carried = running(stamped, [key], BLOCK, {"_seen": ("max", "_mark")}, before=True, piece=piece)
     return carried.select(key, BLOCK, F.col("_seen")[column].alias("_carried"))
 
 
@@ -38,56 +52,52 @@ def rain_windows(blocks: Blocks, precip: str = "Precip") -> Blocks:
     })
 
 
-def fill_humidity(
-    blocks: Blocks, column: str = "RH_2m", name: str = "RH_2m_filled", scope: str = "table",
-    stage=unstaged,
-) -> Blocks:
-    """Forward fill, then backward fill.
+def known_humidity(blocks: Blocks, column: str = "RH_2m") -> Blocks:
+    """Adds ``_known``: the last value up to and with each day, as far as its block reaches back."""
+    return blocks.with_columns({"_known": F.last(column, ignorenulls=True).over(blocks.so_far())})
+
+
+def fill_humidity(blocks: Blocks, column: str = "RH_2m", name: str = "RH_2m_filled",
+                  scope: str = "table") -> Blocks:
+    """Forward fill, then backward fill; needs ``_known``.
 
     With ``scope="table"`` the fill runs over the table sorted by district and
     date, so the first gap of a district takes the last value of the district
     before it. With ``scope="district"`` it stays inside each district.
     """
-    key = blocks.key
-    here = F.last(column, ignorenulls=True).over(blocks.so_far())
-    rows = stage(blocks.with_columns({"_here": here}).own_rows().df, "humidity-windows")
-    known = F.when(F.col(column).isNotNull(), F.struct(POSITION, column))
+    key, rows = blocks.key, blocks.own_rows().df
+    present = F.col(column).isNotNull()
     summary = rows.groupBy(*blocks.keys).agg(
-        F.max(known)[column].alias("_tail"), F.min(known).alias("_head")
+        _newest(present, POSITION, column)[column].alias("_tail"),
+        F.min(F.when(present, F.struct(POSITION, column))).alias("_head"),
     )
-    starts = _carry(summary, key, "_tail")
     per_series = summary.groupBy(key).agg(
-        F.max(F.when(F.col("_tail").isNotNull(), F.struct(BLOCK, "_tail")))["_tail"].alias("_tail"),
+        _newest(F.col("_tail").isNotNull(), BLOCK, "_tail")["_tail"].alias("_tail"),
         F.min("_head")[column].alias("_head"),
     )
     if scope == "district":
         edges = per_series.select(key, F.col("_head").alias("_edge"))
     else:
-        first = F.struct(key, "_head")
-        head = per_series.filter(F.col("_head").isNotNull()).agg(F.min(first)["_head"]).scalar()
+        first = F.min(F.when(F.col("_head").isNotNull(), F.struct(key, "_head")))["_head"]
         mark = F.when(F.col("_tail").isNotNull(), F.struct(key, "_tail"))
-        edges = running(
-            per_series.withColumn("_mark", mark), [], key, {"_seen": ("max", "_mark")}, before=True
-        ).select(key, F.coalesce(F.col("_seen")["_tail"], head).alias("_edge"))
-    starts = starts.join(edges, key, "left").select(
+        marked = per_series.select(key, mark.alias("_mark"))
+        edges = running(marked, [], key, {"_seen": ("max", "_mark")}, before=True).select(
+            key, F.coalesce(F.col("_seen")["_tail"], per_series.agg(first).scalar()).alias("_edge")
+        )
+    starts = _carry(summary, key, "_tail").join(edges, key, "left").select(
         *blocks.keys, F.coalesce("_carried", "_edge").alias("_start")
     )
-    filled = rows.join(starts, blocks.keys, "left").withColumn(name, F.coalesce("_here", "_start"))
-    return Blocks(filled.drop("_here", "_start"), key)
+    filled = rows.join(starts, blocks.keys, "left").withColumn(name, F.coalesce("_known", "_start"))
+    return blocks.over(filled.drop("_known", "_start"))
 
 
-def heat_thresholds(df: DataFrame, key: str = "District", temp: str = "MaxTemp_2m",
-                    quantile: float = K.HEAT_QUANTILE, **split) -> DataFrame:
-    return group_quantiles(df, [key], {"heat_limit": (temp, quantile)}, **split)
+def heat_thresholds(df: DataFrame, key: str = "District", **how) -> DataFrame:
+    return group_quantiles(df, [key], HEAT_LIMITS, **how)
 
 
-def flood_thresholds(df: DataFrame, key: str = "District", **split) -> DataFrame:
+def flood_thresholds(inputs: DataFrame, key: str = "District", **how) -> DataFrame:
     """Per district: limits of daily and 3-day rain and of filled humidity."""
-    return group_quantiles(df, [key], {
-        "precip_p99": ("precip_1d", K.RAIN_1D_QUANTILE),
-        "precip3_p98": ("precip_3d", K.RAIN_3D_QUANTILE),
-        "wet_limit": ("RH_2m_filled", K.WET_QUANTILE),
-    }, **split)
+    return group_quantiles(inputs, [key], FLOOD_LIMITS, **how)
 
 
 def attach_by_block(blocks: Blocks, per_series: DataFrame) -> Blocks:
@@ -96,9 +106,8 @@ def attach_by_block(blocks: Blocks, per_series: DataFrame) -> Blocks:
     The per-series table is first spread over that series' blocks, so a hot
     series is never gathered for the join.
     """
-    own = blocks.own_rows().df
-    spread = own.select(*blocks.keys).distinct().join(per_series, blocks.key, "left")
-    return Blocks(own.join(spread, blocks.keys, "left"), blocks.key)
+    spread = blocks.layout.join(per_series, blocks.key, "left")
+    return blocks.over(blocks.own_rows().df.join(spread, blocks.keys, "left"))
 
 
 def run_length(blocks: Blocks, condition: Column, name: str, stage=unstaged) -> Blocks:
@@ -110,59 +119,65 @@ def run_length(blocks: Blocks, condition: Column, name: str, stage=unstaged) ->
     broken = F.when(~holds(condition), F.col(POSITION))
     rows = blocks.own_rows().with_columns({"_broken": broken})
     rows = rows.with_columns({"_last": F.max("_broken").over(rows.so_far())})
-    rows = Blocks(stage(rows.df, "run-windows"), blocks.key)
+    rows = blocks.over(stage(rows.df, "run-windows"))
     summary = rows.df.groupBy(*blocks.keys).agg(F.max("_broken").alias("_broken_at"))
-    starts = _carry(summary, blocks.key, "_broken_at")
-    joined = rows.df.join(starts, blocks.keys, "left")
+    joined = rows.df.join(_carry(summary, blocks.key, "_broken_at"), blocks.keys, "left")
     since = F.coalesce("_last", "_carried", F.lit(-1))
-    return Blocks(
-        joined.withColumn(name, (F.col(POSITION) - since).cast("long")).drop("_broken", "_last", "_carried"),
-        blocks.key,
-    )
+    counted = joined.withColumn(name, (F.col(POSITION) - since).cast("long"))
+    return blocks.over(counted.drop("_broken", "_last", "_carried"))
 
 
-def label_heat(
-    df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District", date: str = "Date",
-    temp: str = "MaxTemp_2m", min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS, stage=unstaged,
-) -> DataFrame:
-    """Adds ``heat_exceed``, ``heat_run`` and ``heatwave`` (a run of ``min_run`` days or more)."""
-    limits = heat_thresholds(df, key, temp, stage=stage) if thresholds is None else thresholds
-    blocks = attach_by_block(in_blocks(df, key, date, 0, block_rows=block_rows), limits)
-    over = holds(F.col(temp) > F.col("heat_limit"))
+def heat_flags(blocks: Blocks, min_run: int = K.HEAT_MIN_RUN, stage=unstaged) -> Blocks:
+    """``heat_exceed``, ``heat_run`` and ``heatwave`` (a run of ``min_run`` days or more); needs the limit."""
+    over = holds(F.col("MaxTemp_2m") > F.col("heat_limit"))
     blocks = run_length(blocks.with_columns({"heat_exceed": over}), F.col("heat_exceed"), "heat_run", stage)
-    return blocks.plain().withColumn("heatwave", F.col("heat_run") >= min_run).drop("heat_limit")
+    return blocks.with_columns({"heatwave": F.col("heat_run") >= min_run})
+
 
+def flood_flags(df: DataFrame) -> DataFrame:
+    """``wetness_flag`` and ``flood_proxy``: heavy rain on an unusually humid day; needs the limits."""
+    heavy = holds(F.col("precip_1d") > F.col("precip_p99")) | holds(F.col("precip_3d") > F.col("precip3_p98"))
+    wet = holds(F.col("RH_2m_filled") > F.col("wet_limit"))
+    return df.withColumns({"wetness_flag": wet, "flood_proxy": heavy & wet})
 
-def flood_inputs(
-    df: DataFrame, *, key: str = "District", date: str = "Date", scope: str = "table",
-    block_rows: int = BLOCK_ROWS, stage=unstaged,
-) -> DataFrame:
-    """Adds 1-, 3- and 7-day rain and filled humidity: all that the flood label needs."""
-    blocks = rain_windows(in_blocks(df, key, date, RAIN_OVERLAP, block_rows=block_rows))
-    return fill_humidity(blocks, scope=scope, stage=stage).plain()
 
+def label_heat(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District", date: str = "Date",
+               min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS, stage=unstaged) -> DataFrame:
+    limits = heat_thresholds(df, key, stage=stage) if thresholds is None else thresholds
+    blocks = attach_by_block(in_blocks(df, key, date, 0, block_rows=block_rows), limits)
+    return heat_flags(blocks, min_run, stage).plain().drop("heat_limit")
 
-def flood_flags(inputs: DataFrame, thresholds: DataFrame, *, key: str = "District") -> DataFrame:
-    """Adds the limits, ``wetness_flag`` and ``flood_proxy``: heavy rain on an unusually humid day.
 
-    The limits hold one row per district; Spark broadcasts them only if their
-    measured size allows, and splits a hot district's join partition otherwise.
-    """
-    heavy = holds(F.col("precip_1d") > F.col("precip_p99")) | holds(F.col("precip_3d") > F.col("precip3_p98"))
-    wet = holds(F.col("RH_2m_filled") > F.col("wet_limit"))
-    return (
-        inputs.join(thresholds, key, "left")
-        .withColumns({"wetness_flag": wet})
-        .withColumns({"flood_proxy": heavy & F.col("wetness_flag")})
-        .drop("wet_limit")
-    )
+def flood_blocks(df: DataFrame, *, key: str = "District", date: str = "Date", scope: str = "table",
+                 block_rows: int = BLOCK_ROWS, stage=unstaged) -> Blocks:
+    """1-, 3- and 7-day rain and filled humidity: all that the flood label needs."""
+    blocks = in_blocks(df, key, date, RAIN_OVERLAP, block_rows=block_rows)
+    blocks = known_humidity(rain_windows(blocks)).own_rows()
+    filled = fill_humidity(blocks.over(stage(blocks.df, "flood-windows")), scope=scope)
+    return filled.over(stage(filled.df, "flood-inputs"))
 
 
 def label_flood(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District",
                 date: str = "Date", scope: str = "table", block_rows: int = BLOCK_ROWS,
                 stage=unstaged) -> DataFrame:
-    inputs = stage(
-        flood_inputs(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage), "flood-inputs"
-    )
-    limits = flood_thresholds(inputs, key, stage=stage) if thresholds is None else thresholds
-    return flood_flags(inputs, limits, key=key)
+    blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
+    limits = flood_thresholds(blocks.df, key, stage=stage) if thresholds is None else thresholds
+    return flood_flags(attach_by_block(blocks, limits).plain()).drop("wet_limit")
+
+
+def label_both(df: DataFrame, *, fit_on: DataFrame | None = None, key: str = "District", date: str = "Date",
+               scope: str = "table", min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS,
+               stage=unstaged) -> DataFrame:
+    """Both labels over one partitioning of the history.
+
+    Limits come from the whole history, or only from the (district, day) pairs
+    of ``fit_on``, so that a later test period is not looked into.
+    """
+    blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
+    seen = blocks.df
+    if fit_on is not None:
+        seen = seen.join(fit_on.select(key, date), [key, date], "left_semi")
+    limits = group_quantiles(seen, [key], HEAT_LIMITS | FLOOD_LIMITS, stage=stage)
+    flagged = attach_by_block(blocks, limits)
+    flagged = heat_flags(flagged.over(flood_flags(flagged.df)), min_run, stage)
+    return flagged.plain().drop("heat_limit", "wet_limit")

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxrisk.operators.running import PIECE_ROWS, PIECES, running
+from wxrisk.operators.running import CUT_EVERY, running
 from wxrisk.session import unstaged
 
 
-def score_table(df: DataFrame, score: str, label: str, *, stage=unstaged, piece_rows: int = PIECE_ROWS,
-                pieces: int = PIECES) -> DataFrame:
+def score_table(df: DataFrame, score: str, label: str, *, stage=unstaged,
+                cut_every: int = CUT_EVERY) -> DataFrame:
     """Per distinct score: positives, negatives and both counts at this score or above (tp, fp)."""
     positive = F.col(label).cast("int")
     folded = df.select((-F.col(score)).alias("_down"), positive.alias("_y")).groupBy("_down").agg(
@@ -23,7 +23,7 @@ def score_table(df: DataFrame, score: str, label: str, *, stage=unstaged, piece_
     )
     folded = stage(folded, "scores")
     totals = {"tp": ("sum", "pos"), "fp": ("sum", "neg")}
-    table = running(folded, [], "_down", totals, piece_rows=piece_rows, pieces=pieces)
+    table = running(folded, [], "_down", totals, cut_every=cut_every)
     return table.select((-F.col("_down")).alias("threshold"), "pos", "neg", "tp", "fp")
 
 

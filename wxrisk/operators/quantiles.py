@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wxrisk.operators.running import PIECE_ROWS, PIECES, running
+from wxrisk.operators.running import CUT_EVERY, running
 from wxrisk.session import unstaged
 
 
@@ -21,37 +21,33 @@ def group_quantiles(
     wanted: dict[str, tuple[str, float]],
     *,
     stage=unstaged,
-    piece_rows: int = PIECE_ROWS,
-    pieces: int = PIECES,
+    cut_every: int = CUT_EVERY,
 ) -> DataFrame:
     """One row per group with a column per entry ``name: (column, quantile)``; NULLs are skipped."""
     pairs = F.array(*[
-        F.struct(F.lit(name).alias("metric"), F.col(column).cast("double").alias("v"))
-        for name, (column, _) in wanted.items()
+        F.struct(F.lit(name).alias("metric"), F.lit(float(q)).alias("q"), F.col(column).cast("double").alias("v"))
+        for name, (column, q) in wanted.items()
     ])
     keys = [*group, "metric"]
     counted = (
         df.select(*group, F.explode(pairs).alias("_p"))
-        .select(*group, "_p.metric", "_p.v")
+        .select(*group, "_p.metric", "_p.q", "_p.v")
         .filter(F.col("v").isNotNull())
-        .groupBy(*keys, "v").agg(F.count("*").alias("n"))
+        .groupBy(*keys, "q", "v").agg(F.count("*").alias("n"))
     )
     counted = stage(counted, "value-counts")
-    ranked = running(
-        counted, keys, "v", {"upto": ("sum", "n")}, piece_rows=piece_rows, pieces=pieces
-    )
-    sizes = counted.groupBy(*keys).agg(F.sum("n").alias("size"))
-    share = F.create_map(*[x for name, (_, q) in wanted.items() for x in (F.lit(name), F.lit(float(q)))])
-    place = (F.col("size") - 1) * share[F.col("metric")]
-    targets = sizes.select(*keys, place.alias("place"))
+    place = ((F.sum("n") - 1) * F.max("q")).alias("place")
+    targets = counted.groupBy(*keys).agg(place)
+    ranked = running(counted, keys, "v", {"upto": ("sum", "n")}, cut_every=cut_every)
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     low, high = F.floor("place"), F.ceil("place")
     around = ranked.join(targets, keys).filter((first <= high) & (last >= low))
-    lower = F.max(F.when((first <= low) & (last >= low), F.col("v")))
-    upper = F.max(F.when((first <= high) & (last >= high), F.col("v")))
-    part = F.max(F.col("place") - low)
-    per_metric = around.groupBy(*keys).agg(lower.alias("lo"), upper.alias("hi"), part.alias("part"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
-    return per_metric.groupBy(*group).agg(
-        *[F.max(F.when(F.col("metric") == name, value)).alias(name) for name in wanted]
-    )
+
+    def value(name: str):
+        def held(rank):
+            return F.max(F.when((F.col("metric") == name) & (first <= rank) & (last >= rank), F.col("v")))
+
+        part = F.max(F.when(F.col("metric") == name, F.col("place") - low))
+        return (held(low) + (held(high) - held(low)) * part).alias(name)
+
+    return around.groupBy(*group).agg(*[value(name) for name in wanted])

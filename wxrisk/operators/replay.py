@@ -30,7 +30,8 @@ def round_robin_batches(df: DataFrame, size: int = 10, *, key: str = "District",
     """
     placed = with_position(df, key, order)
     rounds = placed.groupBy(POSITION).agg(F.count("*").alias("_in_round"))
-    before = running(rounds, [], POSITION, {"_before": ("sum", "_in_round")}, before=True)
+    piece = F.floor(F.col(POSITION) / 65536)
+    before = running(rounds, [], POSITION, {"_before": ("sum", "_in_round")}, before=True, piece=piece)
     rank = F.row_number().over(W.partitionBy(POSITION).orderBy(key))
     return (
         placed.withColumn("_rank", rank).join(before.select(POSITION, "_before"), POSITION)

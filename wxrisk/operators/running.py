@@ -1,12 +1,14 @@
 """Running totals over one long ordered series, without sorting it in one task.
 
 A plain window with no (or a hot) partition key sorts the whole group in a
-single task. Here a large group is cut into pieces along the order column: each
-piece is summed where it lies, the short list of piece totals is accumulated,
-and every row adds its piece's start value to its place inside the piece.
-
-The cuts are order values picked by hash, not by sampling, so a recomputed task
-cuts at the same values and rows never move between pieces.
+single task. Here a group is cut into pieces along the order column: each piece
+is summed where it lies, the short list of piece totals is accumulated, and
+every row adds its piece's start value to its place inside the piece.
+
+Cuts are order values picked by their hash, one in ``CUT_EVERY``, not by random
+sampling: a recomputed task cuts at the same values, so rows never move between
+pieces. Where the order is a number with a natural width (a position, a block
+number) the caller gives the piece itself.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PIECE_ROWS = 1 << 20
-PIECES = 512
+CUT_EVERY = 1 << 16
+MOST_PIECES = 512
 
 
 def _combine(kind: str, start: Column, inside: Column) -> Column:
@@ -28,31 +30,25 @@ def _combine(kind: str, start: Column, inside: Column) -> Column:
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def _cut_values(df: DataFrame, group: list[str], order: str, piece_rows: int, pieces: int) -> DataFrame:
-    """Cut values of each group with more than ``piece_rows`` rows: about ``pieces`` of them."""
-    step = F.ceil(F.col("_n") / pieces)
-    large = df.groupBy(*group).agg(F.count("*").alias("_n")).filter(F.col("_n") > piece_rows)
-    hit = F.pmod(F.xxhash64(order), F.col("_step")) == 0
-    large = large.select(*group, step.alias("_step"))
-    return (
-        df.select(*group, order).join(large, group).filter(hit)
-        .groupBy(*group).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
-    )
+def _thinned(cuts: Column) -> Column:
+    step = F.ceil(F.size(cuts) / MOST_PIECES)
+    return F.filter(cuts, lambda _, i: i % step == 0)
 
 
-def in_pieces(
-    df: DataFrame, group: list[str], order: str, *, piece_rows: int = PIECE_ROWS, pieces: int = PIECES
-) -> DataFrame:
-    """Adds ``_piece``: 0, 1, 2 ... along ``order`` within each group."""
+def in_pieces(df: DataFrame, group: list[str], order: str, *, cut_every: int = CUT_EVERY) -> DataFrame:
+    """Adds ``_piece``, rising along ``order`` within each group.
+
+    A group has one piece per ``cut_every`` rows on average, at most ``MOST_PIECES``.
+    """
+    picked = df.select(*group, order).filter(F.pmod(F.xxhash64(order), F.lit(cut_every)) == 0)
+    cuts = F.sort_array(F.collect_set(order))
     if group:
-        df = df.join(_cut_values(df, group, order, piece_rows, pieces), group, "left")
+        table = picked.groupBy(*group).agg(cuts.alias("_all")).select(*group, _thinned(F.col("_all")).alias("_cuts"))
+        df = df.join(table, group, "left")
     else:
-        rows = df.agg(F.count("*")).scalar()
-        hit = F.pmod(F.xxhash64(order), F.ceil(rows / pieces)) == 0
-        picked = df.filter((rows > piece_rows) & hit)
-        df = df.withColumn("_cuts", picked.agg(F.sort_array(F.collect_set(order))).scalar())
-    before = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    return df.withColumn("_piece", F.coalesce(F.greatest(before, F.lit(0)), F.lit(0))).drop("_cuts")
+        df = df.withColumn("_cuts", picked.agg(cuts.alias("_all")).select(_thinned(F.col("_all"))).scalar())
+    passed = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
+    return df.withColumn("_piece", F.greatest(F.coalesce(passed, F.lit(0)), F.lit(0))).drop("_cuts")
 
 
 def running(
@@ -62,16 +58,20 @@ def running(
     totals: dict[str, tuple[str, str]],
     *,
     before: bool = False,
-    piece_rows: int = PIECE_ROWS,
-    pieces: int = PIECES,
+    piece: Column | None = None,
+    cut_every: int = CUT_EVERY,
 ) -> DataFrame:
     """Adds, per entry ``name: (kind, column)``, the running value up to and with each row.
 
-    With ``before`` the row itself is left out. ``kind`` is "sum", "max" or "min". Rows must be unique per (group, order):
-    aggregate equal order values first, which also folds a value that a third of
-    all rows share into one row.
+    With ``before`` the row itself is left out. ``kind`` is "sum", "max" or
+    "min". ``piece`` may give a number that rises with ``order``. Rows must be
+    unique per (group, order): aggregate equal order values first, which also
+    folds a value that a third of all rows share into one row.
     """
-    cut = in_pieces(df, group, order, piece_rows=piece_rows, pieces=pieces)
+    if piece is None:
+        cut = in_pieces(df, group, order, cut_every=cut_every)
+    else:
+        cut = df.withColumn("_piece", piece)
     keys = [*group, "_piece"]
     whole = cut.groupBy(*keys).agg(*[_AGG[k](c).alias(f"_all_{n}") for n, (k, c) in totals.items()])
     earlier = W.partitionBy(*group).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)

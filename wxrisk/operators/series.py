@@ -10,7 +10,7 @@ district is spread over many tasks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,6 +23,10 @@ COPY = "_copy"
 _SLOT = "_slot"
 
 
+def _slot_sizes(df: DataFrame, key: str, slot: Column) -> DataFrame:
+    return df.groupBy(key, slot.alias(_SLOT)).agg(F.count("*").alias("_rows"))
+
+
 def with_position(
     df: DataFrame, key: str, order: str, *, slot: Column | None = None, name: str = POSITION
 ) -> DataFrame:
@@ -33,13 +37,12 @@ def with_position(
     earlier slots, so no task sorts more than one slot of one series. Rows with
     equal ``order`` are told apart by a hash of the whole row.
     """
-    tie = F.xxhash64(*df.columns)
-    slotted = df.withColumn(_SLOT, F.year(order) if slot is None else slot)
-    inside = W.partitionBy(key, _SLOT).orderBy(order, tie)
-    counts = slotted.groupBy(key, _SLOT).agg(F.count("*").alias("_rows"))
+    slot = F.year(order) if slot is None else slot
+    inside = W.partitionBy(key, _SLOT).orderBy(order, F.xxhash64(*df.columns))
     earlier = W.partitionBy(key).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(key, _SLOT, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    numbered = slotted.withColumn("_place", F.row_number().over(inside))
+    start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    starts = _slot_sizes(df, key, slot).select(key, _SLOT, start)
+    numbered = df.withColumn(_SLOT, slot).withColumn("_place", F.row_number().over(inside))
     return (
         numbered.join(starts, [key, _SLOT])
         .withColumn(name, (F.col("_start") + F.col("_place") - 1).cast("long"))
@@ -49,10 +52,14 @@ def with_position(
 
 @dataclass(frozen=True)
 class Blocks:
-    """A series cut into overlapping blocks; ``df`` has ``_position``, ``_block`` and ``_copy``."""
+    """A series cut into overlapping blocks; ``df`` has ``_position``, ``_block`` and ``_copy``.
+
+    ``layout`` lists every (series, block), made from row counts alone.
+    """
 
     df: DataFrame
     key: str
+    layout: DataFrame
 
     @property
     def keys(self) -> list[str]:
@@ -69,11 +76,15 @@ class Blocks:
         return self.ordered().rowsBetween(W.unboundedPreceding, 0)
 
     def with_columns(self, columns: dict[str, Column]) -> "Blocks":
-        return Blocks(self.df.withColumns(columns), self.key)
+        return self.over(self.df.withColumns(columns))
 
     def own_rows(self) -> "Blocks":
         """Without the overlap copies: every input row exactly once."""
-        return Blocks(self.df.filter(~F.col(COPY)), self.key)
+        return self.over(self.df.filter(~F.col(COPY)))
+
+    def over(self, df: DataFrame) -> "Blocks":
+        """The same blocks over other rows or columns."""
+        return replace(self, df=df)
 
     def plain(self) -> DataFrame:
         return self.own_rows().df.drop(POSITION, BLOCK, COPY)
@@ -92,4 +103,8 @@ def in_blocks(
         .withColumn(COPY, F.col(BLOCK) != F.col("_home"))
         .drop("_home")
     )
-    return Blocks(spread, key)
+    last_block = F.floor((F.count("*") - 1) / block_rows)
+    layout = df.groupBy(key).agg(last_block.alias("_end")).select(
+        key, F.explode(F.sequence(F.lit(0).cast("long"), "_end")).alias(BLOCK)
+    )
+    return Blocks(spread, key, layout)

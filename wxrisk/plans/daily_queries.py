@@ -21,7 +21,7 @@ from wxrisk.operators import serving, views
 from wxrisk.operators.series import in_blocks
 from wxrisk.plans import offline
 from wxrisk.plans import sql_inputs as Q
-from wxrisk.plans.registry import query
+from wxrisk.plans.registry import plain_round_sql, query
 from wxrisk.session import TableStages
 from wxrisk.sinks.files import history_records
 from wxrisk.sources import fixtures as X
@@ -112,8 +112,7 @@ def heat_limits(spark, sf_dir):
        doubles="precip_p99 precip3_p98 wet_limit")
 def flood_limits(spark, sf_dir):
     rows, stage = staged_daily(spark, sf_dir)
-    inputs = stage(L.flood_inputs(rows, stage=stage), "inputs")
-    return L.flood_thresholds(inputs, stage=stage)
+    return L.flood_thresholds(L.flood_blocks(rows, stage=stage).df, stage=stage)
 
 
 @query(f"""with {Q.LABELS} select {DD}, "MaxTemp_2m", heat_exceed, heat_run, heatwave from labelled""",
@@ -123,12 +122,17 @@ def heat_run_labels(spark, sf_dir):
     return L.label_heat(rows.select("District", "Date", "MaxTemp_2m"), stage=stage)
 
 
+def staged_known(blocks, stage):
+    known = L.known_humidity(blocks).own_rows()
+    return known.over(stage(known.df, "humidity"))
+
+
 @query(f"""with {Q.LABELS} select {DD}, "RH_2m", "RH_2m_filled" from labelled""",
        doubles="RH_2m RH_2m_filled", days="Date")
 def rh_fill(spark, sf_dir):
     rows, stage = staged_daily(spark, sf_dir)
     blocks = in_blocks(rows.select("District", "Date", "RH_2m"), "District", "Date", 0)
-    return L.fill_humidity(blocks, stage=stage).plain()
+    return L.fill_humidity(staged_known(blocks, stage)).plain()
 
 
 @query(f"""with {Q.DAILY} select {DD}, coalesce(
@@ -139,7 +143,7 @@ def rh_fill(spark, sf_dir):
 def rh_fill_in_district(spark, sf_dir):
     rows, stage = staged_daily(spark, sf_dir)
     blocks = in_blocks(rows.select("District", "Date", "RH_2m"), "District", "Date", 0)
-    return L.fill_humidity(blocks, scope="district", stage=stage).plain().drop("RH_2m")
+    return L.fill_humidity(staged_known(blocks, stage), scope="district").plain().drop("RH_2m")
 
 
 @query(f"""with {Q.LABELS} select {DD}, precip_1d, precip_3d, precip_7d, precip_p99, precip3_p98, "RH_2m_filled",
@@ -162,6 +166,12 @@ def heat_labels_fit_on_train(spark, sf_dir):
     return L.label_heat(rows, limits, stage=stage).select("District", "Date", "heat_exceed")
 
 
+@query(f"""with {Q.LABELS} select {DD}, heat_run, heatwave, wetness_flag, flood_proxy from labelled""", days="Date")
+def both_labels(spark, sf_dir):
+    rows, stage = staged_daily(spark, sf_dir)
+    return L.label_both(rows, stage=stage).select("District", "Date", "heat_run", "heatwave", "wetness_flag", "flood_proxy")
+
+
 # --- climatology and features ----------------------------------------------------------------
 
 _CLIM = Q.DAILY + """, clim as (select "District", cast(dayofyear("Date") as int) as doy,
@@ -507,8 +517,8 @@ def recent_buffer_summary(spark, sf_dir):
     return views.buffer_summary(serving.newest(daily(spark, sf_dir), "Date", 100, "District"))
 
 
-@query(f"""with {Q.DAILY} select strftime("Date", '%Y-%m-%d') as "Date", "District", round("MaxTemp_2m", 1) as "Temp (°C)",
-  round("Precip", 2) as "Precip (mm)", round("RH_2m", 1) as "Humidity (%)" from daily
+@query(f"""with {Q.DAILY} select strftime("Date", '%Y-%m-%d') as "Date", "District", {plain_round_sql('"MaxTemp_2m"', 1)} as "Temp (°C)",
+  {plain_round_sql('"Precip"', 2)} as "Precip (mm)", {plain_round_sql('"RH_2m"', 1)} as "Humidity (%)" from daily
   order by daily."Date" desc, "District" desc limit 20""")
 def recent_table(spark, sf_dir):
     return serving.recent_table(daily(spark, sf_dir), "Date", 20, "District")

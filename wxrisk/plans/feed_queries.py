@@ -9,7 +9,7 @@ from wxrisk.operators import serving, views
 from wxrisk.plans import daily_queries as D
 from wxrisk.plans import observation_queries as O
 from wxrisk.plans import sql_inputs as Q
-from wxrisk.plans.registry import query
+from wxrisk.plans.registry import plain_round_sql, query
 from wxrisk.session import scratch_path
 from wxrisk.sinks import files as SF
 from wxrisk.sinks.tables import KeyedTable, write_with_fallback
@@ -138,7 +138,7 @@ _FEED = _P + f""", feed as (select event_id, district || ' station' as city_name
 
 
 def _r1(x: str) -> str:
-    return f"cast(round(cast(cast({x} as varchar) as decimal(38, 20)), 1) as double)"
+    return plain_round_sql(x, 1)
 
 
 @query(f"""with {_FEED} select event_id, city_name, district, date, datetime, latitude, longitude, {_r1('t')} as temperature,
@@ -272,7 +272,7 @@ def history_rejects(spark, sf_dir):
     return SF.history_records(text)[1].select("District", "Date")
 
 
-@query(f"""with {Q.OBS} select district, date, {O.steady_sql('temp', 4)} as temp from obs where district = 'Parsa'
+@query(f"""with {Q.OBS} select district, date, {plain_round_sql('temp', 4)} as temp from obs where district = 'Parsa'
   order by fetch_time desc limit 1000""")
 def export_csv(spark, sf_dir):
     """Newest 1000 observations of a district exported as one CSV file and read back."""

@@ -12,7 +12,9 @@ from wxrisk.operators import alerts as A
 from wxrisk.operators import cleaning as C
 from wxrisk.operators import scoring, serving, views
 from wxrisk.plans import sql_inputs as Q
-from wxrisk.plans.registry import query, steady_sql
+from wxrisk.plans.registry import plain_round_sql, query, steady_sql
+from wxrisk.session import TableStages
+from wxrisk.sinks.files import as_json_rows
 from wxrisk.sinks.tables import last_per_key
 from wxrisk.sources import fixtures as X
 from wxrisk.sources import messages as M
@@ -332,15 +334,15 @@ def prediction_table(spark, sf_dir):
 _SHOWN = """district, strftime(fetch_time, '%Y-%m-%d %H:%M:%S') as prediction_time, max_temp, precipitation, humidity"""
 
 
-@query(f"""with {Q.SCORED} select {_SHOWN}, round(heatwave_probability * 100, 2) as heatwave_prob,
-  round(flood_probability * 100, 2) as flood_prob, heatwave_risk, flood_risk from scored where district = 'Sarlahi'
+@query(f"""with {Q.SCORED} select {_SHOWN}, {plain_round_sql('heatwave_probability * 100', 2)} as heatwave_prob,
+  {plain_round_sql('flood_probability * 100', 2)} as flood_prob, heatwave_risk, flood_risk from scored where district = 'Sarlahi'
   order by fetch_time desc limit 50""", doubles="max_temp precipitation humidity heatwave_prob flood_prob")
 def recent_predictions(spark, sf_dir):
     return serving.show_predictions(serving.predictions(_predictions(spark, sf_dir), "Sarlahi", 50))
 
 
-@query(f"""with {Q.SCORED} select {_SHOWN}, round(nullif(heatwave_probability, 0), 4) as heatwave_prob,
-  round(nullif(flood_probability, 0), 4) as flood_prob, heatwave_risk, flood_risk from scored where district = 'Bara'
+@query(f"""with {Q.SCORED} select {_SHOWN}, {plain_round_sql('nullif(heatwave_probability, 0)', 4)} as heatwave_prob,
+  {plain_round_sql('nullif(flood_probability, 0)', 4)} as flood_prob, heatwave_risk, flood_risk from scored where district = 'Bara'
   order by fetch_time desc limit 20""", doubles="max_temp precipitation humidity heatwave_prob flood_prob")
 def recent_predictions_plain(spark, sf_dir):
     return serving.show_predictions(serving.predictions(_predictions(spark, sf_dir), "Bara", 20), percent=False)
@@ -399,6 +401,7 @@ def district_list_filter(spark, sf_dir):
     and district not in (select district from a)""", doubles="temp", times="fetch_time")
 def speed_batch_merge(spark, sf_dir):
     rows = stream_rows(spark, sf_dir).select("district", "fetch_time", "temp", "heatwave_indicator")
+    rows = TableStages(spark, "views")(rows, "serving")
     hot = rows.filter((F.col("heatwave_indicator") >= 0.5) & F.col("district").isin("Bara", "Siraha"))
     merged = serving.speed_over_batch(
         serving.latest(hot).drop("heatwave_indicator"), serving.latest(rows).drop("heatwave_indicator")
@@ -485,6 +488,4 @@ def stable_ids(spark, sf_dir):
 @query(f"""with {Q.OBS} select '{{"district":"' || district || '","event_id":' || event_id || ',"clouds":' || clouds || '}}'
   as json from obs""")
 def json_rows(spark, sf_dir):
-    from wxrisk.sinks.files import as_json_rows
-
     return as_json_rows(X.obs(spark, sf_dir).select("district", "event_id", "clouds"))

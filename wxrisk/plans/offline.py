@@ -21,19 +21,9 @@ def ingest(spark: SparkSession, csv: str, out: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def label(df: DataFrame, *, fit_on: DataFrame | None = None, scope: str = "table", stage=unstaged,
-          block_rows: int = labels.BLOCK_ROWS) -> DataFrame:
-    """Both labels. Limits come from the whole history, or only from ``fit_on`` (no look into the test year)."""
-    heat_limits = labels.heat_thresholds(df if fit_on is None else fit_on, stage=stage)
-    heat = labels.label_heat(df, heat_limits, stage=stage, block_rows=block_rows)
-    inputs = stage(labels.flood_inputs(heat, scope=scope, stage=stage, block_rows=block_rows), "flood-inputs")
-    seen = inputs if fit_on is None else inputs.join(fit_on.select("District", "Date"), ["District", "Date"], "left_semi")
-    return labels.flood_flags(inputs, labels.flood_thresholds(seen, stage=stage))
-
-
 def label_and_build(df: DataFrame, *, stage=unstaged, block_rows: int = labels.BLOCK_ROWS) -> DataFrame:
     """Daily history to the feature table with labels."""
-    labelled = stage(label(df, stage=stage, block_rows=block_rows), "labelled")
+    labelled = stage(labels.label_both(df, stage=stage, block_rows=block_rows), "labelled")
     return features.build_features(labelled, block_rows=block_rows)
 
 
@@ -92,7 +82,7 @@ def run(spark: SparkSession, csv: str, root: str, *, target: str = "heatwave", r
     """All stages from the CSV to the metrics, with their tables below ``root``."""
     history = ingest(spark, csv, f"{root}/weather")
     stage = TableStages(spark, "offline")
-    label(history, stage=stage).write.mode("overwrite").parquet(f"{root}/weather_labeled")
+    labels.label_both(history, stage=stage).write.mode("overwrite").parquet(f"{root}/weather_labeled")
     features.build_features(spark.read.parquet(f"{root}/weather_labeled")).write.mode("overwrite").parquet(
         f"{root}/features"
     )

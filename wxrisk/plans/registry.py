@@ -63,3 +63,8 @@ def query(sql: str | None = None, *, doubles: str = "", times: str = "", days: s
 def steady_sql(value: str, digits: int, guard: int = 6) -> str:
     """Decimal rounding, half away from zero, after removing floating-point noise."""
     return f"cast(round(cast({value} as decimal(38, {digits + guard})), {digits}) as double)"
+
+
+def plain_round_sql(value: str, digits: int) -> str:
+    """Decimal rounding of a double as it prints, half away from zero."""
+    return f"cast(round(cast(cast({value} as varchar) as decimal(38, 20)), {digits}) as double)"

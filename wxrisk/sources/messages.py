@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wxrisk.functions.scalar import parsed_once
 from wxrisk.schemas import MESSAGE, MESSAGE_EXTRA, MESSAGE_SNAKE
 
 # snake-case field -> training vocabulary
@@ -35,7 +36,7 @@ def decode(messages: DataFrame, schema: T.StructType = MESSAGE, keep=()) -> Data
     A field with the wrong type is NULL; text that is not JSON gives a row of NULLs.
     """
     body = F.from_json(F.col("value").cast("string"), schema)
-    return messages.select(body.alias("_d"), F.col("timestamp").alias("kafka_timestamp"), *keep).select(
+    return messages.select(parsed_once(body, "_d"), F.col("timestamp").alias("kafka_timestamp"), *keep).select(
         "_d.*", "kafka_timestamp", *keep
     )
 
@@ -51,7 +52,7 @@ def decode_positions(messages: DataFrame, schema: T.StructType = MESSAGE, keep=(
 def decode_fields(messages: DataFrame, keep=()) -> DataFrame:
     """Message value as ``fields``, a map of text: a missing field and a null one stay apart."""
     body = F.from_json(F.col("value").cast("string"), T.MapType(T.StringType(), T.StringType()))
-    return messages.select(body.alias("fields"), F.col("timestamp").alias("kafka_timestamp"), *keep)
+    return messages.select(parsed_once(body, "fields"), F.col("timestamp").alias("kafka_timestamp"), *keep)
 
 
 def decode_any(messages: DataFrame, keep=()) -> DataFrame:

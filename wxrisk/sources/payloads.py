@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxrisk.functions.scalar import or_else, short_time
+from wxrisk.functions.scalar import or_else, parsed_once, short_time
 from wxrisk.schemas import PAYLOAD
 
 ZERO_CELSIUS_IN_KELVIN = 273.15
@@ -17,7 +17,7 @@ ZERO_CELSIUS_IN_KELVIN = 273.15
 
 def parse(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds the payload as the struct column ``p``; each text is parsed once."""
-    return df.withColumn("p", F.from_json(payload, PAYLOAD))
+    return df.select("*", parsed_once(F.from_json(payload, PAYLOAD), "p"))
 
 
 def _or(value: str | Column, fallback) -> Column:
