@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wxrisk import constants as K
-from wxrisk.functions.scalar import holds, ladder, or_else, pick, wave
+from wxrisk.functions.scalar import holds, ladder, or_else, parsed_once, pick, wave
 from wxrisk.schemas import SERVING_COLUMNS
 
 
@@ -255,19 +255,23 @@ def storage_record(df: DataFrame, fields: str, rules=OBSERVATION_STORAGE, keep=(
     A field the message lacks gets its stand-in. A field that is there but null,
     or text that is not a number, cannot be stored: the row is rejected.
     """
-    out, ok = [F.col(c) for c in keep], F.lit(True)
-    for target, names, stand_in, kind in rules:
-        value, present = F.lit(stand_in), F.lit(False)
-        for name in reversed(names):
-            has = F.map_contains_key(F.col(fields), name)
-            value = F.when(has, F.col(fields)[name]).otherwise(value)
-            present = present | has
-        value = value if kind == "string" else value.try_cast(kind)
-        if kind != "string" or target == "district":
-            ok = ok & (~present | value.isNotNull())
-        out.append(value.alias(target))
+    values, checked, names = [], [], []
+    for target, spellings, stand_in, kind in rules:
+        text = F.coalesce(*[F.col(fields)[name] for name in spellings], F.lit(stand_in))
+        values.append((text if kind == "string" else text.try_cast(kind)).alias(target))
+        if kind != "string":
+            checked.append(F.col(f"_r.{target}"))
+            names.extend(spellings)
+        elif target == "district":
+            names.extend(spellings)
+    null_field = F.exists(F.map_entries(fields), lambda e: e["value"].isNull() & e["key"].isin(names))
+    read = df.select("*", parsed_once(F.struct(*values, null_field.alias("_null")), "_r"))
+    ok = ~F.col("_r._null")
+    for column in checked:
+        ok = ok & column.isNotNull()
     ok = F.coalesce(ok, F.lit(False))
-    return df.filter(ok).select(*out), df.filter(~ok)
+    good = read.filter(ok).select(*keep, *[f"_r.{target}" for target, *_ in rules])
+    return good, read.filter(~ok).drop("_r")
 
 
 def limit_to(df: DataFrame, names: str, known, column: str = "district") -> DataFrame:

@@ -254,7 +254,7 @@ def history_table_scan(spark, sf_dir):
     """The (district, year) history table written and read back."""
     path = scratch_path(spark, "history")
     SF.write_history(history_good(spark, sf_dir), path)
-    return spark.read.parquet(path).select("district", "year", "date", "max_temp", "precipitation")
+    return SF.read_history(spark, path).select("district", "year", "date", "max_temp", "precipitation")
 
 
 def history_good(spark, sf_dir):

@@ -72,8 +72,7 @@ def stream_counter(spark, sf_dir):
     root = scratch_path(spark, "counter")
     table = KeyedTable(spark, f"{root}/counter", ["stat_date", "district", "hour"], ["stat_date"])
     work_off(S.counter_stream(event_stream(spark, sf_dir)), S.table_sink(table, ["record_count"]), root, "update")
-    return table.read().select(F.date_format(F.col("stat_date").cast("date"), "yyyy-MM-dd").alias("stat_date"),
-                               "district", "hour", "record_count")
+    return table.read().select("stat_date", "district", "hour", "record_count")
 
 
 @query(O._HOUR_STATS, doubles="avg_temp max_temp total_precip", times="hour_bucket")

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
@@ -47,12 +48,14 @@ class KeyedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str], partition: list[str],
-                 order: list[str] | None = None):
-        self.spark, self.path = spark, path.rstrip("/")
+                 order: list[str] | None = None, schema: StructType | None = None):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.key, self.partition, self.order = key, partition, order or []
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """The stored rows. The schema matters: folder names alone would turn a text date into a date."""
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(self.path)
 
     def _arrange(self, df: DataFrame) -> DataFrame:
         """Rows of a partition side by side; a hot partition is spread over several tasks by key."""
@@ -67,6 +70,7 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, version: list[str], token: str) -> None:
         """Merge ``rows``; ``token`` names the batch (same token, same staging folder)."""
+        self.schema = self.schema or rows.schema
         fresh = last_per_key(rows, self.key, version)
         if not _exists(self.spark, self.path):
             self._write(fresh, self.path, "overwrite")

@@ -20,17 +20,28 @@ def with_date(df: DataFrame, column: str = "Date") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("date"))
 
 
+def typed(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast by name; columns the schema does not know stay text."""
+    named = trim_headers(text)
+    known = {f.name: f.dataType for f in schema.fields}
+
+    def read(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return column.cast(known[name]).alias(name) if name in known else column
+
+    return named.select(*[read(c) for c in named.columns])
+
+
 def read_csv(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header. With ``schema`` the columns of the file are matched by name."""
-    reader = spark.read.option("header", True)
+    """CSV with a header; with ``schema`` the columns are matched by name.
+
+    All files must have the header of the first one: a file with other columns
+    fails the job rather than being read into the wrong columns.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    text = reader.csv(path)
-    named = trim_headers(text)
-    known = {f.name: f.dataType for f in schema.fields}
-    return named.select(*[
-        F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in named.columns
-    ])
+    return typed(reader.csv(path), schema)
 
 
 def read_daily_csv(spark: SparkSession, path) -> DataFrame:
@@ -39,24 +50,21 @@ def read_daily_csv(spark: SparkSession, path) -> DataFrame:
 
 
 def station_name(suffix: str = "csv") -> Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{suffix}$", 1)
+    """The file's name without its suffix; file names arrive in URL form."""
+    stem = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{suffix}$", 1)
+    return F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
 
 
 def read_stations(spark: SparkSession, folder: str, schema: T.StructType = DAILY) -> DataFrame:
-    """A folder with one CSV per district; the file name is the district.
-
-    One scan over all files. The columns follow ``schema``, less the district,
-    which no file has to repeat.
-    """
-    inside = T.StructType([f for f in schema.fields if f.name != "District"])
-    rows = spark.read.schema(inside).option("header", True).option("enforceSchema", False).csv(
-        f"{folder.rstrip('/')}/*.csv"
-    )
-    return rows.select(station_name().alias("District"), *inside.names)
+    """A folder with one CSV per district, read in one scan; the file name is the district."""
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(f"{folder.rstrip('/')}/*.csv")
+    rows = typed(text.withColumn("_station", station_name()), schema)
+    measures = [c for c in rows.columns if c not in ("District", "_station")]
+    return rows.select(F.col("_station").alias("District"), *measures)
 
 
 def read_many_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", True).csv(paths)
+    return read_csv(spark, paths)
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
