@@ -27,11 +27,11 @@ def add_season(df: DataFrame, date: str = "Date") -> DataFrame:
     })
 
 
-def rolling(blocks: Blocks) -> Blocks:
+def rolling(blocks: Blocks, rain: str = "precip") -> Blocks:
     """3- and 7-day rain (missing days skipped), 3-day mean temperature, 3-day peak range."""
     return blocks.with_columns({
-        "precip_3d": F.sum("Precip").over(blocks.frame(-2)),
-        "precip_7d": F.sum("Precip").over(blocks.frame(-6)),
+        f"{rain}_3d": F.sum("Precip").over(blocks.frame(-2)),
+        f"{rain}_7d": F.sum("Precip").over(blocks.frame(-6)),
         "maxT_3d_mean": F.avg("MaxTemp_2m").over(blocks.frame(-2)),
         "temp_range_3d_max": F.max("TempRange_2m").over(blocks.frame(-2)),
     })
@@ -62,11 +62,16 @@ def wetness_index(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K
     return blocks.with_columns({name: total / scale})
 
 
+def look_back(blocks: Blocks, block_rows: int = BLOCK_ROWS, rain: str = "precip") -> Blocks:
+    """All look-back features on blocks with an overlap of ``DECAY_OVERLAP``."""
+    return wetness_index(lags(rolling(blocks, rain)), block_rows)
+
+
 def rolling_features(df: DataFrame, *, key: str = "District", date: str = "Date",
                      block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All look-back features from one partitioning of the history."""
     blocks = in_blocks(df, key, date, DECAY_OVERLAP, block_rows=block_rows)
-    return wetness_index(lags(rolling(blocks)), block_rows).plain()
+    return look_back(blocks, block_rows).plain()
 
 
 def climatology(df: DataFrame, key: str = "District", date: str = "Date") -> DataFrame:

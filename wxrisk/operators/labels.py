@@ -100,16 +100,6 @@ def flood_thresholds(inputs: DataFrame, key: str = "District", **how) -> DataFra
     return group_quantiles(inputs, [key], FLOOD_LIMITS, **how)
 
 
-def attach_by_block(blocks: Blocks, per_series: DataFrame) -> Blocks:
-    """Joins one-row-per-series values on (series, block), the rows' own partitioning.
-
-    The per-series table is first spread over that series' blocks, so a hot
-    series is never gathered for the join.
-    """
-    spread = blocks.layout.join(per_series, blocks.key, "left")
-    return blocks.over(blocks.own_rows().df.join(spread, blocks.keys, "left"))
-
-
 def run_length(blocks: Blocks, condition: Column, name: str, stage=unstaged) -> Blocks:
     """Days in a row up to and with each day on which ``condition`` holds, 0 where it does not.
 
@@ -144,17 +134,21 @@ def flood_flags(df: DataFrame) -> DataFrame:
 def label_heat(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District", date: str = "Date",
                min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS, stage=unstaged) -> DataFrame:
     limits = heat_thresholds(df, key, stage=stage) if thresholds is None else thresholds
-    blocks = attach_by_block(in_blocks(df, key, date, 0, block_rows=block_rows), limits)
+    blocks = in_blocks(df, key, date, 0, block_rows=block_rows).attach(limits)
     return heat_flags(blocks, min_run, stage).plain().drop("heat_limit")
 
 
 def flood_blocks(df: DataFrame, *, key: str = "District", date: str = "Date", scope: str = "table",
-                 block_rows: int = BLOCK_ROWS, stage=unstaged) -> Blocks:
-    """1-, 3- and 7-day rain and filled humidity: all that the flood label needs."""
-    blocks = in_blocks(df, key, date, RAIN_OVERLAP, block_rows=block_rows)
-    blocks = known_humidity(rain_windows(blocks)).own_rows()
-    filled = fill_humidity(blocks.over(stage(blocks.df, "flood-windows")), scope=scope)
-    return filled.over(stage(filled.df, "flood-inputs"))
+                 overlap: int = RAIN_OVERLAP, more=lambda blocks: blocks, block_rows: int = BLOCK_ROWS,
+                 stage=unstaged) -> Blocks:
+    """1-, 3- and 7-day rain and filled humidity: all that the flood label needs.
+
+    ``more`` may add further look-back columns to the same blocks, up to ``overlap`` rows.
+    """
+    blocks = in_blocks(df, key, date, overlap, block_rows=block_rows)
+    blocks = known_humidity(rain_windows(more(blocks))).own_rows()
+    filled = fill_humidity(blocks.over(stage(blocks.df, "windows")), scope=scope)
+    return filled.over(stage(filled.df, "filled"))
 
 
 def label_flood(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District",
@@ -162,22 +156,27 @@ def label_flood(df: DataFrame, thresholds: DataFrame | None = None, *, key: str
                 stage=unstaged) -> DataFrame:
     blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
     limits = flood_thresholds(blocks.df, key, stage=stage) if thresholds is None else thresholds
-    return flood_flags(attach_by_block(blocks, limits).plain()).drop("wet_limit")
+    return flood_flags(blocks.attach(limits).plain()).drop("wet_limit")
 
 
-def label_both(df: DataFrame, *, fit_on: DataFrame | None = None, key: str = "District", date: str = "Date",
-               scope: str = "table", min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS,
-               stage=unstaged) -> DataFrame:
-    """Both labels over one partitioning of the history.
+def both_flags(blocks: Blocks, *, fit_on: DataFrame | None = None, date: str = "Date",
+               min_run: int = K.HEAT_MIN_RUN, stage=unstaged) -> DataFrame:
+    """Both labels on blocks that have the flood inputs.
 
     Limits come from the whole history, or only from the (district, day) pairs
     of ``fit_on``, so that a later test period is not looked into.
     """
-    blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
     seen = blocks.df
     if fit_on is not None:
-        seen = seen.join(fit_on.select(key, date), [key, date], "left_semi")
-    limits = group_quantiles(seen, [key], HEAT_LIMITS | FLOOD_LIMITS, stage=stage)
-    flagged = attach_by_block(blocks, limits)
+        seen = seen.join(fit_on.select(blocks.key, date), [blocks.key, date], "left_semi")
+    limits = group_quantiles(seen, [blocks.key], HEAT_LIMITS | FLOOD_LIMITS, stage=stage)
+    flagged = blocks.attach(limits)
     flagged = heat_flags(flagged.over(flood_flags(flagged.df)), min_run, stage)
     return flagged.plain().drop("heat_limit", "wet_limit")
+
+
+def label_both(df: DataFrame, *, fit_on: DataFrame | None = None, key: str = "District", date: str = "Date",
+               scope: str = "table", block_rows: int = BLOCK_ROWS, stage=unstaged) -> DataFrame:
+    """Both labels over one partitioning of the history."""
+    blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
+    return both_flags(blocks, fit_on=fit_on, date=date, stage=stage)

@@ -2,16 +2,17 @@
 
 The built-in exact percentile keeps every distinct value of a group in one
 task's memory. Here values are counted first (equal values fold into one row),
-then ranked by running counts in pieces, and only the two rows around each
-wanted rank are kept.
+then cut into pieces along the value; the piece totals tell which piece holds
+each wanted rank, and only those pieces are sorted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wxrisk.operators.running import CUT_EVERY, running
+from wxrisk.operators.running import CUT_EVERY, in_pieces
 from wxrisk.session import unstaged
 
 
@@ -36,12 +37,22 @@ def group_quantiles(
         .groupBy(*keys, "q", "v").agg(F.count("*").alias("n"))
     )
     counted = stage(counted, "value-counts")
-    place = ((F.sum("n") - 1) * F.max("q")).alias("place")
-    targets = counted.groupBy(*keys).agg(place)
-    ranked = running(counted, keys, "v", {"upto": ("sum", "n")}, cut_every=cut_every)
+    pieces = [*keys, "_piece"]
+    cut = in_pieces(counted, keys, "v", cut_every=cut_every)
+    along = W.partitionBy(*keys).orderBy("_piece")
+    totals = cut.groupBy(*pieces, "q").agg(F.sum("n").alias("total")).select(
+        *pieces, "q", "total",
+        (F.sum("total").over(along) - F.col("total")).alias("start"),
+        F.sum("total").over(W.partitionBy(*keys)).alias("size"),
+    )
+    place = (F.col("size") - 1) * F.col("q")
+    holding = totals.withColumn("place", place).filter(
+        (F.col("start") <= F.ceil("place")) & (F.col("start") + F.col("total") - 1 >= F.floor("place"))
+    ).select(*pieces, "start", "place")
+    inside = W.partitionBy(*pieces).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    around = cut.drop("q").join(holding, pieces).withColumn("upto", F.col("start") + F.sum("n").over(inside))
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     low, high = F.floor("place"), F.ceil("place")
-    around = ranked.join(targets, keys).filter((first <= high) & (last >= low))
 
     def value(name: str):
         def held(rank):

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wxrisk.operators.running import running
-from wxrisk.operators.series import POSITION, with_position
+from wxrisk.operators.series import POSITION, in_blocks, with_position
 
 
 def block_batches(df: DataFrame, size: int = 10, *, key: str = "District", order: str = "Date") -> DataFrame:
@@ -46,19 +46,18 @@ def row_range(df: DataFrame, start: int, end: int, *, key: str, order: str) -> D
 
     Stands for "the first ``end`` rows without the first ``start``" in one pass.
     """
-    placed = with_position(df, key, order)
+    blocks = in_blocks(df, key, order, 0)
     sizes = df.groupBy(key).agg(F.count("*").alias("_size"))
     offsets = running(sizes, [], key, {"_offset": ("sum", "_size")}, before=True).select(key, "_offset")
     place = F.col("_offset") + F.col(POSITION)
-    return (
-        placed.join(offsets, key).filter((place >= start) & (place < end)).drop(POSITION, "_offset")
-    )
+    placed = blocks.attach(offsets)
+    return placed.over(placed.df.filter((place >= start) & (place < end)).drop("_offset")).plain()
 
 
-def prefix_difference(df: DataFrame, start: int, end: int, *order: str) -> DataFrame:
-    """First ``end`` rows minus first ``start`` rows as a set: duplicates vanish."""
-    ordered = df.orderBy(*order)
-    return ordered.limit(end).subtract(ordered.limit(start))
+def prefix_difference(df: DataFrame, start: int, end: int, *order: str, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of the first ``end`` rows minus those of the first ``start`` as a set: duplicates vanish."""
+    ordered, names = df.orderBy(*order), columns or df.columns
+    return ordered.limit(end).select(*names).subtract(ordered.limit(start).select(*names))
 
 
 def progress_by_batch(batched: DataFrame, by: str = "batch") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 CUT_EVERY = 1 << 16
 MOST_PIECES = 512
+SALTS = 32
 
 
 def _combine(kind: str, start: Column, inside: Column) -> Column:
@@ -39,12 +40,16 @@ def in_pieces(df: DataFrame, group: list[str], order: str, *, cut_every: int = C
     """Adds ``_piece``, rising along ``order`` within each group.
 
     A group has one piece per ``cut_every`` rows on average, at most ``MOST_PIECES``.
+    The cut lists are joined under a salt, so a hot group is not gathered for it.
     """
     picked = df.select(*group, order).filter(F.pmod(F.xxhash64(order), F.lit(cut_every)) == 0)
     cuts = F.sort_array(F.collect_set(order))
     if group:
-        table = picked.groupBy(*group).agg(cuts.alias("_all")).select(*group, _thinned(F.col("_all")).alias("_cuts"))
-        df = df.join(table, group, "left")
+        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")
+        table = picked.groupBy(*group).agg(cuts.alias("_all"))
+        table = table.select(*group, _thinned(F.col("_all")).alias("_cuts"), salts)
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), order), F.lit(SALTS).cast("long")))
+        df = salted.join(table, [*group, "_salt"], "left").drop("_salt")
     else:
         df = df.withColumn("_cuts", picked.agg(cuts.alias("_all")).select(_thinned(F.col("_all"))).scalar())
     passed = F.size(F.filter("_cuts", lambda c: c < F.col(order)))

@@ -86,6 +86,15 @@ class Blocks:
         """The same blocks over other rows or columns."""
         return replace(self, df=df)
 
+    def attach(self, per_series: DataFrame) -> "Blocks":
+        """Joins one-row-per-series values on (series, block), the rows' own partitioning.
+
+        The per-series table is first spread over that series' blocks, so a hot
+        series is never gathered for the join.
+        """
+        spread = self.layout.join(per_series, self.key, "left")
+        return self.over(self.own_rows().df.join(spread, self.keys, "left"))
+
     def plain(self) -> DataFrame:
         return self.own_rows().df.drop(POSITION, BLOCK, COPY)
 

@@ -505,9 +505,7 @@ def replay_row_range(spark, sf_dir):
   except select "TempRange_2m", "WindSpeed_10m" from n where rn <= 1000""", doubles="TempRange_2m WindSpeed_10m")
 def replay_subtract(spark, sf_dir):
     rows = daily(spark, sf_dir).select("District", "Date", "TempRange_2m", "WindSpeed_10m")
-    first = rows.orderBy("District", "Date").limit(4000).select("TempRange_2m", "WindSpeed_10m")
-    head = rows.orderBy("District", "Date").limit(1000).select("TempRange_2m", "WindSpeed_10m")
-    return first.subtract(head)
+    return R.prefix_difference(rows, 1000, 4000, "District", "Date", columns=["TempRange_2m", "WindSpeed_10m"])
 
 
 @query(f"""with {Q.DAILY}, top as (select * from daily order by "Date" desc, "District" desc limit 100)

@@ -21,10 +21,20 @@ def ingest(spark: SparkSession, csv: str, out: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def label_and_build(df: DataFrame, *, stage=unstaged, block_rows: int = labels.BLOCK_ROWS) -> DataFrame:
-    """Daily history to the feature table with labels."""
-    labelled = stage(labels.label_both(df, stage=stage, block_rows=block_rows), "labelled")
-    return features.build_features(labelled, block_rows=block_rows)
+def label_and_build(df: DataFrame, *, fit_on: DataFrame | None = None, stage=unstaged,
+                    block_rows: int = labels.BLOCK_ROWS) -> DataFrame:
+    """Daily history to the feature table with labels, over one partitioning of the history.
+
+    The rain sums of the labels count missing days as dry, those of the features
+    skip them; only the latter are kept.
+    """
+    blocks = labels.flood_blocks(
+        df, overlap=features.DECAY_OVERLAP, block_rows=block_rows, stage=stage,
+        more=lambda b: features.look_back(b, block_rows, rain="_rain"),
+    )
+    labelled = labels.both_flags(blocks, fit_on=fit_on, stage=stage).drop("precip_3d", "precip_7d")
+    labelled = labelled.withColumnsRenamed({"_rain_3d": "precip_3d", "_rain_7d": "precip_7d"})
+    return features.keep_features(features.add_anomalies(features.add_season(stage(labelled, "labelled"))))
 
 
 def before_last_days(df: DataFrame, days: int = K.TEST_DAYS) -> DataFrame:

@@ -72,6 +72,11 @@ class TableStages:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Deletes this run's intermediate tables, once nothing reads them any more."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 def unstaged(df, name: str):
     """The default stage: keep the plan lazy."""

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+FEW_PARTITIONS = 1000
+
+
 def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
     """The row with the highest ``version`` of each key.
 
@@ -23,7 +26,7 @@ def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
+def committed(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was completed."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
@@ -68,6 +71,22 @@ class KeyedTable:
             .partitionBy(*self.partition).parquet(path)
         )
 
+    def _touched(self, fresh: DataFrame) -> DataFrame:
+        """Stored rows of the partitions that ``fresh`` touches.
+
+        Up to ``FEW_PARTITIONS`` partitions are listed (so few that the list may be
+        broadcast) and prune the scan; more are found by a join.
+        """
+        touched = fresh.select(*self.partition).distinct()
+        few = touched.limit(FEW_PARTITIONS + 1).collect()
+        if len(few) > FEW_PARTITIONS:
+            return self.read().join(touched, self.partition, "left_semi")
+        stored = self.read()
+        for i, name in enumerate(self.partition):
+            stored = stored.filter(F.col(name).isin(list({row[i] for row in few})))
+        listed = self.spark.createDataFrame(few, touched.schema)
+        return stored.join(F.broadcast(listed), self.partition, "left_semi")
+
     def upsert(self, rows: DataFrame, version: list[str], token: str) -> None:
         """Merge ``rows``; ``token`` names the batch (same token, same staging folder)."""
         self.schema = self.schema or rows.schema
@@ -77,12 +96,10 @@ class KeyedTable:
             return
         staging = f"{self.path}.staging/{token}"
         new, merged = f"{staging}/new", f"{staging}/merged"
-        if not _committed(self.spark, merged):
+        if not committed(self.spark, merged):
             fresh.write.mode("overwrite").parquet(new)
             fresh = self.spark.read.schema(rows.schema).parquet(new)
-            touched = fresh.select(*self.partition).distinct()
-            stored = self.read().select(*rows.columns)
-            old = stored.join(touched, self.partition, "left_semi").join(fresh, self.key, "left_anti")
+            old = self._touched(fresh).select(*rows.columns).join(fresh, self.key, "left_anti")
             old.unionByName(fresh).write.mode("overwrite").parquet(merged)
         self._write(self.spark.read.schema(rows.schema).parquet(merged), self.path, "overwrite")
 

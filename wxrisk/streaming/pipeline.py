@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from wxrisk.functions.scalar import stable_id
 from wxrisk.operators import scoring, views
 from wxrisk.operators.cleaning import transform_stream
 from wxrisk.sinks.files import write_lake_batch
-from wxrisk.sinks.tables import KeyedTable, write_with_fallback
+from wxrisk.sinks.tables import KeyedTable, committed, write_with_fallback
 from wxrisk.sources import messages as M
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -59,7 +60,7 @@ class BatchWriters:
         try:
             if batch.isEmpty():
                 return
-            failures = []
+            failures, begin = [], time.monotonic()
             for name, sink in self.sinks.items():
                 try:
                     if self.fallback:
@@ -70,15 +71,19 @@ class BatchWriters:
                 except Exception as error:  # reported once the other sinks are done
                     failures.append((name, error))
             if self.audit:
-                self._log(batch, batch_id, "error" if failures else "ok")
+                spent = int((time.monotonic() - begin) * 1000)
+                self._log(batch, batch_id, "error" if failures else "ok", spent)
             if failures:
                 raise RuntimeError(f"sinks failed: {[n for n, _ in failures]}") from failures[0][1]
         finally:
             batch.unpersist()
 
-    def _log(self, batch: DataFrame, batch_id: int, status: str) -> None:
+    def _log(self, batch: DataFrame, batch_id: int, status: str, spent: int) -> None:
         rows = views.ingest_log(batch, F.lit(batch_id), F.current_timestamp(), self.station)
-        write_lake_batch(rows.withColumn("status", F.lit(status)), self.audit, batch_id)
+        rows = rows.withColumnsRenamed({"batch_id": "batch"}).withColumns({
+            "status": F.lit(status), "duration_ms": F.lit(spent),
+        })
+        write_lake_batch(rows, self.audit, batch_id)
 
 
 def lake_sink(root: str) -> BatchWriter:
@@ -163,14 +168,19 @@ class RecentBuffer:
         return df.orderBy(*[F.desc(c) for c in self.order]).limit(self.size)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        fresh, before = self._top(batch), f"{self.root}/upto={batch_id - 1}"
-        if batch_id > 0:
-            kept = self.spark.read.schema(batch.schema).parquet(before)
-            fresh = self._top(fresh.unionByName(kept))
-        fresh.write.mode("overwrite").parquet(f"{self.root}/upto={batch_id}")
+        fresh = self._top(batch)
+        for earlier in range(batch_id - 1, -1, -1):
+            if committed(self.spark, self._folder(earlier)):
+                kept = self.spark.read.schema(batch.schema).parquet(self._folder(earlier))
+                fresh = self._top(fresh.unionByName(kept))
+                break
+        fresh.write.mode("overwrite").parquet(self._folder(batch_id))
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/upto={batch_id}"
 
     def read(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/upto={batch_id}")
+        return self.spark.read.parquet(self._folder(batch_id))
 
 
 def replay_stream(spark: SparkSession, folder: str, schema, files_per_batch: int = 1,
