@@ -96,6 +96,17 @@ def test_rolling_features(df, frame, block_rows):
     assert same(got["API"], expected)
 
 
+def test_rows_without_a_key_are_kept(spark):
+    day = dt.date(2020, 1, 1)
+    data = [("a", day, 1.0), ("a", None, 2.0), (None, day, 4.0), (None, None, 8.0)]
+    df = spark.createDataFrame(data, "District string, Date date, Precip double").withColumns(
+        {"MaxTemp_2m": F.lit(1.0), "TempRange_2m": F.lit(1.0), "RH_2m": F.lit(1.0)})
+    got = features.rolling_features(df).collect()
+    assert sorted(r["Precip"] for r in got) == [1.0, 2.0, 4.0, 8.0]
+    assert {r["Precip"]: r["precip_3d"] for r in got if r["District"]} == {1.0: 1.0, 2.0: 3.0}
+    assert labels.label_both(df).count() == 4
+
+
 def test_all_missing_window_stays_missing(spark):
     days = [(("a"), dt.date(2020, 1, i + 1), None, 1.0) for i in range(5)]
     df = spark.createDataFrame(days, "District string, Date date, Precip double, MaxTemp_2m double").withColumn(

@@ -5,7 +5,8 @@ Here each row first gets its position in the series, the series is cut into
 blocks of ``block_rows`` rows, and the last ``overlap`` rows of a block are
 copied in front of the next one. Frames that look back at most ``overlap`` rows
 then give the same result inside a block as over the whole series, and a hot
-district is spread over many tasks.
+district is spread over many tasks. Rows without a district belong to no series:
+they are kept, without look-back values.
 """
 
 from __future__ import annotations
@@ -32,19 +33,21 @@ def with_position(
 ) -> DataFrame:
     """Adds the 0-based position of each row in its series.
 
-    ``slot`` is a coarse calendar value that rises with ``order`` (default: its
+    ``slot`` is a coarse calendar number that rises with ``order`` (default: its
     year). Rows are numbered inside a slot and shifted by the number of rows in
-    earlier slots, so no task sorts more than one slot of one series. Rows with
-    equal ``order`` are told apart by a hash of the whole row.
+    earlier slots, so no task sorts more than one slot of one series. A daily
+    history has one row per district and day, at most 366 in a year; a denser
+    series needs a finer slot. Rows with equal ``order`` are told apart by a
+    hash of the whole row, rows without a date come last.
     """
-    slot = F.year(order) if slot is None else slot
-    inside = W.partitionBy(key, _SLOT).orderBy(order, F.xxhash64(*df.columns))
+    slot = F.coalesce(F.year(order) if slot is None else slot, F.lit(2**31 - 1))
+    inside = W.partitionBy(key, _SLOT).orderBy(F.asc_nulls_last(order), F.xxhash64(*df.columns))
     earlier = W.partitionBy(key).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     starts = _slot_sizes(df, key, slot).select(key, _SLOT, start)
     numbered = df.withColumn(_SLOT, slot).withColumn("_place", F.row_number().over(inside))
     return (
-        numbered.join(starts, [key, _SLOT])
+        numbered.join(starts, [key, _SLOT], "left")
         .withColumn(name, (F.col("_start") + F.col("_place") - 1).cast("long"))
         .drop(_SLOT, "_place", "_start")
     )
@@ -108,8 +111,8 @@ def in_blocks(
     last = F.floor((F.col(POSITION) + overlap) / block_rows)
     spread = (
         positioned.withColumn("_home", home)
-        .withColumn(BLOCK, F.explode(F.sequence(home, last)))
-        .withColumn(COPY, F.col(BLOCK) != F.col("_home"))
+        .select("*", F.explode_outer(F.sequence(home, last)).alias(BLOCK))
+        .withColumn(COPY, F.coalesce(F.col(BLOCK) != F.col("_home"), F.lit(False)))
         .drop("_home")
     )
     last_block = F.floor((F.count("*") - 1) / block_rows)

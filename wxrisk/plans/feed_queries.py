@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wxrisk.operators import cleaning as C
+from wxrisk.operators.alerts import fan_out_alerts
 from wxrisk.operators import serving, views
+from wxrisk.plans import batch
 from wxrisk.plans import daily_queries as D
 from wxrisk.plans import observation_queries as O
 from wxrisk.plans import sql_inputs as Q
@@ -200,7 +202,15 @@ def many_csv_scan(spark, sf_dir):
     """One folder of CSV per district, read in one scan with inferred types."""
     path = scratch_path(spark, "csv-many")
     SF.write_stations(D.daily(spark, sf_dir).select(*_DAILY_NAMES), path)
-    return spark.read.option("header", True).option("inferSchema", True).csv(path).select(*_DAILY_NAMES)
+    return RF.read_many_csv(spark, [path]).select(*_DAILY_NAMES)
+
+
+@query(f"with {Q.DAILY} select {_DAILY_COLUMNS} from daily", doubles=_DAILY_DOUBLES, days="Date")
+def station_csv_scan(spark, sf_dir):
+    """A folder with one CSV per district; the district comes from the file name."""
+    path = scratch_path(spark, "stations")
+    X.station_folder(D.daily(spark, sf_dir).select(*_DAILY_NAMES), path)
+    return RF.read_stations(spark, path).select(*_DAILY_NAMES)
 
 
 @query(f"with {Q.OBS} select event_id, district, date, temp, humidity, rain_1h from obs", doubles="temp rain_1h")
@@ -309,3 +319,48 @@ def lake_inventory(spark, sf_dir):
 @query()
 def lake_listing(spark, sf_dir):
     return SF.lake_listing(spark, _lake(spark, sf_dir))
+
+
+# --- whole plans -----------------------------------------------------------------------------
+
+@query(f"""with {Q.T} select district, date, {O._climate_sql()}, {O.steady_sql('sum(total_precip)', 2)} as total_precip,
+  {O.steady_sql('avg(wind_speed)', 2)} as avg_wind, cast(sum(is_rainy) as int) as rainy_hours,
+  max(heatwave_indicator) as heatwave_risk_level, max(flood_indicator) as flood_risk_level,
+  cast(count(*) as int) as observation_count from t group by district, date""")
+def full_load(spark, sf_dir):
+    """The whole batch load; the answer is the stored daily table."""
+    root = scratch_path(spark, "load")
+    tables = batch.serving_tables(spark, f"{root}/serving")
+    batch.load(spark, X.obs(spark, sf_dir), f"{root}/out", tables, "first")
+    return tables["weather_daily_summary"].read().drop("etl_timestamp")
+
+
+@query(f"""{O._RECOMPUTE} select district, date, avg_temp, max_temp, min_temp, avg_humidity, total_precip, avg_wind,
+  cast(rainy_hours as int) as rainy_hours, cast(trunc(max_heatwave_risk * 10) as int) as heatwave_risk_level,
+  cast(trunc(max_flood_risk * 10) as int) as flood_risk_level, cast(observation_count as int) as observation_count from d""")
+def rebuild_from_lake(spark, sf_dir):
+    """Stream rows in a two-batch lake, the daily view rebuilt from it into the serving table."""
+    root = scratch_path(spark, "rebuild")
+    rows = O.stream_rows(spark, sf_dir)
+    for part in (0, 1):
+        SF.write_lake_batch(rows.filter(F.col("day") % 2 == part), f"{root}/lake", part)
+    table = batch.serving_tables(spark, f"{root}/serving", "stream")["weather_daily_summary"]
+    batch.rebuild_daily(spark, f"{root}/lake", f"{root}/daily", table)
+    return table.read().drop("etl_timestamp")
+
+
+@query(f"""with {Q.DAILY}, a as (select "District" as district, 'HEATWAVE' as alert_type, case when "MaxTemp_2m" > 45
+    then 'HIGH' else 'MEDIUM' end as severity, "Date" as timestamp from daily where "MaxTemp_2m" > 40 union all
+  select "District", 'FLOOD_RISK', case when "Precip" > 150 then 'HIGH' else 'MEDIUM' end, "Date" from daily where "Precip" > 100)
+  select * from a order by timestamp desc, district desc, alert_type desc limit 20""", days="timestamp")
+def recent_alerts(spark, sf_dir):
+    rows = fan_out_alerts(D.daily(spark, sf_dir)).select("district", "alert_type", "severity", "timestamp")
+    return serving.recent(rows, "timestamp", 20, tie=("district", "alert_type"))
+
+
+@query(f"""with {Q.DAILY}, a as (select "District" as district, 'HEATWAVE' as alert_type, "Date" as timestamp from daily
+    where "MaxTemp_2m" > 40 union all select "District", 'FLOOD_RISK', "Date" from daily where "Precip" > 100)
+  select * from a where district = 'Parsa' order by timestamp desc, alert_type desc limit 20""", days="timestamp")
+def recent_alerts_of_district(spark, sf_dir):
+    rows = fan_out_alerts(D.daily(spark, sf_dir)).select("district", "alert_type", "timestamp")
+    return serving.recent(rows, "timestamp", 20, "Parsa", ("alert_type",))

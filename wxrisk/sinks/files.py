@@ -79,10 +79,8 @@ def history_records(df: DataFrame, now: Column | None = None) -> tuple[DataFrame
 
 def write_history(df: DataFrame, path: str) -> None:
     """History partitioned by district and year, newest day first inside a file."""
-    # A year of one district may be large: its rows go to up to 12 tasks, by month.
     (
-        df.repartition("district", "year", F.month("date"))
-        .sortWithinPartitions("district", "year", F.desc("date"))
+        df.hint("rebalance", "district", "year").sortWithinPartitions("district", "year", F.desc("date"))
         .write.mode("overwrite").partitionBy("district", "year").parquet(path)
     )
 

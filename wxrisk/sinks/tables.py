@@ -61,9 +61,8 @@ class KeyedTable:
         return reader.parquet(self.path)
 
     def _arrange(self, df: DataFrame) -> DataFrame:
-        """Rows of a partition side by side; a hot partition is spread over several tasks by key."""
-        spread = F.pmod(F.xxhash64(*self.key), F.lit(16))
-        return df.repartition(*self.partition, spread).sortWithinPartitions(*self.partition, *self.order)
+        """Rows of a partition side by side; adaptive execution splits a hot partition over several tasks."""
+        return df.hint("rebalance", *self.partition).sortWithinPartitions(*self.partition, *self.order)
 
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
         (

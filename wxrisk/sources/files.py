@@ -50,13 +50,16 @@ def read_daily_csv(spark: SparkSession, path) -> DataFrame:
 
 
 def station_name(suffix: str = "csv") -> Column:
-    """The file's name without its suffix; file names arrive in URL form."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\.{suffix}$", 1)
+    """The file's name without its suffix and part number; file names arrive in URL form."""
+    stem = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*?)(\.part\d+)?\.{suffix}$", 1)
     return F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
 
 
 def read_stations(spark: SparkSession, folder: str, schema: T.StructType = DAILY) -> DataFrame:
-    """A folder with one CSV per district, read in one scan; the file name is the district."""
+    """A folder with a CSV per district, read in one scan; the file name is the district.
+
+    A large district may come in several files, ``name.part0.csv`` and so on.
+    """
     text = spark.read.option("header", True).option("enforceSchema", False).csv(f"{folder.rstrip('/')}/*.csv")
     rows = typed(text.withColumn("_station", station_name()), schema)
     measures = [c for c in rows.columns if c not in ("District", "_station")]

@@ -164,3 +164,17 @@ def payloads(obs_df: DataFrame, *, kelvin: bool = False) -> DataFrame:
     return obs_df.select(
         "event_id", F.col("district").alias("city"), "fetch_time", F.to_json(body).alias("payload")
     )
+
+
+def station_folder(daily_df: DataFrame, root: str, key: str = "District") -> None:
+    """CSV files named by the district, as station archives come; one file per task that wrote it."""
+    parts = f"{root}.parts"
+    daily_df.write.partitionBy(key).option("header", True).csv(parts)
+    spark = daily_df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(parts)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(root))
+    for i, entry in enumerate(fs.globStatus(hadoop.Path(f"{parts}/{key}=*/part-*"))):
+        name = entry.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(entry.getPath(), hadoop.Path(f"{root}/{name}.part{i}.csv"))
