@@ -29,9 +29,9 @@ FLOOD_LIMITS = {
 }
 
 
-def _newest(condition: Column, *parts: str) -> Column:
-    """Aggregate: the struct of ``parts`` with the highest first part where ``condition`` holds."""
-    return F.max(F.when(condition, F.struct(*parts)))
+def _known_at(column: str, place: str) -> Column:
+    """``place`` of the rows where ``column`` has a value; others are left out of min_by and max_by."""
+    return F.when(F.col(column).isNotNull(), F.col(place))
 
 
 def _carry(summary: DataFrame, key: str, column: str) -> DataFrame:
@@ -66,14 +66,13 @@ def fill_humidity(blocks: Blocks, column: str = "RH_2m", name: str = "RH_2m_fill
     before it. With ``scope="district"`` it stays inside each district.
     """
     key, rows = blocks.key, blocks.own_rows().df
-    present = F.col(column).isNotNull()
     summary = rows.groupBy(*blocks.keys).agg(
-        _newest(present, POSITION, column)[column].alias("_tail"),
-        F.min(F.when(present, F.struct(POSITION, column))).alias("_head"),
+        F.max_by(column, _known_at(column, POSITION)).alias("_tail"),
+        F.min_by(column, _known_at(column, POSITION)).alias("_head"),
     )
     per_series = summary.groupBy(key).agg(
-        _newest(F.col("_tail").isNotNull(), BLOCK, "_tail")["_tail"].alias("_tail"),
-        F.min("_head")[column].alias("_head"),
+        F.max_by("_tail", _known_at("_tail", BLOCK)).alias("_tail"),
+        F.min_by("_head", _known_at("_head", BLOCK)).alias("_head"),
     )
     if scope == "district":
         edges = per_series.select(key, F.col("_head").alias("_edge"))
