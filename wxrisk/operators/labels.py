@@ -58,7 +58,7 @@ def known_humidity(blocks: Blocks, column: str = "RH_2m") -> Blocks:
 
 
 def fill_humidity(blocks: Blocks, column: str = "RH_2m", name: str = "RH_2m_filled",
-                  scope: str = "table") -> Blocks:
+                  scope: str = "table", stage=unstaged) -> Blocks:
     """Forward fill, then backward fill; needs ``_known``.
 
     With ``scope="table"`` the fill runs over the table sorted by district and
@@ -86,6 +86,7 @@ def fill_humidity(blocks: Blocks, column: str = "RH_2m", name: str = "RH_2m_fill
     starts = _carry(summary, key, "_tail").join(edges, key, "left").select(
         *blocks.keys, F.coalesce("_carried", "_edge").alias("_start")
     )
+    starts = stage(starts, "humidity-starts")
     filled = rows.join(starts, blocks.keys, "left").withColumn(name, F.coalesce("_known", "_start"))
     return blocks.over(filled.drop("_known", "_start"))
 
@@ -107,10 +108,10 @@ def run_length(blocks: Blocks, condition: Column, name: str, stage=unstaged) ->
     """
     broken = F.when(~holds(condition), F.col(POSITION))
     rows = blocks.own_rows().with_columns({"_broken": broken})
-    rows = rows.with_columns({"_last": F.max("_broken").over(rows.so_far())})
-    rows = blocks.over(stage(rows.df, "run-windows"))
     summary = rows.df.groupBy(*blocks.keys).agg(F.max("_broken").alias("_broken_at"))
-    joined = rows.df.join(_carry(summary, blocks.key, "_broken_at"), blocks.keys, "left")
+    starts = stage(_carry(summary, blocks.key, "_broken_at"), "run-starts")
+    rows = rows.with_columns({"_last": F.max("_broken").over(rows.so_far())})
+    joined = rows.df.join(starts, blocks.keys, "left")
     since = F.coalesce("_last", "_carried", F.lit(-1))
     counted = joined.withColumn(name, (F.col(POSITION) - since).cast("long"))
     return blocks.over(counted.drop("_broken", "_last", "_carried"))
@@ -133,7 +134,7 @@ def flood_flags(df: DataFrame) -> DataFrame:
 def label_heat(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District", date: str = "Date",
                min_run: int = K.HEAT_MIN_RUN, block_rows: int = BLOCK_ROWS, stage=unstaged) -> DataFrame:
     limits = heat_thresholds(df, key, stage=stage) if thresholds is None else thresholds
-    blocks = in_blocks(df, key, date, 0, block_rows=block_rows).attach(limits)
+    blocks = in_blocks(df, key, date, 0, block_rows=block_rows).attach(limits, stage)
     return heat_flags(blocks, min_run, stage).plain().drop("heat_limit")
 
 
@@ -146,8 +147,7 @@ def flood_blocks(df: DataFrame, *, key: str = "District", date: str = "Date", sc
     """
     blocks = in_blocks(df, key, date, overlap, block_rows=block_rows)
     blocks = known_humidity(rain_windows(more(blocks))).own_rows()
-    filled = fill_humidity(blocks.over(stage(blocks.df, "windows")), scope=scope)
-    return filled.over(stage(filled.df, "filled"))
+    return fill_humidity(blocks.over(stage(blocks.df, "windows")), scope=scope, stage=stage)
 
 
 def label_flood(df: DataFrame, thresholds: DataFrame | None = None, *, key: str = "District",
@@ -155,7 +155,7 @@ def label_flood(df: DataFrame, thresholds: DataFrame | None = None, *, key: str
                 stage=unstaged) -> DataFrame:
     blocks = flood_blocks(df, key=key, date=date, scope=scope, block_rows=block_rows, stage=stage)
     limits = flood_thresholds(blocks.df, key, stage=stage) if thresholds is None else thresholds
-    return flood_flags(blocks.attach(limits).plain()).drop("wet_limit")
+    return flood_flags(blocks.attach(limits, stage).plain()).drop("wet_limit")
 
 
 def both_flags(blocks: Blocks, *, fit_on: DataFrame | None = None, date: str = "Date",
@@ -169,7 +169,7 @@ def both_flags(blocks: Blocks, *, fit_on: DataFrame | None = None, date: str = "
     if fit_on is not None:
         seen = seen.join(fit_on.select(blocks.key, date), [blocks.key, date], "left_semi")
     limits = group_quantiles(seen, [blocks.key], HEAT_LIMITS | FLOOD_LIMITS, stage=stage)
-    flagged = blocks.attach(limits)
+    flagged = blocks.attach(limits, stage)
     flagged = heat_flags(flagged.over(flood_flags(flagged.df)), min_run, stage)
     return flagged.plain().drop("heat_limit", "wet_limit")
 

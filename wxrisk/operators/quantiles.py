@@ -38,7 +38,7 @@ def group_quantiles(
     )
     counted = stage(counted, "value-counts")
     pieces = [*keys, "_piece"]
-    cut = in_pieces(counted, keys, "v", cut_every=cut_every)
+    cut = in_pieces(counted, keys, "v", cut_every=cut_every, stage=stage)
     along = W.partitionBy(*keys).orderBy("_piece")
     totals = cut.groupBy(*pieces, "q").agg(F.sum("n").alias("total")).select(
         *pieces, "q", "total",
@@ -49,6 +49,7 @@ def group_quantiles(
     holding = totals.withColumn("place", place).filter(
         (F.col("start") <= F.ceil("place")) & (F.col("start") + F.col("total") - 1 >= F.floor("place"))
     ).select(*pieces, "start", "place")
+    holding = stage(holding, "pieces-with-ranks")
     inside = W.partitionBy(*pieces).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     around = cut.drop("q").join(holding, pieces).withColumn("upto", F.col("start") + F.sum("n").over(inside))
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1

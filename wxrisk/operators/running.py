@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wxrisk.session import unstaged
+
 CUT_EVERY = 1 << 16
 MOST_PIECES = 512
 SALTS = 32
@@ -36,11 +38,14 @@ def _thinned(cuts: Column) -> Column:
     return F.filter(cuts, lambda _, i: i % step == 0)
 
 
-def in_pieces(df: DataFrame, group: list[str], order: str, *, cut_every: int = CUT_EVERY) -> DataFrame:
+def in_pieces(df: DataFrame, group: list[str], order: str, *, cut_every: int = CUT_EVERY,
+              stage=unstaged) -> DataFrame:
     """Adds ``_piece``, rising along ``order`` within each group.
 
     A group has one piece per ``cut_every`` rows on average, at most ``MOST_PIECES``.
-    The cut lists are joined under a salt, so a hot group is not gathered for it.
+    The cut lists are few. As a staged table their size is known, and they are
+    broadcast if it is small; a shuffled join goes by group and salt, so that a
+    hot group is not gathered for it.
     """
     picked = df.select(*group, order).filter(F.pmod(F.xxhash64(order), F.lit(cut_every)) == 0)
     cuts = F.sort_array(F.collect_set(order))
@@ -48,6 +53,7 @@ def in_pieces(df: DataFrame, group: list[str], order: str, *, cut_every: int = C
         salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt")
         table = picked.groupBy(*group).agg(cuts.alias("_all"))
         table = table.select(*group, _thinned(F.col("_all")).alias("_cuts"), salts)
+        table = stage(table, "cuts")
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), order), F.lit(SALTS).cast("long")))
         df = salted.join(table, [*group, "_salt"], "left").drop("_salt")
     else:

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wxrisk.session import unstaged
+
 BLOCK_ROWS = 2048
 POSITION = "_position"
 BLOCK = "_block"
@@ -89,13 +91,13 @@ class Blocks:
         """The same blocks over other rows or columns."""
         return replace(self, df=df)
 
-    def attach(self, per_series: DataFrame) -> "Blocks":
+    def attach(self, per_series: DataFrame, stage=unstaged) -> "Blocks":
         """Joins one-row-per-series values on (series, block), the rows' own partitioning.
 
         The per-series table is first spread over that series' blocks, so a hot
         series is never gathered for the join.
         """
-        spread = self.layout.join(per_series, self.key, "left")
+        spread = stage(self.layout.join(per_series, self.key, "left"), "per-block")
         return self.over(self.own_rows().df.join(spread, self.keys, "left"))
 
     def plain(self) -> DataFrame:

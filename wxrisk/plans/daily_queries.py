@@ -183,13 +183,22 @@ def climatology(spark, sf_dir):
     return FE.climatology(daily(spark, sf_dir))
 
 
-@query(f"""with {_CLIM} select {DD}, doy, "clim_maxT", clim_precip, "MaxTemp_2m" - "clim_maxT" as "anom_maxT",
+_ANOMALY = f"""with {_CLIM} select {DD}, doy, "clim_maxT", clim_precip, "MaxTemp_2m" - "clim_maxT" as "anom_maxT",
   "Precip" - clim_precip as anom_precip from (select *, cast(dayofyear("Date") as int) as doy from daily)
-  left join clim using ("District", doy)""", doubles="clim_maxT clim_precip anom_maxT anom_precip", days="Date")
+  left join clim using ("District", doy)"""
+_ANOMALY_NAMES = ["clim_maxT", "clim_precip", "anom_maxT", "anom_precip"]
+
+
+@query(_ANOMALY, doubles=" ".join(_ANOMALY_NAMES), days="Date")
 def climatology_anomaly(spark, sf_dir):
-    return FE.add_anomalies(daily(spark, sf_dir)).select(
-        "District", "Date", "doy", "clim_maxT", "clim_precip", "anom_maxT", "anom_precip"
-    )
+    return FE.add_anomalies(daily(spark, sf_dir)).select("District", "Date", "doy", *_ANOMALY_NAMES)
+
+
+@query(_ANOMALY, doubles=" ".join(_ANOMALY_NAMES), days="Date")
+def climatology_join(spark, sf_dir):
+    """The same from a climatology table: a left join on (district, day of year)."""
+    rows = daily(spark, sf_dir)
+    return FE.add_anomalies(rows, FE.climatology(rows)).select("District", "Date", "doy", *_ANOMALY_NAMES)
 
 
 _FEATURES = Q.LABELS + f""", clim as (select "District", dayofyear("Date") as doy, median("MaxTemp_2m") as "clim_maxT"

@@ -34,7 +34,7 @@ def label_and_build(df: DataFrame, *, fit_on: DataFrame | None = None, stage=uns
     )
     labelled = labels.both_flags(blocks, fit_on=fit_on, stage=stage).drop("precip_3d", "precip_7d")
     labelled = labelled.withColumnsRenamed({"_rain_3d": "precip_3d", "_rain_7d": "precip_7d"})
-    return features.keep_features(features.add_anomalies(features.add_season(stage(labelled, "labelled"))))
+    return features.keep_features(features.add_anomalies(features.add_season(labelled)))
 
 
 def before_last_days(df: DataFrame, days: int = K.TEST_DAYS) -> DataFrame:
