@@ -58,10 +58,3 @@ def prefix_difference(df: DataFrame, start: int, end: int, *order: str, columns:
     """``columns`` of the first ``end`` rows minus those of the first ``start`` as a set: duplicates vanish."""
     ordered, names = df.orderBy(*order), columns or df.columns
     return ordered.limit(end).select(*names).subtract(ordered.limit(start).select(*names))
-
-
-def progress_by_batch(batched: DataFrame, by: str = "batch") -> DataFrame:
-    """Rows and distinct districts delivered by each batch."""
-    return batched.groupBy(by).agg(
-        F.count("*").alias("records"), F.count_distinct("District").alias("districts")
-    )

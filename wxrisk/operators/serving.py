@@ -42,10 +42,11 @@ def since(df: DataFrame, hours: float, as_of: dt.datetime | Column | None = None
 
     With a given time the bound is a constant, so the filter reaches the scan.
     """
+    back = dt.timedelta(hours=hours)
     if isinstance(as_of, dt.datetime):
-        return df.filter(F.col(time) >= F.lit(as_of - dt.timedelta(hours=hours)))
+        return df.filter(F.col(time) >= F.lit(as_of - back))
     now = F.current_timestamp() if as_of is None else as_of
-    return df.filter(F.col(time) >= now - F.make_dt_interval(F.lit(0), F.lit(int(hours))))
+    return df.filter(F.col(time) >= now - F.lit(back))
 
 
 def since_day(df: DataFrame, days: int, today: dt.date, date: str = "date") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -77,14 +78,14 @@ def load(spark: SparkSession, raw: DataFrame, out: str, tables: dict[str, KeyedT
 
 
 def rebuild_daily(spark: SparkSession, lake: str, out: str, table: KeyedTable | None = None,
-                  token: str = "rebuild") -> DataFrame:
+                  token: str | None = None) -> DataFrame:
     """The daily view recomputed from all lake batches; overwrites ``out`` and updates the serving table."""
     daily = views.daily_recompute(files.read_lake(spark, lake))
     write_files(daily.withColumn("etl_timestamp", F.current_timestamp()), out)
     stored = spark.read.parquet(out)
     if table is not None:
         serving = views.daily_serving(stored).withColumn("etl_timestamp", F.current_timestamp())
-        table.upsert(to_schema(serving, table), ["etl_timestamp"], token)
+        table.upsert(to_schema(serving, table), ["etl_timestamp"], token or f"rebuild-{uuid.uuid4().hex}")
     return stored
 
 

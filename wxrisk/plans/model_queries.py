@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wxrisk.constants import STATION_INPUTS
 from wxrisk.operators import models as MO
 from wxrisk.operators import scoring, views
 from wxrisk.plans import daily_queries as D
@@ -65,7 +66,7 @@ def station_scores(spark, sf_dir):
         F.col("WindSpeed_10m").alias("wind_speed"), (F.col("MaxTemp_2m") > 40).cast("int").alias("label"),
     )
     inputs = scoring.station_inputs(rows)
-    model, _ = MO.train_trees(inputs, list(scoring.K.STATION_INPUTS), rounds=5)
+    model, _ = MO.train_trees(inputs, list(STATION_INPUTS), rounds=5)
     return MO.score(model, inputs).select("District", "Date", "prediction_prob")
 
 

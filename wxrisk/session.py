@@ -55,6 +55,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/wxrisk-scratch/{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) handles of the cluster's storage layer."""
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return handle.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), handle
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, handle = file_system(spark, path)
+    files.delete(handle, True)
+
+
 class TableStages:
     """Writes an intermediate table to the shared folder and reads it back.
 
@@ -74,8 +85,7 @@ class TableStages:
 
     def remove(self) -> None:
         """Deletes this run's intermediate tables, once nothing reads them any more."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folder(self.spark, self.root)
 
 
 def unstaged(df, name: str):

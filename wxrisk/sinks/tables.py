@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wxrisk.session import file_system, remove_folder
+
 
 FEW_PARTITIONS = 1000
 
@@ -28,8 +30,8 @@ def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame
 
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was completed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    files, marker = file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -46,8 +48,8 @@ class KeyedTable:
     ``upsert`` rewrites only the partitions that the new rows touch. The merged
     rows are completed in a staging folder first and then put in place. If the
     last step is cut short, the same upsert (same token) finishes it from the
-    staging folder, so no stored row is lost and none is doubled. Tokens must
-    differ between batches, and only the newest batch may be repeated.
+    staging folder, so no stored row is lost and none is doubled. A token names
+    one batch of rows, and only the newest batch may be repeated.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str], partition: list[str],
@@ -101,6 +103,7 @@ class KeyedTable:
             old = self._touched(fresh).select(*rows.columns).join(fresh, self.key, "left_anti")
             old.unionByName(fresh).write.mode("overwrite").parquet(merged)
         self._write(self.spark.read.schema(rows.schema).parquet(merged), self.path, "overwrite")
+        remove_folder(self.spark, staging)
 
 
 def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fallback: str) -> str:

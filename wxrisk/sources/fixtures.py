@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxrisk.constants import DISTRICTS
+from wxrisk.session import file_system
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -171,10 +172,8 @@ def station_folder(daily_df: DataFrame, root: str, key: str = "District") -> Non
     parts = f"{root}.parts"
     daily_df.write.partitionBy(key).option("header", True).csv(parts)
     spark = daily_df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(parts)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop.Path(root))
-    for i, entry in enumerate(fs.globStatus(hadoop.Path(f"{parts}/{key}=*/part-*"))):
+    files, target = file_system(spark, root)
+    files.mkdirs(target)
+    for i, entry in enumerate(files.globStatus(file_system(spark, f"{parts}/{key}=*/part-*")[1])):
         name = entry.getPath().getParent().getName().split("=", 1)[1]
-        fs.rename(entry.getPath(), hadoop.Path(f"{root}/{name}.part{i}.csv"))
+        files.rename(entry.getPath(), file_system(spark, f"{root}/{name}.part{i}.csv")[1])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wxrisk.functions.scalar import parsed_once
-from wxrisk.schemas import MESSAGE, MESSAGE_EXTRA, MESSAGE_SNAKE
+from wxrisk.schemas import MESSAGE, MESSAGE_EXTRA
 
 # snake-case field -> training vocabulary
 SNAKE_TO_TRAINING = {

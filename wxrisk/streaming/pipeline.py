@@ -5,13 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from wxrisk.functions.scalar import stable_id
 from wxrisk.operators import scoring, views
 from wxrisk.operators.cleaning import transform_stream
+from wxrisk.session import file_system
 from wxrisk.sinks.files import write_lake_batch
 from wxrisk.sinks.tables import KeyedTable, committed, write_with_fallback
 from wxrisk.sources import messages as M
@@ -33,8 +34,7 @@ def checkpoint_location(spark: SparkSession, preferred: str | None, fallback: st
     """``preferred`` if its file system answers, else ``fallback``."""
     if preferred:
         try:
-            path = spark._jvm.org.apache.hadoop.fs.Path(preferred)
-            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            files, path = file_system(spark, preferred)
             if files.exists(path) or files.mkdirs(path):
                 return preferred
         except Exception:  # file system unknown or unreachable
@@ -194,7 +194,3 @@ def payload_stream(spark: SparkSession, folder: str, schema, to_rows: Callable[[
                    files_per_batch: int = 100) -> DataFrame:
     """Payload files dropped into a folder, as transformed observation rows."""
     return to_rows(replay_stream(spark, folder, schema, files_per_batch, "json"))
-
-
-def event_hour(time: str) -> Column:
-    return F.date_trunc("hour", F.col(time))
