@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,11 +34,9 @@ def committed(spark: SparkSession, path: str) -> bool:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-    except PySparkException:
-        return False
-    return True
+    """Whether the folder holds anything but hidden files."""
+    files, pattern = file_system(spark, f"{path}/[^_.]*")
+    return len(files.globStatus(pattern)) > 0
 
 
 class KeyedTable:
