@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wxrisk.llm import common
 from wxrisk.llm.blocks import Block, blocks_of
 
-PATH_DIM, WORD_DIM, SHAPE_DIM = 128, 32, 8
+PATH_DIM, WORD_DIM, SHAPE_DIM = 256, 32, 8
 INPUTS = PATH_DIM + WORD_DIM + SHAPE_DIM
 HIDDEN = 16
 #: Pages that the labeller is fitted on, at most, and their largest size.
@@ -225,13 +225,24 @@ def relaid(pages: list[list[Block]], layouts: int = LAYOUTS, seed: int = 7) -> l
     def steps(name: str) -> tuple[tuple[str, ...], ...]:
         return (tuple(name.split()),)
 
+    def told(own: tuple, b: Block) -> list[Block]:
+        """A block of main text in its own tags, or as a list, table or quotation, whole or in pieces."""
+        inner = tuple(step for step in b.path if step[0] in ("p", "h1", "h2", "h3", "ul", "li", "blockquote", "pre"))
+        if layout and draw.random() < 0.2:
+            inner = draw.choice(((("blockquote",), ("p",)), (("pre",),), (("ul",), ("li",)), (("table",), ("tr",), ("td",)), (("dl",), ("dd",)), (("h2",),), (("div",),)))
+            words = b.text.split()
+            if draw.random() < 0.5 and len(words) > 12:
+                cuts = [0, *sorted(draw.sample(range(1, 12), 3)), len(words)]
+                return [Block(" ".join(words[a:z]), (*own, *inner), 0) for a, z in zip(cuts, cuts[1:], strict=False)]
+        return [Block(b.text, (*own, *inner), b.linked)]
+
     def side(name: str) -> list[Block]:
         around = tuple(steps(draw.choice(("div", "div wrapper", "div container")))) if draw.random() < 0.3 else ()
         made = []
         wordy = any(m in name for m in ("comment", "reply", "disqus", "related", "newsletter", "notice", "legal", "consent"))
         for _ in range(draw.randint(1, 6)):
             found = draw.choice(draw.choice(mains)) if wordy and draw.random() < 0.7 else draw.choice(sides)
-            inner = draw.choice(((), (("li",),), (("p",),), (("ul",), ("li",)), (("div",),), (("h3",),)))
+            inner = draw.choice(((), (("li",),), (("p",),), (("ul",), ("li",)), (("div",),), (("h1",),), (("h2",),), (("h3",),), (("td",),)))
             made.append(Block(found.text, (("html",), ("body",), *around, *steps(name), *inner), len(found.text) if found.linked and draw.random() < 0.8 else 0))
         return made
 
@@ -240,7 +251,7 @@ def relaid(pages: list[list[Block]], layouts: int = LAYOUTS, seed: int = 7) -> l
             name = "article" if layout < 2 else draw.choice(MAIN_PARTS)
             around = tuple(steps(draw.choice(("div", "div wrapper", "div container", "div page", "main")))) if draw.random() < 0.3 else ()
             own = tuple((("html",), ("body",), *around, *steps(name)))
-            body = [(Block(b.text, (*own, *(step for step in b.path if step[0] in ("p", "h1", "h2", "h3", "ul", "li", "blockquote", "pre"))), b.linked), True) for b in main]
+            body = [(block, True) for b in main for block in told(own, b)]
             if draw.random() < 0.35:  # something that is no main text inside the article
                 at = draw.randint(1, len(body))
                 body[at:at] = [(Block(b.text, (*own, *b.path[2:]), b.linked), False) for b in side(draw.choice(SIDE_PARTS))]
