@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -22,8 +21,8 @@ from wxrisk.llm import common
 
 #: Code points of a payload in one chunk.
 CHUNK_CHARS = 65_536
-#: Bytes of payload that one archive file holds, about.
-ARCHIVE_BYTES = 32 << 20
+#: Records of an archive file at most.
+ARCHIVE_RECORDS = 2_000
 #: Equal payloads of at least this many bytes are written once.
 LEAST_REVISIT_BYTES = 0
 
@@ -44,24 +43,27 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), HEX_32, BASE_32)
 
 
-def decided(pages: DataFrame, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
+def decided(pages: DataFrame, stage, least_bytes: int = LEAST_REVISIT_BYTES) -> DataFrame:
     """(page_id, url, html, digest, payload_bytes, copy, kind, refers_to) for every row of ``pages``.
 
     The response is the row with the smallest page_id (nulls last), then url, of its payload; equal
-    rows are told apart by ``copy``. Only digests and keys are grouped; a payload shared by a third
-    of all pages is one row there, and the join back to it is split by adaptive execution.
+    rows are told apart by ``copy``. The decisions are taken over digests and keys alone, where a
+    payload shared by a third of all pages is one group; then one payload per digest is moved, and
+    revisits have an empty html.
     """
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    keyed = plain.withColumn("digest", base32_sha1(F.col("html").cast("binary")))
-    rows = keyed.groupBy("page_id", "url", "digest").agg(F.first("html").alias("html"), F.count("*").cast("int").alias("copies"))
+    keyed = plain.withColumn("digest", base32_sha1(F.col("html").cast("binary"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
+    rows = keyed.groupBy("page_id", "url", "digest", "payload_bytes").agg(F.count("*").cast("int").alias("copies"))
     first = keyed.groupBy("digest").agg(F.min(F.struct(
         F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")).alias("first"))
     joined = rows.join(first, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    length = F.octet_length("html").cast("long")
     leads = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url")) & (F.col("copy") == 1)
-    kind = F.when((length < least_bytes) | leads, "response").otherwise("revisit")
-    return joined.select("page_id", "url", "html", "digest", length.alias("payload_bytes"), "copy", kind.alias("kind"),
-                         F.when(kind == "revisit", F.col("first.page_id")).alias("refers_to"))
+    kind = F.when((F.col("payload_bytes") < least_bytes) | leads, "response").otherwise("revisit")
+    known = stage(joined.select("page_id", "url", "digest", "payload_bytes", "copy", kind.alias("kind"),
+                                F.when(kind == "revisit", F.col("first.page_id")).alias("refers_to")), "decisions")
+    payloads = keyed.groupBy("digest").agg(F.first("html").alias("html"))
+    return known.where("kind = 'response'").join(payloads, "digest").unionByName(
+        known.where("kind = 'revisit'").withColumn("html", F.lit("")))
 
 
 def chunk_table(rows: DataFrame, chunk: int = CHUNK_CHARS) -> DataFrame:
@@ -105,16 +107,15 @@ def record_text(chunks: DataFrame) -> Column:
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_REVISIT_BYTES, chunk: int = CHUNK_CHARS,
-                   archive_bytes: int = ARCHIVE_BYTES) -> None:
+                   records: int = ARCHIVE_RECORDS) -> None:
     """Writes one WARC record per row of ``pages`` (page_id, url, html), as gzip files below ``path``.
 
-    Segments of a record are dealt over the archives, so that a huge payload doesn't make a huge file.
+    A file has at most ``records`` records, each of at most a chunk, so a huge payload does not make
+    a huge file; its segments may lie in several.
     """
-    size = pages.agg(F.sum(F.octet_length("html") + 800)).first()[0] or 0
-    chunks = chunk_table(decided(pages, least_bytes), chunk)
-    files = max(1, math.ceil(size / archive_bytes))
-    dealt = chunks.select(record_text(chunks).alias("value"), "record", "segment").repartition(files, "record", "segment")
-    dealt.select("value").write.option("lineSep", END).option("compression", "gzip").text(path)
+    chunks = chunk_table(decided(pages, common.stages(pages, "warc"), least_bytes), chunk)
+    rows = chunks.select(record_text(chunks).alias("value"))
+    rows.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
 def parsed(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
