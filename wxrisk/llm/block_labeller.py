@@ -264,8 +264,10 @@ def relaid(pages: list[list[Block]], layouts: int = LAYOUTS, seed: int = 7) -> l
 
 def fitted(pages: DataFrame, limit: int = SAMPLE_PAGES) -> Labeller:
     """A labeller of a bounded sample of pages: those with landmarks, up to a size, with the smallest hash of page_id."""
-    sample = pages.where(F.octet_length("html").between(1, SAMPLE_PAGE_BYTES)).orderBy(F.xxhash64("page_id"), "page_id", "html").select("html").limit(limit)
-    found = [blocks_of(r["html"]) for r in sample.collect()]
+    usable = pages.where(F.octet_length("html").between(1, SAMPLE_PAGE_BYTES))
+    chosen = [r["page_id"] for r in common.sampled(usable.select("page_id").distinct(), "page_id", limit).collect()]
+    sample = usable.where(F.col("page_id").isin(chosen)).groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    found = [blocks_of(r["html"]) for r in sorted(sample, key=lambda r: r["page_id"])]
     own = [([b for b in page if landmark(b) is not None], page) for page in found]
     examples = [(kept, np.array([bool(landmark(b)) for b in kept])) for kept, page in own if len(kept) == len(page) and kept]
     examples += relaid([kept for kept, _ in own if kept])

@@ -27,6 +27,18 @@ def stages(df: DataFrame, label: str) -> TableStages:
     return TableStages(df.sparkSession, label)
 
 
+def sampled(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows, those with the smallest hash of ``key``; null keys are left out.
+
+    A share that is expected to hold a little more than the limit is cut off by hash before
+    sorting, so what is gathered does not grow with the table.
+    """
+    known = rows.where(F.col(key).isNotNull())
+    share = min(1.0, (1.2 * limit + 100) / max(1, known.count()))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    return known.where(place <= F.lit(int(share * (1 << 40)))).orderBy(place, key).limit(limit)
+
+
 def row_key() -> Column:
     """doc_id, or for rows without one a number beyond 2**62 from the text's hash."""
     return F.coalesce(F.col("doc_id").cast("long"), F.pmod(F.xxhash64("text"), F.lit(1 << 61)) + F.lit(1 << 62))

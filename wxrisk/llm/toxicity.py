@@ -61,9 +61,8 @@ def is_held_out(doc_id: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, text, toxic) of at most ``limit`` labelled rows that are not held out."""
-    usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
-    usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    usable = labels.where(F.col("toxic").isNotNull() & ~is_held_out(F.col("doc_id")))
+    chosen = common.sampled(usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "doc_id", limit)
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
