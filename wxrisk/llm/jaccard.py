@@ -34,8 +34,8 @@ from wxrisk.llm.components import components
 SKETCH_BITS = 28
 #: Text bytes whose shingles one counting group holds.
 GROUP_BYTES = 8 << 20
-#: Parts of the hash space whose counts the suffix filter compares.
-SUFFIX_PARTS = 8
+#: 64-bit words of the suffix filter's signature: the parities of that many times 64 parts of the hash space.
+SIGNATURE_WORDS = 8
 
 _WEIGHTS = common.mix(np.arange(101, 165, dtype=np.uint64))
 
@@ -144,22 +144,26 @@ def _ordered_sets(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, percent: int) -> DataFrame:
-    """(gram, node, n, pos, rare, parts): the repeated shingles of each prefix."""
+    """(gram, node, n, pos, rare, s0 ... s7): the repeated shingles of each prefix, and the set's signature."""
+    signed = [f"s{k}" for k in range(SIGNATURE_WORDS)]
+
     def rows(batches):
         for batch in batches:
             out = []
             for node, n, rare, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 grams = np.frombuffer(raw, np.uint64)
                 prefix = n - _needed(n, percent) + 1
-                parts = np.bincount((grams >> np.uint64(20)).astype(np.int64) % SUFFIX_PARTS, minlength=SUFFIX_PARTS).tolist()
-                out += [(g, node, n, rare + k, rare, parts) for k, g in enumerate(grams[rare:prefix].view(np.int64).tolist())]
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+                size = 64 * SIGNATURE_WORDS
+                odd = np.bincount(((grams >> np.uint64(20)) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+                signature = np.packbits(odd.astype(bool)).view(np.int64).tolist()
+                out += [(g, node, n, rare + k, rare, *signature) for k, g in enumerate(grams[rare:prefix].view(np.int64).tolist())]
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), *[pa.int64()] * SIGNATURE_WORDS)
             columns = zip(*out, strict=True) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
-                                             ["gram", "node", "n", "pos", "rare", "parts"])
+                                             ["gram", "node", "n", "pos", "rare", *signed])
 
     return classes.select("node", "n", "rare", "grams").mapInArrow(
-        rows, "gram long, node binary, n long, pos long, rare long, parts array<int>"
+        rows, "gram long, node binary, n long, pos long, rare long, " + ", ".join(f"{c} long" for c in signed)
     )
 
 
@@ -173,14 +177,17 @@ def _may_link(percent: int) -> Column:
 
 
 def _suffix_filter(percent: int) -> Column:
-    """The parts' counts differ by no more than linked sets can differ."""
-    apart = F.aggregate(F.zip_with("qx", "qy", lambda a, b: F.abs(a - b)), F.lit(0), lambda s, v: s + v)
-    both = F.col("nx") + F.col("ny")
-    return apart * (100 + percent) <= both * (100 - percent)
+    """The parities that differ are no more than the shingles that only one of two linked sets can have."""
+    apart = sum((F.bit_count(F.col("qx")[f"s{k}"].bitwiseXOR(F.col("qy")[f"s{k}"])) for k in range(SIGNATURE_WORDS)), F.lit(0))
+    return apart * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent)
+
+
+def _signature(column: str = "") -> Column:
+    return F.struct(*[F.col(f"{column}s{k}").alias(f"s{k}") for k in range(SIGNATURE_WORDS)])
 
 
 def _side(tokens: DataFrame, s: str, *more: str) -> DataFrame:
-    return tokens.select("gram", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"), F.col("parts").alias(f"q{s}"), *more)
+    return tokens.select("gram", F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("pos").alias(f"p{s}"), _signature().alias(f"q{s}"), *more)
 
 
 def _distinct_pairs(pairs: DataFrame, percent: int) -> DataFrame:
@@ -225,9 +232,9 @@ def near_duplicate_components(docs: DataFrame, width: int = 4, percent: int = 85
     tokens = stage(_prefixes(classes, percent).withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent))).cast("int")), "prefixes")
 
-    pivots = tokens.groupBy("gram", "band").agg(F.min(F.struct("rare", "node", "n", "pos", "parts")).alias("p"))
+    pivots = tokens.groupBy("gram", "band").agg(F.min(F.struct("rare", "node", "n", "pos", *[f"s{k}" for k in range(SIGNATURE_WORDS)])).alias("p"))
     near = pivots.select("gram", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"),
-                         F.col("p.node").alias("x"), F.col("p.n").alias("nx"), F.col("p.pos").alias("px"), F.col("p.parts").alias("qx"))
+                         F.col("p.node").alias("x"), F.col("p.n").alias("nx"), F.col("p.pos").alias("px"), _signature("p.").alias("qx"))
     stars = _distinct_pairs(_side(tokens, "y", "band").join(near, ["gram", "band"]), percent)
     links = stage(_verified(stars, classes, percent), "starlinks")
     first = stage(components(links, stage), "first")
