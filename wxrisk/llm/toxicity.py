@@ -27,7 +27,9 @@ MOST_EXAMPLES = 8_192
 NEIGHBOURS = 15
 BLOCK = 64
 #: Letters of the word beginnings that are terms beside the words.
-STEM = 4
+STEMS = (4, 5, 6, 7)
+#: Words whose terms a task remembers.
+REMEMBERED_WORDS = 200_000
 #: Weight of the base rate in a vote, in units of one perfect neighbour.
 PRIOR = 0.5
 THRESHOLD = 0.3
@@ -35,14 +37,33 @@ THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(text: str) -> Counter:
-    """Lower-cased words, and word beginnings marked by a leading ``^``."""
-    words = Counter(_WORD.findall(text.lower()))
-    found = Counter(words)
-    for word, n in words.items():
-        if len(word) > STEM:
-            found["^" + word[:STEM]] += n
-    return found
+def word_terms(word: str) -> list[str]:
+    """A word and its beginnings, marked by a leading ``^``."""
+    return [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
+
+
+def words_of(text: str) -> Counter:
+    return Counter(_WORD.findall(text.lower()))
+
+
+class TermFinder:
+    """Counts the known terms of texts; the terms of words already seen are remembered."""
+
+    def __init__(self, columns: dict[str, int]):
+        self.columns = columns
+        self.seen: dict[str, list[int]] = {}
+
+    def __call__(self, text: str) -> Counter:
+        found: Counter = Counter()
+        for word, n in words_of(text).items():
+            known = self.seen.get(word)
+            if known is None:
+                if len(self.seen) >= REMEMBERED_WORDS:
+                    self.seen.clear()
+                known = self.seen[word] = [self.columns[t] for t in word_terms(word) if t in self.columns]
+            for column in known:
+                found[column] += n
+        return found
 
 
 def family(text: str) -> int:
@@ -77,7 +98,7 @@ def chosen_terms(sample: DataFrame) -> tuple[list[str], int, int]:
             out = []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 kin = family(text)
-                out += [(t, kin, toxic) for t in terms_of(text)] + [("", kin, toxic)]
+                out += [(t, kin, toxic) for t in {t for w in words_of(text) for t in word_terms(w)}] + [("", kin, toxic)]
             columns = list(zip(*out, strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["term", "kin", "toxic"])
 
@@ -104,13 +125,11 @@ def term_weights(docs: DataFrame, terms: list[str]) -> dict[str, float]:
     known = {t: k for k, t in enumerate(terms)}
 
     def rows(batches):
-        counts, n = np.zeros(len(known), np.int64), 0
+        counts, n, find = np.zeros(len(known), np.int64), 0, TermFinder(known)
         for batch in batches:
             n += batch.num_rows
             for text in batch.column(0).to_pylist():
-                for t in terms_of(text):
-                    if t in known:
-                        counts[known[t]] += 1
+                counts[list(find(text))] += 1
         yield pa.RecordBatch.from_arrays([pa.array([*range(len(known)), -1], pa.int32()), pa.array([*counts, n], pa.int64())], ["k", "n"])
 
     found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(rows, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
@@ -123,7 +142,8 @@ class ExampleIndex:
 
     def __init__(self, idf: dict[str, float], block: int = BLOCK):
         self.idf = idf
-        self.columns = {t: k for k, t in enumerate(idf)}
+        self.values = list(idf.values())
+        self.find = TermFinder({t: k for k, t in enumerate(idf)})
         self.block = block
         self.ids = np.zeros(0, np.int64)
         self.labels = np.zeros(0)
@@ -132,7 +152,7 @@ class ExampleIndex:
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(columns, weights) of a text's unit vector; both empty if it has none of the terms."""
-        found = [(self.columns[t], (1 + math.log(n)) * self.idf[t]) for t, n in terms_of(text).items() if t in self.columns]
+        found = [(k, (1 + math.log(n)) * self.values[k]) for k, n in self.find(text).items()]
         if not found:
             return np.zeros(0, np.int64), np.zeros(0)
         at, weights = (np.array(x) for x in zip(*sorted(found), strict=True))
