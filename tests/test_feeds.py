@@ -232,13 +232,33 @@ def test_counter_over_several_batches(spark, folder):
     root = scratch_path(spark, "counter")
     table = KeyedTable(spark, f"{root}/c", ["stat_date", "district", "hour"], ["stat_date"])
     rows = pipeline.serving_stream(pipeline.replay_stream(spark, path, stored.schema, 1))
-    counted = pipeline.counter_stream(rows.select("district", "fetch_time"), late="400 days")
+    counted = pipeline.counter_stream(rows.select("district", "fetch_time"))
     pipeline.start(counted, pipeline.table_sink(table, ["record_count"]), f"{root}/k", seconds=None, mode="update").awaitTermination()
     expected = views.ingest_counter(pipeline.serving_stream(stored))
     got = table.read().select("stat_date", "district", "hour", "record_count")
     assert got.exceptAll(expected).count() == 0 and expected.count() == got.count()
 
 
+def test_counter_keeps_late_hours(spark):
+    root = scratch_path(spark, "late")
+    for k, hour in enumerate((10, 20, 11, 12)):
+        rows = spark.createDataFrame([("d",)] * 10, "district string").withColumn("fetch_time", F.lit(f"2024-01-01 {hour}:05:00").cast("timestamp"))
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/in/{k}")
+    table = KeyedTable(spark, f"{root}/c", ["stat_date", "district", "hour"], ["stat_date"])
+    stream = pipeline.replay_stream(spark, f"{root}/in/*", "district string, fetch_time timestamp", 1)
+    pipeline.start(pipeline.counter_stream(stream), pipeline.table_sink(table, ["record_count"]), f"{root}/k", seconds=None, mode="update").awaitTermination()
+    assert sorted((r.hour, r.record_count) for r in table.read().collect()) == [(10, 10), (11, 10), (12, 10), (20, 10)]
+
+
+def test_upserts_keep_rows_without_partition_or_key(spark):
+    table = KeyedTable(spark, f"{scratch_path(spark, 'nulls')}/t", ["name", "place"], ["place"])
+    kind = "name string, place string, v long"
+    table.upsert(spark.createDataFrame([("a", None, 1), ("b", "x", 1), (None, None, 1), ("c", "y", 1)], kind), ["v"], "1")
+    table.upsert(spark.createDataFrame([("d", None, 2), (None, None, 2), ("b", "x", 2)], kind), ["v"], "2")
+    found = sorted(map(str, map(tuple, table.read().select("name", "place", "v").collect())))
+    assert found == sorted(map(str, [("a", None, 1), ("b", "x", 2), ("c", "y", 1), ("d", None, 2), (None, None, 2)]))
+
+
 def test_recent_buffer_and_checkpoint_choice(spark, folder):
     path, stored = feed(spark, folder, 3)
     root = scratch_path(spark, "buffer")
@@ -319,15 +339,11 @@ def test_payload_load(spark, folder):
     assert batch.serving_tables(spark, f"{root}/serving")["weather_transformed"].read().count() == rows.count()
 
 
-def test_upsert_over_many_partitions(spark, monkeypatch):
-    """Beyond the listed number of partitions the touched ones are found by a join, with the same result."""
-    from wxrisk.sinks import tables
-
+def test_upsert_over_many_partitions(spark):
+    """Touched partitions are merged, the others stay."""
     schema = "district string, at int, v int"
-    for few in (2, 1000):
-        monkeypatch.setattr(tables, "FEW_PARTITIONS", few)
-        table = KeyedTable(spark, scratch_path(spark, "keyed"), ["district", "at"], ["district"])
-        table.upsert(spark.createDataFrame([(d, 1, 1) for d in "abcdef"], schema), ["v"], "0")
-        table.upsert(spark.createDataFrame([(d, 1, 2) for d in "abcd"] + [("a", 2, 2)], schema), ["v"], "1")
-        got = sorted((r["district"], r["at"], r["v"]) for r in table.read().collect())
-        assert got == [("a", 1, 2), ("a", 2, 2), ("b", 1, 2), ("c", 1, 2), ("d", 1, 2), ("e", 1, 1), ("f", 1, 1)]
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), ["district", "at"], ["district"])
+    table.upsert(spark.createDataFrame([(d, 1, 1) for d in "abcdef"], schema), ["v"], "0")
+    table.upsert(spark.createDataFrame([(d, 1, 2) for d in "abcd"] + [("a", 2, 2)], schema), ["v"], "1")
+    got = sorted((r["district"], r["at"], r["v"]) for r in table.read().collect())
+    assert got == [("a", 1, 2), ("a", 2, 2), ("b", 1, 2), ("c", 1, 2), ("d", 1, 2), ("e", 1, 1), ("f", 1, 1)]

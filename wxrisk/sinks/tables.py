@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -12,9 +14,6 @@ from pyspark.sql.types import StructType
 from wxrisk.session import file_system, remove_folder
 
 
-FEW_PARTITIONS = 1000
-
-
 def last_per_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
     """The row with the highest ``version`` of each key.
 
@@ -39,6 +38,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return len(files.globStatus(pattern)) > 0
 
 
+def _same_rows(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Semi or anti join in which two nulls are equal."""
+    other = right.select(*[F.col(c).alias(f"_{c}") for c in columns]).distinct()
+    return left.join(other, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]), how)
+
+
 class KeyedTable:
     """A parquet table partitioned by ``partition`` columns, unique by ``key``.
 
@@ -72,18 +77,13 @@ class KeyedTable:
     def _touched(self, fresh: DataFrame) -> DataFrame:
         """Stored rows of the partitions that ``fresh`` touches.
 
-        Up to ``FEW_PARTITIONS`` partitions are listed (so few that the list may be
-        broadcast) and prune the scan; more are found by a join.
+        Partitions with a value are found by a plain join, which prunes the scan at run time;
+        those without one by a null filter, which prunes it beforehand, and a null-safe join.
         """
-        touched = fresh.select(*self.partition).distinct()
-        few = touched.limit(FEW_PARTITIONS + 1).collect()
-        if len(few) > FEW_PARTITIONS:
-            return self.read().join(touched, self.partition, "left_semi")
-        stored = self.read()
-        for i, name in enumerate(self.partition):
-            stored = stored.filter(F.col(name).isin(list({row[i] for row in few})))
-        listed = self.spark.createDataFrame(few, touched.schema)
-        return stored.join(F.broadcast(listed), self.partition, "left_semi")
+        touched, stored = fresh.select(*self.partition).distinct(), self.read()
+        blank = reduce(or_, [F.col(name).isNull() for name in self.partition])
+        named = stored.join(touched, self.partition, "left_semi")
+        return named.unionByName(_same_rows(stored.where(blank), touched.where(blank), self.partition, "left_semi"))
 
     def upsert(self, rows: DataFrame, version: list[str], token: str) -> None:
         """Merge ``rows``; ``token`` names the batch (same token, same staging folder)."""
@@ -97,7 +97,7 @@ class KeyedTable:
         if not committed(self.spark, merged):
             fresh.write.mode("overwrite").parquet(new)
             fresh = self.spark.read.schema(rows.schema).parquet(new)
-            old = self._touched(fresh).select(*rows.columns).join(fresh, self.key, "left_anti")
+            old = _same_rows(self._touched(fresh).select(*rows.columns), fresh, self.key, "left_anti")
             old.unionByName(fresh).write.mode("overwrite").parquet(merged)
         self._write(self.spark.read.schema(rows.schema).parquet(merged), self.path, "overwrite")
         remove_folder(self.spark, staging)
