@@ -29,7 +29,7 @@ BLOCK = 64
 #: Letters of the word beginnings that are terms beside the words.
 STEMS = (4, 5, 6, 7)
 #: Words whose terms a task remembers.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 100_000
 #: Weight of the base rate in a vote, in units of one perfect neighbour.
 PRIOR = 0.5
 THRESHOLD = 0.3
@@ -87,14 +87,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
-def chosen_terms(sample: DataFrame) -> tuple[list[str], int, int]:
+def _small(batches, place: int):
+    """The batches in slices of about a megabyte of text, so that a task's lists stay short."""
+    for batch in batches:
+        for a, b in common.chunks(batch.column(place), 1 << 20):
+            yield batch.slice(a, b - a)
+
+
+def chosen_terms(sample: DataFrame, stage) -> tuple[list[str], int, int]:
     """Terms that go with the label beyond chance, and the numbers of toxic and other families.
 
     Families count, not rows, so that a word shared by near copies alone is no evidence. The
     log-likelihood ratio must exceed what the best of all terms reaches by chance.
     """
     def rows(batches):
-        for batch in batches:
+        for batch in _small(batches, 0):
             out = []
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 kin = family(text)
@@ -103,7 +110,8 @@ def chosen_terms(sample: DataFrame) -> tuple[list[str], int, int]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["term", "kin", "toxic"])
 
     seen = sample.select("text", "toxic").mapInArrow(rows, "term string, kin long, toxic int").groupBy("term", "kin").agg(F.max("toxic").alias("toxic"))
-    counts = seen.groupBy("term").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).cache()
+    counts = seen.groupBy("term").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
+    counts = stage(counts, "terms")
     total = counts.where("term = ''").first()
     if total is None or not 0 < total["bad"] < total["n"]:
         return [], 0, 0
@@ -116,7 +124,6 @@ def chosen_terms(sample: DataFrame) -> tuple[list[str], int, int]:
         .where((F.col("ratio") > 2 * math.log(number) + 6) & (bad > 3 * rate * n) & (bad >= 0.5 * n))
         .orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term").collect()
     )
-    counts.unpersist()
     return [r["term"] for r in best], int(total["bad"]), int(total["n"] - total["bad"])
 
 
@@ -126,7 +133,7 @@ def term_weights(docs: DataFrame, terms: list[str]) -> dict[str, float]:
 
     def rows(batches):
         counts, n, find = np.zeros(len(known), np.int64), 0, TermFinder(known)
-        for batch in batches:
+        for batch in _small(batches, 0):
             n += batch.num_rows
             for text in batch.column(0).to_pylist():
                 counts[list(find(text))] += 1
@@ -244,12 +251,12 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Toxi
     """A model of the labelled rows that are not held out. Without both labels every text gets the base rate."""
     stage = common.stages(docs, "toxicity")
     sample = stage(labelled_sample(docs, labels, limit), "sample")
-    terms, _, _ = chosen_terms(sample)
+    terms, _, _ = chosen_terms(sample, stage)
     idf = term_weights(docs, terms) if terms else {}
     empty = ExampleIndex(idf)
 
     def vectors(batches):
-        for batch in batches:
+        for batch in _small(batches, 1):
             got = [empty.vector(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a.tolist() for a, _ in got], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in got], pa.list_(pa.float64()))], ["doc_id", "toxic", "at", "w"])
 
@@ -282,7 +289,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def rows(batches):
         known = shared.value
-        for batch in batches:
+        for batch in _small(batches, 1):
             got = [known.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([s for s, _, _ in got], pa.float64()),
@@ -304,7 +311,7 @@ def keep_harmless(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def rows(batches):
         known = shared.value
-        for batch in batches:
+        for batch in _small(batches, place):
             keep = [known.score(t or "")[0] < THRESHOLD for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
