@@ -284,6 +284,19 @@ def test_line_rules_on_odd_rows_and_long_texts(spark, odd, none):
     assert line_rules.rule_verdicts(none).count() == 0
 
 
+def test_line_reasons(spark):
+    cases = {
+        "four words and an x": "punctuation", "a line without end": "punctuation", "It ends here.": None, "quoted” \t\r": None,
+        "Three word heading": None, " \t\x0b": None, "": None, "a line, \x85 with control": "punctuation",
+        "# * b": "symbols", "one two three four # five six seven.": None, "so! very! loud!": "shouting", "one two three!": None,
+        "All Rights Reserved": "boilerplate", "Home page": "navigation", "a b c d]": None, "a b c d}": None, "a b c d^": "punctuation",
+        "a b c d\\": "punctuation",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "line string, expected string")
+    wrong = rows.withColumn("got", line_rules.line_reason(F.col("line"))).where("not got <=> expected").collect()
+    assert not wrong
+
+
 def test_decontamination_tolerates_substitutions_and_leaves_others(spark, odd, none):
     draw = random.Random(2)
     item = [f"w{draw.randrange(900)}" for _ in range(30)]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from wxrisk.llm.common import let, pinned, space_words
 
-SPACES = " \t\n\x0b\f\r"
+SPACE = r"[ \t-\r]"
+WORD_CHAR = r"[^ \t-\r]"
 SYMBOLS = "#*$%&|<>"
 
 # What a line may end with, and what marks navigation and boilerplate.
@@ -30,16 +31,12 @@ FEWEST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 
-def _without(text: Column, letters: str) -> Column:
-    return F.translate(text, letters, "")
-
-
 def _word_chars(text: Column) -> Column:
-    return F.char_length(_without(text, SPACES)).cast("long")
+    return F.char_length(F.regexp_replace(text, f"{SPACE}+", "")).cast("long")
 
 
-def _count_of(text: Column, letters: str) -> Column:
-    return (F.char_length(text) - F.char_length(_without(text, letters))).cast("long")
+def _symbols(text: Column) -> Column:
+    return F.char_length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("long")
 
 
 def line_reason(line: Column) -> Column:
@@ -48,15 +45,16 @@ def line_reason(line: Column) -> Column:
     A line without a word never fails. A line fails for punctuation if it has four words or more
     and no end mark; shorter ones pass, they may be headings.
     """
-    words = F.size(F.split(F.trim(F.regexp_replace(line, "[ \\t-\\r]+", " ")), " "))
-    end = F.substring(F.rtrim(F.translate(line, SPACES, " " * len(SPACES))), -1, 1)
+    words = F.size(F.split(F.trim(F.regexp_replace(line, f"{SPACE}+", " ")), " "))
+    shouts = F.char_length(F.regexp_replace(line, "[^!]+", ""))
+    # The plain searches come first, so most lines are never counted out.
     return (
-        F.when(_word_chars(line) == 0, F.lit(None))
-        .when(_count_of(line, SYMBOLS) > words * SYMBOLS_PER_WORD, "symbols")
-        .when(_count_of(line, "!") > words * SHOUTS_PER_WORD, "shouting")
+        F.when(~line.rlike(WORD_CHAR), F.lit(None))
+        .when(line.rlike(f"[{SYMBOLS}]") & (_symbols(line) > words * SYMBOLS_PER_WORD), "symbols")
+        .when(line.contains("!") & (shouts > words * SHOUTS_PER_WORD), "shouting")
         .when(line.rlike(BOILERPLATE), "boilerplate")
         .when(line.rlike(NAVIGATION), "navigation")
-        .when((words >= 4) & (F.locate("x", F.translate(end, LINE_ENDS, "x" * len(LINE_ENDS))) == 0), "punctuation")
+        .when(~line.rlike(rf"[\Q{LINE_ENDS}\E]{SPACE}*\z") & (words >= 4), "punctuation")
     )
 
 
@@ -97,8 +95,8 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     rules = let(F.struct(lines.alias("lines"), space_words(body).alias("words")), lambda v: F.struct(
         F.size(v["words"]).cast("long").alias("n_words"),
         _word_chars(body).alias("word_chars"),
-        _count_of(body, SYMBOLS).alias("n_symbols"),
-        let(F.filter(F.split(body, "\n", -1), lambda x: _word_chars(x) > 0),
+        _symbols(body).alias("n_symbols"),
+        let(F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD_CHAR)),
             lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         _repeated_words(v["words"]).alias("n_repeat_words"),
         F.transform(F.filter(v["lines"], lambda x: x["reason"].isNotNull()), lambda x: x["reason"]).alias("reasons"),
