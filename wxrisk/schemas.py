@@ -2,119 +2,233 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql.types import (
+    ArrayType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+)
 
-_TYPES = {
-    "s": T.StringType(), "d": T.DoubleType(), "i": T.IntegerType(), "l": T.LongType(),
-    "t": T.TimestampType(), "D": T.DateType(), "b": T.BooleanType(),
-}
+# Names, types and order of the tables' columns.
 
+#: Observations as fetched.
+RAW = StructType([
+    StructField("district", StringType(), nullable=False),
+    StructField("latitude", DoubleType()),
+    StructField("longitude", DoubleType()),
+    StructField("fetch_time", TimestampType(), nullable=False),
+    StructField("date", StringType()),
+    StructField("temp", DoubleType()),
+    StructField("temp_min", DoubleType()),
+    StructField("temp_max", DoubleType()),
+    StructField("feels_like", DoubleType()),
+    StructField("pressure", IntegerType()),
+    StructField("humidity", IntegerType()),
+    StructField("wind_speed", DoubleType()),
+    StructField("wind_deg", IntegerType()),
+    StructField("clouds", IntegerType()),
+    StructField("visibility", IntegerType()),
+    StructField("rain_1h", DoubleType()),
+    StructField("rain_3h", DoubleType()),
+    StructField("snow_1h", DoubleType()),
+    StructField("weather_main", StringType()),
+    StructField("weather_description", StringType()),
+    StructField("sunrise", TimestampType()),
+    StructField("sunset", TimestampType()),
+    StructField("source", StringType()),
+])
 
-def table(spec: str, required: str = "") -> T.StructType:
-    """``"name:kind ..."`` with kinds s d i l t D b; names in ``required`` are not nullable."""
-    needed = set(required.split())
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(n, _TYPES[k], n not in needed) for n, k in fields])
+#: Messages of the feed.
+MESSAGE = StructType([
+    StructField("District", StringType()),
+    StructField("Date", StringType()),
+    StructField("MaxTemp_2m", DoubleType()),
+    StructField("MinTemp_2m", DoubleType()),
+    StructField("TempRange_2m", DoubleType()),
+    StructField("Precip", DoubleType()),
+    StructField("RH_2m", DoubleType()),
+    StructField("WindSpeed_10m", DoubleType()),
+    StructField("Pressure", DoubleType()),
+    StructField("Cloudiness", IntegerType()),
+    StructField("Visibility", DoubleType()),
+    StructField("WeatherDesc", StringType()),
+    StructField("Sunrise", StringType()),
+    StructField("Sunset", StringType()),
+    StructField("fetched_at", StringType()),
+    StructField("source", StringType()),
+])
 
+#: What the producers add to the message.
+MESSAGE_EXTRA = StructType([
+    StructField("Latitude", DoubleType()),
+    StructField("Longitude", DoubleType()),
+    StructField("WindSpeed_50m", DoubleType()),
+    StructField("SolarRad", DoubleType()),
+    StructField("timestamp", StringType()),
+])
 
-RAW = table(
-    "district:s latitude:d longitude:d fetch_time:t date:s temp:d temp_min:d temp_max:d"
-    " feels_like:d pressure:i humidity:i wind_speed:d wind_deg:i clouds:i visibility:i"
-    " rain_1h:d rain_3h:d snow_1h:d weather_main:s weather_description:s sunrise:t sunset:t source:s",
-    required="district fetch_time",
-)
+#: The daily history.
+DAILY = StructType([
+    StructField("Date", DateType()),
+    StructField("District", StringType()),
+    StructField("Latitude", DoubleType()),
+    StructField("Longitude", DoubleType()),
+    StructField("MaxTemp_2m", DoubleType()),
+    StructField("MinTemp_2m", DoubleType()),
+    StructField("TempRange_2m", DoubleType()),
+    StructField("Precip", DoubleType()),
+    StructField("RH_2m", DoubleType()),
+    StructField("WindSpeed_10m", DoubleType()),
+    StructField("WindSpeed_50m", DoubleType()),
+    StructField("SolarRad", DoubleType()),
+])
 
-MESSAGE = table(
-    "District:s Date:s MaxTemp_2m:d MinTemp_2m:d TempRange_2m:d Precip:d RH_2m:d WindSpeed_10m:d"
-    " Pressure:d Cloudiness:i Visibility:d WeatherDesc:s Sunrise:s Sunset:s fetched_at:s source:s"
-)
-# What the producers add to the message above, and the snake-case spelling of the second producer.
-MESSAGE_EXTRA = table("Latitude:d Longitude:d WindSpeed_50m:d SolarRad:d timestamp:s")
-MESSAGE_SNAKE = table(
-    "district:s date:s fetched_at:s max_temp:d min_temp:d temp_range:d precipitation:d humidity:d"
-    " wind_speed:d pressure:d cloudiness:i visibility:d weather_desc:s sunrise:s sunset:s source:s"
-)
+#: Weather service payloads.
+PAYLOAD = StructType([
+    StructField("name", StringType()),
+    StructField("coord", StructType([
+        StructField("lat", DoubleType()),
+        StructField("lon", DoubleType()),
+    ])),
+    StructField("main", StructType([
+        StructField("temp", DoubleType()),
+        StructField("temp_min", DoubleType()),
+        StructField("temp_max", DoubleType()),
+        StructField("feels_like", DoubleType()),
+        StructField("pressure", IntegerType()),
+        StructField("humidity", IntegerType()),
+    ])),
+    StructField("wind", StructType([
+        StructField("speed", DoubleType()),
+        StructField("deg", IntegerType()),
+    ])),
+    StructField("clouds", StructType([
+        StructField("all", IntegerType()),
+    ])),
+    StructField("visibility", IntegerType()),
+    StructField("rain", StructType([
+        StructField("1h", DoubleType()),
+        StructField("3h", DoubleType()),
+    ])),
+    StructField("snow", StructType([
+        StructField("1h", DoubleType()),
+        StructField("3h", DoubleType()),
+    ])),
+    StructField("weather", ArrayType(StructType([
+        StructField("main", StringType()),
+        StructField("description", StringType()),
+    ]))),
+    StructField("sys", StructType([
+        StructField("sunrise", LongType()),
+        StructField("sunset", LongType()),
+    ])),
+])
 
-DAILY = table(
-    "Date:D District:s Latitude:d Longitude:d MaxTemp_2m:d MinTemp_2m:d TempRange_2m:d Precip:d"
-    " RH_2m:d WindSpeed_10m:d WindSpeed_50m:d SolarRad:d"
-)
+#: Transformed rows of the batch profile.
+SERVING_BATCH = StructType([
+    StructField("district", StringType()),
+    StructField("fetch_time", TimestampType()),
+    StructField("date", StringType()),
+    StructField("temp", DoubleType()),
+    StructField("temp_min", DoubleType()),
+    StructField("temp_max", DoubleType()),
+    StructField("temp_range", DoubleType()),
+    StructField("humidity", IntegerType()),
+    StructField("pressure", IntegerType()),
+    StructField("wind_speed", DoubleType()),
+    StructField("clouds", IntegerType()),
+    StructField("rain_1h", DoubleType()),
+    StructField("total_precip", DoubleType()),
+    StructField("visibility_km", DoubleType()),
+    StructField("heat_index", DoubleType()),
+    StructField("heatwave_indicator", IntegerType()),
+    StructField("flood_indicator", IntegerType()),
+    StructField("humidity_risk", IntegerType()),
+    StructField("year", IntegerType()),
+    StructField("month", IntegerType()),
+    StructField("day", IntegerType()),
+    StructField("hour", IntegerType()),
+    StructField("doy_sin", DoubleType()),
+    StructField("doy_cos", DoubleType()),
+    StructField("etl_timestamp", TimestampType()),
+    StructField("etl_version", StringType()),
+])
+SERVING_COLUMNS = SERVING_BATCH.names
 
-PAYLOAD = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("coord", table("lat:d lon:d")),
-    T.StructField("main", table("temp:d temp_min:d temp_max:d feels_like:d pressure:i humidity:i")),
-    T.StructField("wind", table("speed:d deg:i")),
-    T.StructField("clouds", table("all:i")),
-    T.StructField("visibility", T.IntegerType()),
-    T.StructField("rain", table("1h:d 3h:d")),
-    T.StructField("snow", table("1h:d 3h:d")),
-    T.StructField("weather", T.ArrayType(table("main:s description:s"))),
-    T.StructField("sys", table("sunrise:l sunset:l")),
+#: Transformed rows of the stream profile.
+SERVING_STREAM = StructType([
+    StructField("district", StringType()),
+    StructField("fetch_time", TimestampType()),
+    StructField("date", StringType()),
+    StructField("temp", DoubleType()),
+    StructField("temp_min", DoubleType()),
+    StructField("temp_max", DoubleType()),
+    StructField("temp_range", DoubleType()),
+    StructField("humidity", IntegerType()),
+    StructField("pressure", IntegerType()),
+    StructField("wind_speed", DoubleType()),
+    StructField("clouds", IntegerType()),
+    StructField("rain_1h", DoubleType()),
+    StructField("total_precip", DoubleType()),
+    StructField("visibility_km", DoubleType()),
+    StructField("heat_index", DoubleType()),
+    StructField("heatwave_indicator", DoubleType()),
+    StructField("flood_indicator", DoubleType()),
+    StructField("humidity_risk", StringType()),
+    StructField("year", IntegerType()),
+    StructField("month", IntegerType()),
+    StructField("day", IntegerType()),
+    StructField("hour", IntegerType()),
+    StructField("doy_sin", DoubleType()),
+    StructField("doy_cos", DoubleType()),
+    StructField("etl_timestamp", TimestampType()),
+    StructField("etl_version", StringType()),
 ])
 
-SERVING_COLUMNS = (
-    "district fetch_time date temp temp_min temp_max temp_range humidity pressure wind_speed clouds"
-    " rain_1h total_precip visibility_km heat_index heatwave_indicator flood_indicator humidity_risk"
-    " year month day hour doy_sin doy_cos etl_timestamp etl_version"
-).split()
+#: Daily summaries.
+DAILY_SERVING = StructType([
+    StructField("district", StringType()),
+    StructField("date", StringType()),
+    StructField("avg_temp", DoubleType()),
+    StructField("max_temp", DoubleType()),
+    StructField("min_temp", DoubleType()),
+    StructField("avg_humidity", DoubleType()),
+    StructField("total_precip", DoubleType()),
+    StructField("avg_wind", DoubleType()),
+    StructField("rainy_hours", IntegerType()),
+    StructField("heatwave_risk_level", IntegerType()),
+    StructField("flood_risk_level", IntegerType()),
+    StructField("observation_count", IntegerType()),
+    StructField("etl_timestamp", TimestampType()),
+])
 
-SERVING_BATCH = table(
-    "district:s fetch_time:t date:s temp:d temp_min:d temp_max:d temp_range:d humidity:i pressure:i"
-    " wind_speed:d clouds:i rain_1h:d total_precip:d visibility_km:d heat_index:d"
-    " heatwave_indicator:i flood_indicator:i humidity_risk:i year:i month:i day:i hour:i"
-    " doy_sin:d doy_cos:d etl_timestamp:t etl_version:s"
-)
-SERVING_STREAM = table(
-    "district:s fetch_time:t date:s temp:d temp_min:d temp_max:d temp_range:d humidity:i pressure:i"
-    " wind_speed:d clouds:i rain_1h:d total_precip:d visibility_km:d heat_index:d"
-    " heatwave_indicator:d flood_indicator:d humidity_risk:s year:i month:i day:i hour:i"
-    " doy_sin:d doy_cos:d etl_timestamp:t etl_version:s"
-)
-DAILY_SERVING = table(
-    "district:s date:s avg_temp:d max_temp:d min_temp:d avg_humidity:d total_precip:d avg_wind:d"
-    " rainy_hours:i heatwave_risk_level:i flood_risk_level:i observation_count:i etl_timestamp:t"
-)
-ALERTS = table(
-    "district:s fetch_time:t date:s alert_type:s temp_max:d rain_1h:d humidity:i"
-    " heatwave_indicator:i flood_indicator:i"
-)
-OBSERVATIONS = table(
-    "id:s district:s date:s fetch_time:t max_temp:d min_temp:d temp_range:d precipitation:d humidity:d"
-    " wind_speed:d pressure:d cloudiness:i visibility:d weather_desc:s sunrise:s sunset:s source:s"
-)
-STREAMED = table(
-    "id:s district:s date:s ingestion_time:t latitude:d longitude:d max_temp:d min_temp:d temp_range:d"
-    " precipitation:d humidity:d wind_speed_10m:d wind_speed_50m:d kafka_partition:i kafka_offset:l"
-)
-HISTORY = table(
-    "district:s year:i date:D timestamp:t latitude:d longitude:d max_temp:d min_temp:d temp_range:d"
-    " precipitation:d humidity:d wind_speed_10m:d wind_speed_50m:d solar_radiation:d"
-)
-PREDICTIONS = table(
-    "id:s district:s prediction_time:t max_temp:d precipitation:d humidity:d heatwave_probability:d"
-    " flood_probability:d heatwave_risk:s flood_risk:s"
-)
-SEVERITY_ALERTS = table(
-    "alert_id:s district:s alert_type:s severity:s timestamp:t temperature:d precipitation:d"
-    " message:s acknowledged:b"
-)
-DAY_FLAGS = table(
-    "district:s date:D avg_temp:d max_temp:d min_temp:d total_precip:d avg_humidity:d"
-    " heatwave_flag:b flood_risk_flag:b"
-)
-DAY_ALERTS = table(
-    "district:s date:s record_count:i avg_temp:d max_temp:d min_temp:d total_precip:d avg_humidity:d"
-    " heatwave_alerts:i flood_alerts:i"
-)
-HOUR_STATS = table(
-    "district:s hour_bucket:t record_count:i avg_temp:d max_temp:d total_precip:d"
-    " heatwave_alerts:i flood_alerts:i"
-)
-INGEST_LOG = table(
-    "batch_id:s ingest_time:t source_station:s records_count:i status:s duration_ms:i"
-)
-INGEST_COUNTER = table("stat_date:s district:s hour:i record_count:l")
+#: Alert rows.
+ALERTS = StructType([
+    StructField("district", StringType()),
+    StructField("fetch_time", TimestampType()),
+    StructField("date", StringType()),
+    StructField("alert_type", StringType()),
+    StructField("temp_max", DoubleType()),
+    StructField("rain_1h", DoubleType()),
+    StructField("humidity", IntegerType()),
+    StructField("heatwave_indicator", IntegerType()),
+    StructField("flood_indicator", IntegerType()),
+])
+
+#: History rows by district and year.
+HISTORY = StructType([
+    StructField("district", StringType()),
+    StructField("year", IntegerType()),
+    StructField("date", DateType()),
+    StructField("timestamp", TimestampType()),
+    StructField("latitude", DoubleType()),
+    StructField("longitude", DoubleType()),
+    StructField("max_temp", DoubleType()),
+    StructField("min_temp", DoubleType()),
+    StructField("temp_range", DoubleType()),
+    StructField("precipitation", DoubleType()),
+    StructField("humidity", DoubleType()),
+    StructField("wind_speed_10m", DoubleType()),
+    StructField("wind_speed_50m", DoubleType()),
+    StructField("solar_radiation", DoubleType()),
+])
 
 # Primary keys: a later write with the same key replaces the row.
 KEYS = {

@@ -32,7 +32,6 @@ def _sky(field: str) -> Column:
 def to_raw(df: DataFrame, district: str, latitude: str, longitude: str, time: str,
            payload: str = "payload", keep=()) -> DataFrame:
     """Payloads fetched in metric units to RAW observations."""
-    taken = {f"{n}": f"p.main.{n}" for n in ("temp", "temp_min", "temp_max", "feels_like", "pressure", "humidity")}
     epoch = {n: F.timestamp_seconds(F.col(f"p.sys.{n}")) for n in ("sunrise", "sunset")}
     return parse(df, payload).select(
         *keep,
@@ -41,7 +40,7 @@ def to_raw(df: DataFrame, district: str, latitude: str, longitude: str, time: st
         F.col(longitude).cast("double").alias("longitude"),
         F.col(time).alias("fetch_time"),
         F.date_format(time, "yyyy-MM-dd").alias("date"),
-        *[F.col(path).alias(name) for name, path in taken.items()],
+        "p.main.temp", "p.main.temp_min", "p.main.temp_max", "p.main.feels_like", "p.main.pressure", "p.main.humidity",
         F.col("p.wind.speed").alias("wind_speed"),
         F.col("p.wind.deg").alias("wind_deg"),
         F.col("p.clouds.all").alias("clouds"),
