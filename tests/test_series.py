@@ -114,10 +114,33 @@ def test_all_missing_window_stays_missing(spark):
     assert [r["precip_3d"] for r in features.rolling_features(df).collect()] == [None] * 5
 
 
-def test_overflowing_block_is_refused(df):
-    blocks = in_blocks(df, "District", "Date", features.DECAY_OVERLAP)
-    with pytest.raises(ValueError):
-        features.wetness_index(blocks, block_rows=10_000)
+@pytest.mark.parametrize("block_rows", [7, 300, 4096])
+@pytest.mark.parametrize("decay", [0.01, 0.5, 0.8, 0.99, 0.9999])
+def test_wetness_index_for_any_decay_and_block(df, frame, decay, block_rows):
+    blocks = in_blocks(df, "District", "Date", 3, block_rows=block_rows)
+    got = ordered(features.wetness_index(blocks, block_rows, decay).plain(), "API")
+    index, last, expected = 0.0, None, []
+    for district, rain in zip(frame["District"], frame["Precip"].fillna(0)):
+        index = rain + (decay * index if district == last else 0.0)
+        last = district
+        expected.append(index)
+    assert len(got) == len(expected)
+    assert all(abs(a - b) <= 1e-9 * max(1.0, b) for a, b in zip(got["API"], expected))
+
+
+def test_keyless_rows_are_not_gathered(spark):
+    """A third of the rows without a district, some without a date: all kept, none in a common group."""
+    day = dt.date(2020, 1, 1)
+    data = [(None if i % 3 == 0 else "a", None if i % 5 == 0 else day + dt.timedelta(days=i), float(i)) for i in range(900)]
+    df = spark.createDataFrame(data, "District string, Date date, Precip double").withColumns(
+        {"MaxTemp_2m": F.lit(1.0), "TempRange_2m": F.lit(1.0), "RH_2m": F.lit(1.0)})
+    spread = in_blocks(df, "District", "Date", 14, block_rows=64).df
+    keyless = spread.where("District is null").groupBy("_block").count().agg(F.max("count"), F.count("*")).first()
+    assert tuple(keyless) == (1, 300)
+    got = features.rolling_features(df, block_rows=64).collect()
+    assert sorted(r["Precip"] for r in got) == [float(i) for i in range(900)]
+    assert all(r["precip_3d"] == r["Precip"] for r in got if r["District"] is None)
+    assert labels.label_both(df, block_rows=64).count() == 900
 
 
 @pytest.mark.parametrize("cut_every", [5, 1 << 16])

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from wxrisk import constants as K
 from wxrisk.functions.scalar import wave
-from wxrisk.operators.series import BLOCK, BLOCK_ROWS, POSITION, Blocks, in_blocks
+from wxrisk.operators.series import BLOCK, BLOCK_ROWS, COPY, POSITION, Blocks, in_blocks
 
-# After this many days the decayed weight (0.8 ** 200) is below the precision of a double.
-DECAY_OVERLAP = 200
+# How many rows the lags and rolling frames look back.
+LOOK_BACK = max(*K.LAG_DAYS, 6)
+# exp(-750) is zero in a double, exp(600) does not overflow it.
+ZERO_AT, LARGEST = 750, 600
+BLOCKS_PER_PIECE = 4096
+_UNIT, _ENDS, _CARRIED = "_unit", "_unit_end", "_unit_carried"
 
 
 def add_season(df: DataFrame, date: str = "Date") -> DataFrame:
@@ -47,32 +51,68 @@ def lags(blocks: Blocks, days=K.LAG_DAYS) -> Blocks:
     return blocks.with_columns(columns)
 
 
-def wetness_index(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
-                  name: str = "API") -> Blocks:
-    """Antecedent precipitation: today's rain plus ``decay`` times yesterday's index.
+def _unit_rows(block_rows: int, decay: float) -> int:
+    """Rows of a stretch of a block over which the inverse powers of ``decay`` stay finite; divides the block."""
+    most = max(1, min(block_rows, int(LARGEST / -math.log(decay))))
+    return next(n for n in range(most, 0, -1) if block_rows % n == 0)
+
+
+def wetness_in_units(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
+                     name: str = "API") -> Blocks:
+    """The wetness index as if the series began with each unit (a block, or an even part of one).
 
     Unrolled, the index is a sum of past rain times powers of ``decay``. Scaling
-    each day by the inverse power turns it into one running sum per block, which
+    each day by the inverse power turns it into one running sum per unit, which
     costs the same per row however long the memory is.
     """
-    if (block_rows + DECAY_OVERLAP) * -math.log(decay) > 600:
-        raise ValueError("block too long for this decay: the scaled sum would overflow a double")
-    step = F.col(POSITION) - F.col(BLOCK) * block_rows + DECAY_OVERLAP
-    scale = F.pow(F.lit(1.0 / decay), step)
-    total = F.sum(F.coalesce(F.col("Precip"), F.lit(0.0)) * scale).over(blocks.so_far())
-    return blocks.with_columns({name: total / scale})
+    rows = _unit_rows(block_rows, decay)
+    unit = F.floor(F.col(POSITION) / rows)
+    scale = F.pow(F.lit(1.0 / decay), F.col(POSITION) - unit * rows)
+    day = F.when(~F.col(COPY), F.coalesce(F.col("Precip"), F.lit(0.0)) * scale)
+    groups = blocks.keys if rows == block_rows else [*blocks.keys, unit]
+    so_far = W.partitionBy(*groups).orderBy(POSITION).rowsBetween(W.unboundedPreceding, 0)
+    return blocks.with_columns({name: F.sum(day).over(so_far) / scale})
+
+
+def wetness_across(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
+                   name: str = "API") -> Blocks:
+    """Adds to :func:`wetness_in_units` what earlier units leave behind. Overlap copies go.
+
+    The value at the end of each unit goes through a table with one row per unit. A unit
+    reads as many earlier ones as it takes until their weight is zero in a double.
+    """
+    rows, key = _unit_rows(block_rows, decay), blocks.key
+    reach = math.ceil(ZERO_AT / (rows * -math.log(decay))) + 1
+    piece = max(BLOCKS_PER_PIECE, reach)
+    own = blocks.own_rows().df.withColumn(_UNIT, F.floor(F.col(POSITION) / rows))
+    ends = own.where(F.col(key).isNotNull()).groupBy(key, BLOCK, _UNIT).agg(F.max_by(name, POSITION).alias(_ENDS))
+    home = F.floor(F.col(_UNIT) / piece)
+    spread = ends.select("*", F.explode(F.sequence(home, F.floor((F.col(_UNIT) + reach) / piece))).alias("_piece"))
+    earlier = F.collect_list(_ENDS).over(W.partitionBy(key, "_piece").orderBy(_UNIT).rowsBetween(-reach, -1))
+    carried = F.aggregate(earlier, F.lit(0.0), lambda total, end: total * decay**rows + end)
+    starts = spread.withColumn(_CARRIED, carried).where(F.col("_piece") == home).drop("_piece", _ENDS)
+    weight = F.pow(F.lit(decay), F.col(POSITION) - F.col(_UNIT) * rows + 1)
+    joined = own.join(starts, [key, BLOCK, _UNIT], "left").withColumn(
+        name, F.col(name) + weight * F.coalesce(_CARRIED, F.lit(0.0)))
+    return blocks.over(joined.drop(_UNIT, _CARRIED))
+
+
+def wetness_index(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
+                  name: str = "API") -> Blocks:
+    """Antecedent precipitation: today's rain plus ``decay`` (between 0 and 1) times yesterday's index."""
+    return wetness_across(wetness_in_units(blocks, block_rows, decay, name), block_rows, decay, name)
 
 
 def look_back(blocks: Blocks, block_rows: int = BLOCK_ROWS, rain: str = "precip") -> Blocks:
-    """All look-back features on blocks with an overlap of ``DECAY_OVERLAP``."""
-    return wetness_index(lags(rolling(blocks, rain)), block_rows)
+    """All look-back features on blocks with an overlap of ``LOOK_BACK``; the index still lacks earlier units."""
+    return wetness_in_units(lags(rolling(blocks, rain)), block_rows)
 
 
 def rolling_features(df: DataFrame, *, key: str = "District", date: str = "Date",
                      block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All look-back features from one partitioning of the history."""
-    blocks = in_blocks(df, key, date, DECAY_OVERLAP, block_rows=block_rows)
-    return look_back(blocks, block_rows).plain()
+    blocks = in_blocks(df, key, date, LOOK_BACK, block_rows=block_rows)
+    return wetness_across(look_back(blocks, block_rows), block_rows).plain()
 
 
 def climatology(df: DataFrame, key: str = "District", date: str = "Date") -> DataFrame:

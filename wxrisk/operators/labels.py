@@ -36,7 +36,7 @@ def _known_at(column: str, place: str) -> Column:
 
 def _carry(summary: DataFrame, key: str, column: str) -> DataFrame:
     """Per block: the newest non-NULL ``column`` of earlier blocks of the same series."""
-    stamped = summary.withColumn("_mark", F.when(F.col(column).isNotNull(), F.struct(BLOCK, column)))
+    stamped = summary.where(F.col(key).isNotNull()).withColumn("_mark", F.when(F.col(column).isNotNull(), F.struct(BLOCK, column)))
     piece = F.floor(F.col(BLOCK) / BLOCKS_PER_PIECE)
     carried = running(stamped, [key], BLOCK, {"_seen": ("max", "_mark")}, before=True, piece=piece)
     return carried.select(key, BLOCK, F.col("_seen")[column].alias("_carried"))

@@ -6,7 +6,7 @@ blocks of ``block_rows`` rows, and the last ``overlap`` rows of a block are
 copied in front of the next one. Frames that look back at most ``overlap`` rows
 then give the same result inside a block as over the whole series, and a hot
 district is spread over many tasks. Rows without a district belong to no series:
-they are kept, without look-back values.
+they are kept, each as a group of its own, and look back at nothing but themselves.
 """
 
 from __future__ import annotations
@@ -24,6 +24,14 @@ POSITION = "_position"
 BLOCK = "_block"
 COPY = "_copy"
 _SLOT = "_slot"
+# Beyond every calendar number. Rows without a date are dealt to this many slots by hash.
+UNDATED = 1 << 40
+UNDATED_SLOTS = 1 << 16
+
+
+def _alone(key: str, columns: list[str]) -> Column:
+    """A hash of the row where it has no key, else NULL: tells keyless rows apart when grouping."""
+    return F.when(F.col(key).isNull(), F.xxhash64(*columns))
 
 
 def _slot_sizes(df: DataFrame, key: str, slot: Column) -> DataFrame:
@@ -40,13 +48,15 @@ def with_position(
     earlier slots, so no task sorts more than one slot of one series. A daily
     history has one row per district and day, at most 366 in a year; a denser
     series needs a finer slot. Rows with equal ``order`` are told apart by a
-    hash of the whole row, rows without a date come last.
+    hash of the whole row, rows without a date come last, in slots drawn by hash.
+    Rows without a key get no position.
     """
-    slot = F.coalesce(F.year(order) if slot is None else slot, F.lit(2**31 - 1))
-    inside = W.partitionBy(key, _SLOT).orderBy(F.asc_nulls_last(order), F.xxhash64(*df.columns))
+    undated = F.lit(UNDATED) + F.pmod(F.xxhash64(*df.columns), F.lit(UNDATED_SLOTS))
+    slot = F.coalesce((F.year(order) if slot is None else slot).cast("long"), undated)
+    inside = W.partitionBy(key, _SLOT, _alone(key, df.columns)).orderBy(F.asc_nulls_last(order), F.xxhash64(*df.columns))
     earlier = W.partitionBy(key).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
-    starts = _slot_sizes(df, key, slot).select(key, _SLOT, start)
+    starts = _slot_sizes(df.where(F.col(key).isNotNull()), key, slot).select(key, _SLOT, start)
     numbered = df.withColumn(_SLOT, slot).withColumn("_place", F.row_number().over(inside))
     return (
         numbered.join(starts, [key, _SLOT], "left")
@@ -115,10 +125,11 @@ def in_blocks(
         positioned.withColumn("_home", home)
         .select("*", F.explode_outer(F.sequence(home, last)).alias(BLOCK))
         .withColumn(COPY, F.coalesce(F.col(BLOCK) != F.col("_home"), F.lit(False)))
+        .withColumn(BLOCK, F.coalesce(BLOCK, -1 - F.abs(F.shiftright(_alone(key, df.columns), 1))))
         .drop("_home")
     )
     last_block = F.floor((F.count("*") - 1) / block_rows)
-    layout = df.groupBy(key).agg(last_block.alias("_end")).select(
+    layout = df.where(F.col(key).isNotNull()).groupBy(key).agg(last_block.alias("_end")).select(
         key, F.explode(F.sequence(F.lit(0).cast("long"), "_end")).alias(BLOCK)
     )
     return Blocks(spread, key, layout)

@@ -28,8 +28,8 @@ def cities(spark: SparkSession) -> DataFrame:
 
 
 def with_coordinates(df: DataFrame, places: DataFrame, key: str = "district") -> DataFrame:
-    """Inner join to the fixed coordinate table; rows of unknown places are dropped."""
-    return df.join(F.broadcast(places), key)
+    """Inner join to the coordinate table; rows of unknown places are dropped."""
+    return df.join(places, key)
 
 
 def newest(df: DataFrame, time: str, n: int, *tie: str) -> DataFrame:

@@ -88,10 +88,22 @@ def lags(spark, sf_dir):
        doubles="API", days="Date")
 def api_index(spark, sf_dir):
     rows = daily(spark, sf_dir).select("District", "Date", "Precip")
-    blocks = in_blocks(rows, "District", "Date", FE.DECAY_OVERLAP)
+    blocks = in_blocks(rows, "District", "Date", 0)
     return FE.wetness_index(blocks).plain().drop("Precip")
 
 
+@query(f"""with {Q.DAILY}, n as (select {DD}, coalesce("Precip", 0e0) as v,
+    row_number() over (partition by "District" order by "Date") as rn from daily)
+  select a."District", a."Date", sum(b.v * pow(0.99e0, a.rn - b.rn)) as "API"
+  from n a join n b on a."District" = b."District" and b.rn <= a.rn group by 1, 2""",
+       doubles="API", days="Date")
+def api_index_long_memory(spark, sf_dir):
+    """Slow decay over many short blocks, so nearly all of the index comes from earlier ones."""
+    rows = daily(spark, sf_dir).select("District", "Date", "Precip")
+    blocks = in_blocks(rows, "District", "Date", 0, block_rows=128)
+    return FE.wetness_index(blocks, 128, decay=0.99).plain().drop("Precip")
+
+
 @query(f"""with {Q.DAILY} select {DD}, cast(dayofyear("Date") as int) as doy,
   sin(2 * pi() * dayofyear("Date") / 365.25e0) as doy_sin, cos(2 * pi() * dayofyear("Date") / 365.25e0) as doy_cos,
   cast(year("Date") as int) as year, cast(month("Date") as int) as month from daily""",

@@ -29,9 +29,10 @@ def label_and_build(df: DataFrame, *, fit_on: DataFrame | None = None, stage=uns
     skip them; only the latter are kept.
     """
     blocks = labels.flood_blocks(
-        df, overlap=features.DECAY_OVERLAP, block_rows=block_rows, stage=stage,
+        df, overlap=features.LOOK_BACK, block_rows=block_rows, stage=stage,
         more=lambda b: features.look_back(b, block_rows, rain="_rain"),
     )
+    blocks = features.wetness_across(blocks, block_rows)
     labelled = labels.both_flags(blocks, fit_on=fit_on, stage=stage).drop("precip_3d", "precip_7d")
     labelled = labelled.withColumnsRenamed({"_rain_3d": "precip_3d", "_rain_7d": "precip_7d"})
     return features.keep_features(features.add_anomalies(features.add_season(labelled)))
