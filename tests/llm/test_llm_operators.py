@@ -272,6 +272,19 @@ def test_url_rules_and_listed_urls(spark):
     assert url_filter.judged_urls(pages.limit(0), listed.limit(0), rules).count() == 0
 
 
+def test_terms_are_counted_as_words_and_beginnings():
+    columns = {t: k for k, t in enumerate(["grim", "^grim", "^grimm", "élan", "^élan", "x", "^none"])}
+    texts = ["", " ", "Grim grim, GRIMMER grimm! élan-vital élans x x", "«grim» grim\u00a0“grimmest”\tx1x grim", "grim" * 5 + " " * 9]
+    for text in texts:
+        known: dict[int, int] = {}
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            for term in [word] + ["^" + word[:n] for n in (4, 5, 6, 7) if len(word) > n]:
+                if term in columns:
+                    known[columns[term]] = known.get(columns[term], 0) + 1
+        assert dict(toxicity.TermFinder(columns)(text)) == known
+        assert not toxicity.TermFinder({})(text)
+
+
 def test_line_rules_on_odd_rows_and_long_texts(spark, odd, none):
     found = {r.doc_id: r for r in line_rules.rule_verdicts(odd).collect()}
     assert found[4].n_words == 60_001 and found[4].n_repeat_words == 60_000 and found[4].base_failed and not found[4].kept

@@ -11,7 +11,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,13 +30,13 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Letters of the word beginnings that are terms beside the words.
 STEMS = (4, 5, 6, 7)
-#: Words whose terms a task remembers.
-REMEMBERED_WORDS = 100_000
 #: Weight of the base rate in a vote, in units of one perfect neighbour.
 PRIOR = 0.5
 THRESHOLD = 0.3
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Marks beyond ASCII that part words; other characters beyond ASCII are letters.
+_MARKS = re.compile("[\u00a0-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u00d7\u00f7\u2000-\u206f\u3000-\u303f]")
+_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
 def word_terms(word: str) -> list[str]:
@@ -42,28 +44,35 @@ def word_terms(word: str) -> list[str]:
     return [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
 
 
+def spaced(text: str) -> str:
+    """The text in lower case with spaces for all but letters, and one at either end."""
+    return f" {_MARKS.sub(' ', text.lower())} ".encode().translate(_LETTERS).decode()
+
+
 def words_of(text: str) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
+    return Counter(spaced(text).split())
 
 
 class TermFinder:
-    """Counts the known terms of texts; the terms of words already seen are remembered."""
+    """Counts the known terms of texts; one automaton seeks all of them in one pass."""
 
     def __init__(self, columns: dict[str, int]):
         self.columns = columns
-        self.seen: dict[str, list[int]] = {}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        made = ahocorasick.Automaton()
+        for term, column in self.columns.items():
+            begins = term.startswith("^")
+            made.add_word(f" {term[1:]}" if begins else f" {term} ", (column, begins))
+        made.make_automaton()
+        return made
 
     def __call__(self, text: str) -> Counter:
-        found: Counter = Counter()
-        for word, n in words_of(text).items():
-            known = self.seen.get(word)
-            if known is None:
-                if len(self.seen) >= REMEMBERED_WORDS:
-                    self.seen.clear()
-                known = self.seen[word] = [self.columns[t] for t in word_terms(word) if t in self.columns]
-            for column in known:
-                found[column] += n
-        return found
+        if not self.columns:
+            return Counter()
+        body = spaced(text)
+        return Counter(column for last, (column, begins) in self.automaton.iter(body) if not begins or body[last + 1] != " ")
 
 
 def family(text: str) -> int:
