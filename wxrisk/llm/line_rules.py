@@ -82,27 +82,34 @@ def _repeated_words(words: Column) -> Column:
         let(F.sort_array(windows(w)), lambda s: let(repeated(s), covered))))
 
 
-def judged(docs: DataFrame, text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with a struct column ``rules``: the counts, the failing lines, the cleaned text and the verdict.
 
     rules.n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; rules.reasons (one per failing
     line, in order); rules.lost_chars; rules.clean_text (the passing lines); rules.base_failed; rules.kept.
+    Without ``counts`` there are no n_symbols, n_dup_lines and reasons, which no verdict needs.
     Null texts count as empty and are not kept. Rows are judged alone, so ties, copies and other
     columns don't matter; an existing column ``rules`` is replaced.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.transform(F.split(body, "\n", -1), lambda x: F.struct(x.alias("line"), line_reason(x).alias("reason")))
+
+    def more(v: Column) -> list[Column]:
+        return [
+            _symbols(body).alias("n_symbols"),
+            let(F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD_CHAR)),
+                lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
+            F.transform(F.filter(v["lines"], lambda x: x["reason"].isNotNull()), lambda x: x["reason"]).alias("reasons"),
+        ] if counts else []
+
     rules = let(F.struct(lines.alias("lines"), space_words(body).alias("words")), lambda v: F.struct(
         F.size(v["words"]).cast("long").alias("n_words"),
         _word_chars(body).alias("word_chars"),
-        _symbols(body).alias("n_symbols"),
-        let(F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORD_CHAR)),
-            lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         _repeated_words(v["words"]).alias("n_repeat_words"),
-        F.transform(F.filter(v["lines"], lambda x: x["reason"].isNotNull()), lambda x: x["reason"]).alias("reasons"),
         F.aggregate(F.filter(v["lines"], lambda x: x["reason"].isNotNull()), F.lit(0).cast("long"),
                     lambda total, x: total + _word_chars(x["line"])).alias("lost_chars"),
         F.array_join(F.transform(F.filter(v["lines"], lambda x: x["reason"].isNull()), lambda x: x["line"]), "\n").alias("clean_text"),
+        *more(v),
     ))
     failed = (F.col("rules.n_words") < FEWEST_WORDS) | (F.col("rules.n_repeat_words") * 100 > F.col("rules.n_words") * MOST_REPEATED_PERCENT)
     fits = F.col("rules.lost_chars") * 100 <= F.col("rules.word_chars") * MOST_LOST_PERCENT
@@ -119,7 +126,7 @@ def rule_verdicts(docs: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, without their failing lines; columns as in ``docs``."""
-    kept = judged(docs).where("rules.kept").withColumn("text", F.col("rules.clean_text"))
+    kept = judged(docs, counts=False).where("rules.kept").withColumn("text", F.col("rules.clean_text"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
