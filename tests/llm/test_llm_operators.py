@@ -122,6 +122,20 @@ def test_held_out_rows_teach_nothing(spark):
     assert one == two
 
 
+def test_every_example_is_indexed_with_all_of_its_words(spark):
+    draw = random.Random(8)
+    rows = [(k, " ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(30)), int(k % 10 == 0)) for k in range(200)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs = known.select("doc_id", "text").unionByName(known.select(F.col("doc_id") + 1000, F.concat("text", F.lit(" end"))).toDF("doc_id", "text"))
+    model = toxicity.fitted(docs, known.select("doc_id", F.lit(1).alias("quality"), "toxic"))
+    usable = {r.doc_id for r in known.where(~toxicity.is_held_out(F.col("doc_id"))).collect()}
+    assert set(model.index.ids.tolist()) == usable
+    found = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    for k in usable:
+        first = found[k + 1000].evidence[0]
+        assert (first.doc_id, first.toxic) == (k, int(k % 10 == 0)) and first.cosine > 0.95
+
+
 def test_block_max_search_is_exact():
     draw = np.random.default_rng(3)
     idf = {f"t{k}": 1.0 + k % 4 for k in range(40)}

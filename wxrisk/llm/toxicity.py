@@ -1,15 +1,16 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-The labelled rows are a bounded sample (SAMPLE_ROWS by hash of doc_id). From it come the terms
-that go with the label and the examples; how often a term occurs is counted over all documents.
-The index of the examples is small and bounded, so each task has it and documents are scored
-where they are read.
+The labelled rows are a bounded sample (SAMPLE_ROWS by hash of doc_id). All of them are examples,
+with all of their words; terms that go with the label weigh more (TERM_SHARE). How often a word or
+term occurs is counted over all documents. The index of the examples is bounded, so each task
+has it and documents are scored where they are read.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from functools import cached_property
 
@@ -23,11 +24,17 @@ from wxrisk.llm import common
 
 #: Labelled rows that are read at most; those with the smallest hash of doc_id.
 SAMPLE_ROWS = 20_000
-#: Terms and examples that the index holds at most.
+#: Terms that go with the label, at most. Words have no limit but the sample's vocabulary.
 MOST_TERMS = 5_000
-MOST_EXAMPLES = 8_192
+#: Part of the squared length of a vector that is left to its terms where it has some; words have the rest.
+TERM_SHARE = 0.9
 NEIGHBOURS = 15
 BLOCK = 64
+#: Columns that stand in the most examples are kept as a dense matrix; and texts that are compared at once.
+DENSE = 256
+AT_ONCE = 32
+#: More than twice what single precision can change in a cosine.
+SLACK = 1e-4
 #: Letters of the word beginnings that are terms beside the words.
 STEMS = (4, 5, 6, 7)
 #: Weight of the base rate in a vote, in units of one perfect neighbour.
@@ -136,87 +143,207 @@ def chosen_terms(sample: DataFrame, stage) -> tuple[list[str], int, int]:
     return [r["term"] for r in best], int(total["bad"]), int(total["n"] - total["bad"])
 
 
-def term_weights(docs: DataFrame, terms: list[str]) -> dict[str, float]:
-    """Inverse document frequencies of the terms over all documents."""
-    known = {t: k for k, t in enumerate(terms)}
+def word_columns(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, column, count, place of the first one among the text's words) of the words that are known.
 
+    ``vocabulary`` has the sorted 64-bit hashes of the words. Ordered by text and column.
+    """
+    if not len(texts) or not len(vocabulary):
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    hashes, starts = common.word_hashes(pa.array([spaced(t) for t in texts]))
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    known = np.flatnonzero(vocabulary[at] == hashes)
+    text = np.repeat(np.arange(len(texts)), np.diff(starts))[known]
+    keys, first, n = np.unique(text * len(vocabulary) + at[known], return_index=True, return_counts=True)
+    text = keys // len(vocabulary)
+    return text, keys % len(vocabulary), n, known[first] - starts[text]
+
+
+def vocabulary_of(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of all words of the sample."""
     def rows(batches):
-        counts, n, find = np.zeros(len(known), np.int64), 0, TermFinder(known)
+        seen = np.zeros(0, np.uint64)
         for batch in _small(batches, 0):
-            n += batch.num_rows
-            for text in batch.column(0).to_pylist():
+            hashes, _ = common.word_hashes(pa.array([spaced(t) for t in batch.column(0).to_pylist()]))
+            seen = np.union1d(seen, hashes)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64))], ["h"])
+
+    found = sample.select("text").mapInArrow(rows, "h long").distinct().toArrow()
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
+
+
+def frequencies(docs: DataFrame, terms: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many documents each term, then each word occurs; and the number of documents."""
+    known, size = {t: k for k, t in enumerate(terms)}, len(terms) + len(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def rows(batches):
+        counts, n, find = np.zeros(size, np.int64), 0, TermFinder(known)
+        for batch in _small(batches, 0):
+            texts = batch.column(0).to_pylist()
+            n += len(texts)
+            for text in texts if known else []:
                 counts[list(find(text))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([*range(len(known)), -1], pa.int32()), pa.array([*counts, n], pa.int64())], ["k", "n"])
+            counts[len(known):] += np.bincount(word_columns(texts, shared.value)[1], minlength=size - len(known))
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(counts[some], n), pa.int64())], ["k", "n"])
+
+    found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(rows, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    at, n = (found.column(c).to_numpy() for c in ("k", "n"))
+    counts = np.zeros(size, np.int64)
+    counts[at[at >= 0]] = n[at >= 0]
+    return counts, int(n[at < 0].sum())
+
 
-    found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(rows, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    counts = {r["k"]: r["n"] for r in found.collect()}
-    return {t: math.log((1 + counts.get(-1, 0)) / (1 + counts.get(k, 0))) + 1 for t, k in known.items()}
+def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    n = end - begin
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 class ExampleIndex:
-    """Inverted lists of the examples' unit vectors, cut in blocks with each term's largest weight."""
+    """The examples' unit vectors: a dense matrix of the most common columns, inverted lists of the others.
 
-    def __init__(self, idf: dict[str, float], block: int = BLOCK):
+    Columns are the terms of ``idf``, then the words whose sorted hashes are ``vocabulary``. Matrix and
+    lists give all cosines in single precision. The largest of each block of examples bounds the
+    k-th cosine, and what may reach it is computed exactly.
+    """
+
+    def __init__(self, idf: dict[str, float], block: int = BLOCK, vocabulary: np.ndarray | None = None, word_idf: np.ndarray | None = None):
         self.idf = idf
-        self.values = list(idf.values())
+        self.names = list(idf)
+        self.vocabulary = np.zeros(0, np.uint64) if vocabulary is None else vocabulary
+        self.values = np.append(list(idf.values()), [] if word_idf is None else word_idf)
         self.find = TermFinder({t: k for k, t in enumerate(idf)})
         self.block = block
-        self.ids = np.zeros(0, np.int64)
-        self.labels = np.zeros(0)
-        self.largest = np.zeros((len(idf), 0))
-        self.lists: list[list[tuple[np.ndarray, np.ndarray]]] = []
+        self.short = None
+        self.add([])
+
+    def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(columns, counts, places of the words or -1) of each text; empty if nothing of it is known."""
+        text, column, n, place = word_columns(texts, self.vocabulary)
+        column = column + len(self.names)
+        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        made = []
+        for k, t in enumerate(texts):
+            own = slice(ends[k], ends[k + 1])
+            found = sorted(self.find(t).items())
+            at, m = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+            made.append((np.append(at, column[own]), np.append(m, n[own]), np.append(np.full(len(at), -1), place[own])))
+        return made
+
+    def weighed(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The unit vector's weights; terms, which come first, and words are brought to their shares."""
+        weights = (1 + np.log(n)) * self.values[at]
+        cut = int(np.searchsorted(at, len(self.names)))
+        for part, share in ((weights[:cut], TERM_SHARE), (weights[cut:], 1 - TERM_SHARE)):
+            if len(part):
+                part *= math.sqrt(share if 0 < cut < len(at) else 1) / np.sqrt((part * part).sum())
+        return weights
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(columns, weights, places of the words) of each text's unit vector."""
+        return [(at, self.weighed(at, n), place) for at, n, place in self.counted(texts)]
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(columns, weights) of a text's unit vector; both empty if it has none of the terms."""
-        found = [(k, (1 + math.log(n)) * self.values[k]) for k, n in self.find(text).items()]
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0)
-        at, weights = (np.array(x) for x in zip(*sorted(found), strict=True))
-        return at, weights / np.sqrt((weights * weights).sum())
+        """(columns, weights) of a text's unit vector; both empty if it has none of the words and terms."""
+        return self.vectors([text])[0][:2]
+
+    def add_counted(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, at: np.ndarray, n: np.ndarray) -> ExampleIndex:
+        """Examples by columns and counts, one after the other; this short form is also what is pickled."""
+        steps = np.diff(at.astype(np.int32), prepend=np.int32(0))
+        short = n.astype(np.min_scalar_type(int(n.max(initial=0))))
+        self.short = (ids, labels, sizes, zlib.compress(steps.tobytes(), 1), zlib.compress(short.tobytes(), 1), short.dtype.str)
+        ends = np.append(0, np.cumsum(sizes))
+        each = [(at[a:b], n[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return self.add([(int(i), int(y), a, self.weighed(a, m)) for i, y, (a, m) in zip(ids, labels, each, strict=True)])
+
+    def __getstate__(self):
+        return (self.idf, self.block, self.vocabulary, self.values[len(self.names):], self.short) if self.short else self.__dict__
+
+    def __setstate__(self, state):
+        if isinstance(state, dict):
+            self.__dict__.update(state)
+            return
+        *own, (ids, labels, sizes, steps, short, kind) = state
+        self.__init__(*own)
+        at = np.cumsum(np.frombuffer(zlib.decompress(steps), np.int32), dtype=np.int64)
+        self.add_counted(ids, labels, sizes, at, np.frombuffer(zlib.decompress(short), kind).astype(np.int64))
 
     def add(self, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -> ExampleIndex:
         """Examples (id, label, columns, weights); like ones are put side by side, so that blocks differ."""
-        order = sorted(examples, key=lambda e: (int(e[2][np.argmax(e[3])]), -float(e[3].max()), e[0]))
+        order = sorted((e for e in examples if len(e[2])), key=lambda e: (int(e[2][np.argmax(e[3])]), -float(e[3].max()), e[0]))
         self.ids = np.array([e[0] for e in order], np.int64)
         self.labels = np.array([e[1] for e in order], float)
-        n = -(-len(order) // self.block)
-        self.largest = np.zeros((len(self.idf), n))
-        self.lists = []
-        for b in range(n):
-            own: dict[int, tuple[list, list]] = {}
-            for k, (_, _, at, weights) in enumerate(order[b * self.block:(b + 1) * self.block]):
-                for t, w in zip(at, weights, strict=True):
-                    own.setdefault(int(t), ([], []))[0].append(k)
-                    own[int(t)][1].append(w)
-            for t, (_, w) in own.items():
-                self.largest[t, b] = max(w)
-            self.lists.append({t: (np.array(k), np.array(w)) for t, (k, w) in own.items()})
+        column = np.concatenate([np.zeros(0, np.int64), *[e[2] for e in order]])
+        self.columns = column.astype(np.int32)
+        self.weights = np.concatenate([np.zeros(0), *[e[3] for e in order]])
+        sizes = np.array([len(e[2]) for e in order], np.int64)
+        self.begins = np.append(0, np.cumsum(sizes))
+        row = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        often = np.bincount(column, minlength=len(self.values))
+        common_ones = np.argsort(-often, kind="stable")[:DENSE]
+        self.slots = np.full(len(self.values), -1, np.int32)
+        self.slots[common_ones] = np.arange(len(common_ones))
+        slot = self.slots[column]
+        self.dense = np.zeros((len(common_ones), len(order)), np.float32)
+        self.dense[slot[slot >= 0], row[slot >= 0]] = self.weights[slot >= 0]
+        rare = np.flatnonzero(slot < 0)
+        rare = rare[np.argsort(column[rare], kind="stable")]
+        self.rows, self.rare = row[rare], self.weights[rare].astype(np.float32)
+        self.lists = np.searchsorted(column[rare], np.arange(len(self.values) + 1))
         return self
 
+    def _rough(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """All cosines in single precision, a row per query; above 0 exactly where a column is shared."""
+        count = len(self.ids)
+        at, weights = (np.concatenate([q[k] for q in queries]) for k in (0, 1))
+        text = np.repeat(np.arange(len(queries)), [len(q[0]) for q in queries])
+        slot = self.slots[at]
+        thick = np.zeros((len(queries), len(self.dense)), np.float32)
+        thick[text[slot >= 0], slot[slot >= 0]] = weights[slot >= 0]
+        rare = slot < 0
+        begin, end = self.lists[at[rare]], self.lists[at[rare] + 1]
+        lists, n = _spread(begin, end), end - begin
+        place = np.repeat(text[rare] * count, n) + self.rows[lists]
+        thin = np.bincount(place, np.repeat(weights[rare], n) * self.rare[lists], len(queries) * count)
+        return thick @ self.dense + thin.reshape(len(queries), count).astype(np.float32)
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several queries."""
+        nothing = (np.zeros(0, np.int64), np.zeros(0))
+        if not len(self.ids):
+            return [nothing for _ in queries]
+        made, whole = [], np.zeros(len(self.values))
+        for first in range(0, len(queries), AT_ONCE):
+            some = queries[first:first + AT_ONCE]
+            rough = self._rough(some)
+            if leave is not None:
+                rough[np.arange(len(some)), leave[first:first + AT_ONCE]] = 0
+            largest = np.maximum.reduceat(rough, np.arange(0, len(self.ids), self.block), axis=1)
+            least = np.partition(largest, -k, axis=1)[:, -k] if largest.shape[1] >= k else np.zeros(len(some), np.float32)
+            text, place = np.nonzero((rough >= least[:, None] - SLACK) & (rough > 0))
+            ends = np.searchsorted(text, np.arange(len(some) + 1))
+            for j, (at, weights) in enumerate(some):
+                near = place[ends[j]:ends[j + 1]]
+                if not len(near):
+                    made.append(nothing)
+                    continue
+                if len(near) > k:
+                    about = rough[j, near]
+                    near = near[about >= np.partition(about, -k)[-k] - SLACK]
+                begin, end = self.begins[near], self.begins[near + 1]
+                own = _spread(begin, end)
+                whole[at] = weights
+                cosines = np.add.reduceat(whole[self.columns[own]] * self.weights[own], np.append(0, np.cumsum(end - begin)[:-1]))
+                whole[at] = 0
+                order = np.lexsort((near, -np.round(cosines, 12)))[:k]
+                made.append((near[order], cosines[order]))
+        return made
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of the k most similar examples, exactly; ties go to the smaller position.
-
-        Blocks are read by falling bound; reading stops where no bound reaches the k-th cosine.
-        """
-        if not len(self.lists) or not len(at):
-            return np.zeros(0, np.int64), np.zeros(0)
-        bounds = weights @ self.largest[at]
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1] - 1e-12):
-                break
-            scores = np.zeros(min(self.block, len(self.ids) - b * self.block))
-            for t, w in zip(at, weights, strict=True):
-                if int(t) in self.lists[b]:
-                    rows, values = self.lists[b][int(t)]
-                    scores[rows] += w * values
-            if leave is not None and b * self.block <= leave < (b + 1) * self.block:
-                scores[leave - b * self.block] = 0
-            some = np.flatnonzero(scores > 0)
-            best_at, best = np.append(best_at, some + b * self.block), np.append(best, scores[some])
-            order = np.lexsort((best_at, -np.round(best, 12)))[:k]
-            best_at, best = best_at[order], best[order]
-        return best_at, best
+        """(positions, cosines) of the k most similar examples, exactly; ties go to the smaller position."""
+        return self.nearest_of([(at, weights)], k, None if leave is None else [leave])[0]
 
 
 def vote(cosines: np.ndarray, labels: np.ndarray, base: float, prior: float = PRIOR) -> float:
@@ -243,17 +370,27 @@ class ToxicityModel:
     def __init__(self, index: ExampleIndex, base: float, none_rate: float, ends: np.ndarray, rates: np.ndarray):
         self.index, self.base, self.none_rate, self.ends, self.rates = index, base, none_rate, ends, rates
 
+    def scores(self, texts: list[str], why: bool = True) -> list[tuple[float, list[tuple[int, float, int]], list[str]]]:
+        """(score, [(example id, cosine, label)], terms and words found) of each text; only the score unless ``why``."""
+        vectors = self.index.vectors(texts)
+        near = self.index.nearest_of([(at, weights) for at, weights, _ in vectors])
+        return [self._score(t, *v, *n, why) for t, v, n in zip(texts, vectors, near, strict=True)]
+
     def score(self, text: str) -> tuple[float, list[tuple[int, float, int]], list[str]]:
-        """(score, [(example id, cosine, label)], terms found)."""
-        at, weights = self.index.vector(text)
-        near, cosines = self.index.nearest(at, weights)
+        return self.scores([text])[0]
+
+    def _score(self, text, at, weights, places, near, cosines, why):
         if not len(near):
             return self.none_rate, [], []
         raw = vote(cosines, self.index.labels[near], self.base)
         place = min(int(np.searchsorted(self.ends, raw - 1e-12)), len(self.rates) - 1)
-        names = list(self.index.idf)
+        score = float(self.rates[place])
+        if not why:
+            return score, [], []
         evidence = [(int(self.index.ids[k]), float(c), int(self.index.labels[k])) for k, c in zip(near[:3], cosines[:3], strict=True)]
-        return float(self.rates[place]), evidence, [names[t] for t in at[np.argsort(-weights, kind="stable")][:5]]
+        words, names = spaced(text).encode().split(), self.index.names
+        best = np.argsort(-weights, kind="stable")[:5]
+        return score, evidence, [names[at[k]] if places[k] < 0 else words[places[k]].decode() for k in best]
 
 
 def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> ToxicityModel:
@@ -261,25 +398,28 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Toxi
     stage = common.stages(docs, "toxicity")
     sample = stage(labelled_sample(docs, labels, limit), "sample")
     terms, _, _ = chosen_terms(sample, stage)
-    idf = term_weights(docs, terms) if terms else {}
-    empty = ExampleIndex(idf)
+    vocabulary = vocabulary_of(sample)
+    counts, total = frequencies(docs, terms, vocabulary)
+    idf = np.log((1 + total) / (1 + counts)) + 1
+    empty = ExampleIndex(dict(zip(terms, idf[:len(terms)].tolist(), strict=True)), BLOCK, vocabulary, idf[len(terms):])
+    shared = docs.sparkSession.sparkContext.broadcast(empty)
 
-    def vectors(batches):
+    def counts_of(batches):
         for batch in _small(batches, 1):
-            got = [empty.vector(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a.tolist() for a, _ in got], pa.list_(pa.int64())), pa.array([w.tolist() for _, w in got], pa.list_(pa.float64()))], ["doc_id", "toxic", "at", "w"])
-
-    made = stage(sample.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, at array<long>, w array<double>"), "vectors")
-    n, bad, none, none_bad = made.agg(F.count("*"), F.sum("toxic"), F.count_if(F.size("at") == 0), F.sum(F.when(F.size("at") == 0, F.col("toxic")))).first()
-    rows = made.where(F.size("at") > 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_EXAMPLES).collect()
-    index = ExampleIndex(idf).add([(r["doc_id"], r["toxic"], np.array(r["at"]), np.array(r["w"])) for r in rows])
-    base = (bad or 0) / n if n else 0.0
-    none_rate = ((none_bad or 0) + base) / ((none or 0) + 1)
-    by_id = {r["doc_id"]: (np.array(r["at"]), np.array(r["w"])) for r in rows}
-    raw = []
-    for k, doc_id in enumerate(index.ids):
-        near, cosines = index.nearest(*by_id[int(doc_id)], leave=k)
-        raw.append(vote(cosines, index.labels[near], base))
+            got = shared.value.counted(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a for a, _, _ in got], pa.list_(pa.int32())), pa.array([n for _, n, _ in got], pa.list_(pa.int32()))], ["doc_id", "toxic", "at", "n"])
+
+    made = sample.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(counts_of, "doc_id long, toxic int, at array<int>, n array<int>")
+    rows = made.orderBy("doc_id", "toxic", "at", "n").toArrow().combine_chunks()
+    ids, toxic = (rows.column(c).to_numpy() for c in ("doc_id", "toxic"))
+    at, n = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in rows.column(k).chunks]]).astype(np.int64) for k in ("at", "n"))
+    sizes = np.concatenate([np.zeros(0, np.int64), *[c.value_lengths().to_numpy() for c in rows.column("at").chunks]]).astype(np.int64)
+    base = float(toxic.mean()) if len(toxic) else 0.0
+    none_rate = (float(toxic[sizes == 0].sum()) + base) / (int((sizes == 0).sum()) + 1)
+    index = empty.add_counted(ids, toxic, sizes, at, n)
+    own = [slice(a, b) for a, b in zip(index.begins[:-1], index.begins[1:], strict=True)]
+    others = index.nearest_of([(index.columns[k], index.weights[k]) for k in own], leave=list(range(len(own))))
+    raw = [vote(cosines, index.labels[near], base) for near, cosines in others]
     ends, rates = rising(np.array(raw), index.labels)
     stage.remove()
     return ToxicityModel(index, base, none_rate, ends, rates)
@@ -291,7 +431,7 @@ EVIDENCE = "evidence array<struct<doc_id:long, cosine:double, toxic:int>>, terms
 def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence, terms) per row; the text alone decides.
 
-    Null, empty and unknown texts get the rate of the labelled texts that have none of the terms.
+    Null and empty texts, and those without a known word, get the rate of such labelled texts.
     Repeated rows are scored alike; a null doc_id stays null and counts as not held out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -299,7 +439,7 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def rows(batches):
         known = shared.value
         for batch in _small(batches, 1):
-            got = [known.score(t) for t in batch.column(1).to_pylist()]
+            got = known.scores(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([s for s, _, _ in got], pa.float64()),
                 pa.array([[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e, _ in got],
@@ -321,7 +461,7 @@ def keep_harmless(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def rows(batches):
         known = shared.value
         for batch in _small(batches, place):
-            keep = [known.score(t or "")[0] < THRESHOLD for t in batch.column(place).to_pylist()]
+            keep = [s < THRESHOLD for s, _, _ in known.scores([t or "" for t in batch.column(place).to_pylist()], why=False)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)
