@@ -174,6 +174,22 @@ def test_license_phrases_and_edited_notices(spark, odd, none):
     assert license_scan.scanned(none).count() == 0
 
 
+def test_notices_are_told_from_like_ones():
+    finder = license_scan.NoticeFinder()
+    cases = {
+        "Licensed under CC BY-NC 4.0.": {"cc-by-nc"}, "Licensed under CC BY-SA 4.0.": {"cc-by-sa"}, "Licensed under CC BY 4.0.": {"cc-by"},
+        "Licensed under CC BY-ND 4.0.": set(), "Licensd undr CC BY-NC 4.0": {"cc-by-nc"}, "Licensed under CC BY-NC 3.0": {"cc-by-nc"},
+        "released under the BSD license": set(), "released under the ISC license": set(), "released under the MIT license": {"mit"},
+        "relesed undr the MIT licence": {"mit"}, "licensed under the GNU Lesser General Public License": {"lgpl"},
+        "licensed under the GNU Library General Public License": set(), "licensed under the GNU General Publik License": {"gpl"},
+        "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0. All rights reserved": {"cc-by-nc", "cc-by-sa", "all-rights-reserved"},
+    }
+    for text, labels in cases.items():
+        spans = finder.scan(text.encode())[-1]
+        assert {s["label"] for s in spans} == labels and len(spans) == len(labels), text
+    assert license_scan.told_apart([(0, 30, 1, 2), (0, 30, 2, 0), (29, 50, 3, 1), (60, 90, 1, 3)]) == [(0, 30, 2, 0), (29, 50, 3, 1), (60, 90, 1, 3)]
+
+
 def test_license_base_counts_equal_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     found = {r.doc_id: r for r in license_scan.scanned(docs).collect()}

@@ -2,7 +2,8 @@
 
 A notice with at most ``e`` edits keeps one of e + 1 pieces unharmed. The pieces of all notices
 are sought together in one pass (Aho-Corasick); around each hit the ``regex`` module's bounded
-errors decide and give the span. Documents are read alone, so nothing is shuffled.
+errors decide and give the span. A word that tells a notice from another one carries no edit, and of
+overlapping notices the one with the fewest edits stays. Documents are read alone, so nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ NOTICES = (
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("all rights reserved", "all-rights-reserved"),
 )
+# Words of notices that tell them from like ones (BSD, ISC, CC BY-ND ...); they must stand as they are.
+EXACT = ("by nc", "by sa", "by", "mit", "lesser")
 #: Letters of a notice per allowed edit.
 LETTERS_PER_EDIT = 10
 
@@ -55,13 +58,49 @@ def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def pattern(notice: str, edits: int) -> regex.Pattern:
+    """The best match of a notice with its edits; they may lie before and after an exact word, not in it."""
+    for word in EXACT:
+        before, word, after = notice.partition(f" {word} ")
+        if word:
+            ways = (f"(?:{regex.escape(before)}){{e<={k}}}{regex.escape(word)}(?:{regex.escape(after)}){{e<={edits - k}}}" for k in range(edits + 1))
+            return regex.compile(f"(?b)(?:{'|'.join(ways)})")
+    return regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={edits}}}")
+
+
+def told_apart(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Of overlapping (begin, end, notice, edits) the one with the fewest edits, then the longest.
+
+    Notices that share no more letters than their edits and the space between them don't overlap.
+    """
+    kept: list[tuple[int, int, int, int]] = []
+    group: list[tuple[int, int, int, int]] = []
+    reach = 0
+
+    def settle():
+        own: list[tuple[int, int, int, int]] = []
+        for f in sorted(group, key=lambda f: (f[3], f[0] - f[1], f[0], f[2])):
+            if all(min(f[1], o[1]) - max(f[0], o[0]) <= 1 + f[3] + o[3] for o in own):
+                own.append(f)
+        kept.extend(sorted(own))
+
+    for f in sorted(found):
+        if group and f[0] >= reach:
+            settle()
+            group.clear()
+        group.append(f)
+        reach = max(reach, f[1]) if len(group) > 1 else f[1]
+    settle()
+    return kept
+
+
 class NoticeFinder:
     """Finds phrases and notices in one text; built once per task."""
 
     def __init__(self, phrases=PHRASES, notices=NOTICES, per_edit: int = LETTERS_PER_EDIT):
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
         self.notices = [(f" {n} ", label, max(1, len(n) // per_edit)) for n, label in notices]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n)}){{e<={e}}}") for n, _, e in self.notices]
+        self.patterns = [pattern(n, e) for n, _, e in self.notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for number, (notice, _, edits) in enumerate(self.notices):
             for place, piece in pieces(notice, edits):
@@ -109,7 +148,7 @@ class NoticeFinder:
         n_base, places, labels = self.base(text)
         as_text = text.decode("utf-8", "replace")
         spans, best = [], 1.0 if n_base else 0.0
-        for begin, end, number, edits in self.fuzzy(as_text):
+        for begin, end, number, edits in told_apart(self.fuzzy(as_text)):
             notice, label, _ = self.notices[number]
             best = max(best, 1.0 - edits / len(notice))
             found = as_text[begin:end].strip()
