@@ -38,6 +38,15 @@ def test_pipeline_keeps_rows_of_documents_and_obeys_each_stage(spark):
     assert max(copies.values()) <= 2
 
 
+def test_listed_urls_outside_the_rules_are_blocked(spark):
+    found = queries.op6_url_filter(spark, "/root/testdata/sf0.01").where("host like '%-%'").collect()
+    families = {re.search(r"[a-z]+-[a-z]+", r.host)[0] for r in found if r.is_listed}
+    assert families == {"spam-farm", "cheap-pills", "adult-x", "ads-track", "casino-win", "free-bets"}
+    outside = [r for r in found if r.rule is None]
+    assert {"adult-x", "ads-track", "casino-win"} <= {re.search(r"[a-z]+-[a-z]+", r.host)[0] for r in outside}
+    assert all(r.verdict == "block" for r in outside)
+
+
 def test_sources_come_near_their_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows = mixing.mixed(docs).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wxrisk.llm import block_labeller, chat, jaccard, license_scan, line_rules, mixing, spaced_seeds, toxicity, url_filter, warc
 from wxrisk.llm.common import table
 
-# The rules of op6, and the hosts whose URLs make up its list.
+# The rules of op6, and the families of junk hosts whose URLs make up its list.
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -18,7 +18,7 @@ URL_RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-JUNK_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
+JUNK_HOSTS = r"(^|\.)(spam-farm|cheap-pills|adult-x|ads-track|casino-win|free-bets)\."
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +43,15 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicate_components(table(spark, sf_dir, "documents"))
 
 
+def junk_urls(pages: DataFrame) -> DataFrame:
+    """The list of op6: (canonical), each known URL of a junk host once."""
+    host = url_filter.host_of(F.col("url"))
+    return pages.where(host.rlike(JUNK_HOSTS)).select(url_filter.canonical(host, url_filter.path_of(F.col("url"))).alias("canonical")).distinct()
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    host = url_filter.host_of(F.col("url"))
-    listed = pages.where(host.rlike(JUNK_HOSTS)).select(url_filter.canonical(host, url_filter.path_of(F.col("url"))).alias("canonical"))
-    return url_filter.judged_urls(pages, listed, URL_RULES)
+    return url_filter.judged_urls(pages, junk_urls(pages), URL_RULES)
 
 
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
