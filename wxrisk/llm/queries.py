@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, and the SQL that checks those SQL can express."""
+"""The thirteen operators over their whole tables, and the SQL that checks those SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wxrisk.llm import block_labeller, chat, jaccard, license_scan, line_rules, mixing, spaced_seeds, toxicity, url_filter, warc
+from wxrisk.llm import (
+    block_labeller, chat, fill_middle, jaccard, license_scan, line_rules, mixing, source_audit, spaced_seeds, toxicity, url_filter, vector_tree, warc,
+)
 from wxrisk.llm.common import table
 
 # The rules of op6, and the families of junk hosts whose URLs make up its list.
@@ -70,9 +72,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergences(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transformed(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_license_scan, op3_html_text, op4_warc, op5_jaccard_join, op6_url_filter, op7_line_rules,
-    op8_decontamination, op9_perspectives, op10_mixing)}
+    op8_decontamination, op9_perspectives, op10_mixing, op11_vector_tree, op12_source_audit, op13_fill_middle)}
 
 ORACLES: dict[str, str] = {}
 
@@ -286,3 +300,65 @@ with d as (
 select doc_id, size, source_size, target, size * (floor(rate)::bigint
   + case when ('0x' || substr(md5(concat_ws('|', '20', doc_id, text)), 1, 13))::bigint / 4503599627370496.0::double < rate - floor(rate) then 1 else 0 end) as taken
 from r"""
+
+
+def _share_sql(count: str, total: str, terms: str) -> str:
+    return f"(1 + ((1000000000::hugeint * ({count} + {source_audit.ADDED})) // ({total} + {source_audit.ADDED} * {terms})))"
+
+
+ORACLES["op12_source_audit"] = rf"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') as w
+  from documents
+), words as (
+  select r, lang, source, unnest(w) as term from d
+), kept as (
+  select lang, term from words group by lang, term having count(distinct r) >= {source_audit.LEAST_DOCS}
+), counts as (
+  select lang, source, term, count(*)::hugeint as n from words semi join kept using (lang, term) group by all
+), langs as (
+  select lang, (select count(*) from kept k where k.lang = d.lang)::hugeint as terms from d group by lang
+), groups as (
+  select lang, source, terms, coalesce((select sum(n) from counts c where c.lang = d.lang and c.source = d.source), 0)::hugeint as total
+  from (select distinct lang, source from d) d join langs using (lang)
+), lang_counts as (
+  select lang, term, sum(n)::hugeint as n from counts group by all
+), grid as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, {_share_sql("coalesce(c.n, 0)", "g.total", "g.terms")} as p
+  from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), pairs as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), all_pairs as (
+  select a.lang, a.source, b.source as item, coalesce(p.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+), terms as (
+  select g.lang, g.source, g.term as item, (g.p - q.p)::bigint as value
+  from grid g join (
+    select l.lang, l.term, {_share_sql("l.n", "sum(l.n) over (partition by l.lang)", "count(*) over (partition by l.lang)")} as p from lang_counts l
+  ) q on q.lang = g.lang and q.term = g.term where g.n > 0 and g.p > q.p
+)
+select lang, source, 'pair' as part, item, value, (row_number() over (partition by lang, source order by value desc, item))::int as rank from all_pairs
+union all
+select lang, source, 'term', item, value, (row_number() over (partition by lang, source order by value desc, item))::int as rank from terms
+qualify rank <= {source_audit.TERM_RANKS}"""
+
+ORACLES["op13_fill_middle"] = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+), h as (
+  select *, len(u) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from h
+), p as (
+  select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:n], '') as suffix from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix)::bigint end as prefix_chars, case when form <> 'plain' then length(middle)::bigint end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from p"""
