@@ -1,9 +1,10 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-The labelled rows are a bounded sample (SAMPLE_ROWS by hash of doc_id). All of them are examples,
-with all of their words; terms that go with the label weigh more (TERM_SHARE). How often a word or
-term occurs is counted over all documents. The index of the examples is bounded, so each task
-has it and documents are scored where they are read.
+The labelled rows are a bounded sample (SAMPLE_ROWS by hash of doc_id). All of them are examples, with all of
+their words; how often a word occurs is counted over all documents. A term that goes with the label weighs more
+in the cosine, by the root of its log-likelihood ratio. The index keeps, for each column and block of examples,
+the largest weight; a query reads the blocks whose bound can reach its k-th cosine and skips the others. The index is
+bounded, so each task has it and documents are scored where they are read.
 """
 
 from __future__ import annotations
@@ -23,16 +24,16 @@ from pyspark.sql import functions as F
 from wxrisk.llm import common
 
 #: Labelled rows that are read at most; those with the smallest hash of doc_id.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 4_096
 #: Terms that go with the label, at most. Words have no limit but the sample's vocabulary.
 MOST_TERMS = 5_000
-#: Part of the squared length of a vector that is left to its terms where it has some; words have the rest.
-TERM_SHARE = 0.9
 NEIGHBOURS = 15
-BLOCK = 64
-#: Columns that stand in the most examples are kept as a dense matrix; and texts that are compared at once.
-DENSE = 256
+BLOCK = 8
+#: Columns that stand in the most examples are kept as rows of a matrix; and texts that are compared at once.
+DENSE = 512
 AT_ONCE = 32
+#: Blocks that a text reads at most before its k-th cosine is set anew: few at first, then all that may still reach it.
+ROUNDS = (4, 24)
 #: More than twice what single precision can change in a cosine.
 SLACK = 1e-4
 #: Letters of the word beginnings that are terms beside the words.
@@ -110,8 +111,8 @@ def _small(batches, place: int):
             yield batch.slice(a, b - a)
 
 
-def chosen_terms(sample: DataFrame, stage) -> tuple[list[str], int, int]:
-    """Terms that go with the label beyond chance, and the numbers of toxic and other families.
+def chosen_terms(sample: DataFrame, stage) -> dict[str, float]:
+    """Terms that go with the label beyond chance, and their log-likelihood ratios.
 
     Families count, not rows, so that a word shared by near copies alone is no evidence. The
     log-likelihood ratio must exceed what the best of all terms reaches by chance.
@@ -130,7 +131,7 @@ def chosen_terms(sample: DataFrame, stage) -> tuple[list[str], int, int]:
     counts = stage(counts, "terms")
     total = counts.where("term = ''").first()
     if total is None or not 0 < total["bad"] < total["n"]:
-        return [], 0, 0
+        return {}
     number = counts.count()
     rate, bad, n = total["bad"] / total["n"], F.col("bad").cast("double"), F.col("n").cast("double")
     other = n - bad
@@ -138,9 +139,9 @@ def chosen_terms(sample: DataFrame, stage) -> tuple[list[str], int, int]:
     best = (
         counts.where("term <> ''").withColumn("ratio", ratio)
         .where((F.col("ratio") > 2 * math.log(number) + 6) & (bad > 3 * rate * n) & (bad >= 0.5 * n))
-        .orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term").collect()
+        .orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term", "ratio").collect()
     )
-    return [r["term"] for r in best], int(total["bad"]), int(total["n"] - total["bad"])
+    return {r["term"]: r["ratio"] for r in best}
 
 
 def word_columns(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -202,11 +203,11 @@ def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class ExampleIndex:
-    """The examples' unit vectors: a dense matrix of the most common columns, inverted lists of the others.
+    """The examples' unit vectors as inverted lists with a largest weight for each column and block of examples.
 
-    Columns are the terms of ``idf``, then the words whose sorted hashes are ``vocabulary``. Matrix and
-    lists give all cosines in single precision. The largest of each block of examples bounds the
-    k-th cosine, and what may reach it is computed exactly.
+    Columns are the terms of ``idf``, then the words whose sorted hashes are ``vocabulary``. Lists of the most
+    common columns, which have nearly every block, are the rows of a matrix, and so are their block maxima. Blocks that
+    can reach the k-th cosine are read in single precision, and what may be among the best is computed exactly.
     """
 
     def __init__(self, idf: dict[str, float], block: int = BLOCK, vocabulary: np.ndarray | None = None, word_idf: np.ndarray | None = None):
@@ -233,13 +234,9 @@ class ExampleIndex:
         return made
 
     def weighed(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The unit vector's weights; terms, which come first, and words are brought to their shares."""
+        """The unit vector's weights."""
         weights = (1 + np.log(n)) * self.values[at]
-        cut = int(np.searchsorted(at, len(self.names)))
-        for part, share in ((weights[:cut], TERM_SHARE), (weights[cut:], 1 - TERM_SHARE)):
-            if len(part):
-                part *= math.sqrt(share if 0 < cut < len(at) else 1) / np.sqrt((part * part).sum())
-        return weights
+        return weights / np.sqrt((weights * weights).sum()) if len(weights) else weights
 
     def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(columns, weights, places of the words) of each text's unit vector."""
@@ -286,52 +283,38 @@ class ExampleIndex:
         self.slots = np.full(len(self.values), -1, np.int32)
         self.slots[common_ones] = np.arange(len(common_ones))
         slot = self.slots[column]
-        self.dense = np.zeros((len(common_ones), len(order)), np.float32)
-        self.dense[slot[slot >= 0], row[slot >= 0]] = self.weights[slot >= 0]
+        self.dense = np.zeros((len(order), len(common_ones)), np.float32)
+        self.dense[row[slot >= 0], slot[slot >= 0]] = self.weights[slot >= 0]
+        self.edges = np.arange(0, len(order), self.block)
+        self.dense_most = np.maximum.reduceat(self.dense, self.edges, axis=0).T.copy() if len(order) else np.zeros((len(common_ones), 0), np.float32)
         rare = np.flatnonzero(slot < 0)
         rare = rare[np.argsort(column[rare], kind="stable")]
         self.rows, self.rare = row[rare], self.weights[rare].astype(np.float32)
-        self.lists = np.searchsorted(column[rare], np.arange(len(self.values) + 1))
+        listed, blocks = column[rare], self.rows // self.block
+        opens = np.flatnonzero((np.diff(listed, prepend=-1) != 0) | (np.diff(blocks, prepend=-1) != 0))
+        self.list_begins = np.append(opens, len(rare))
+        self.list_blocks = blocks[opens]
+        self.list_most = np.maximum.reduceat(self.rare, opens) if len(opens) else np.zeros(0, np.float32)
+        self.lists = np.searchsorted(listed[opens], np.arange(len(self.values) + 1))
+        self.read = self.there = 0
         return self
 
-    def _rough(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """All cosines in single precision, a row per query; above 0 exactly where a column is shared."""
-        count = len(self.ids)
-        at, weights = (np.concatenate([q[k] for q in queries]) for k in (0, 1))
-        text = np.repeat(np.arange(len(queries)), [len(q[0]) for q in queries])
-        slot = self.slots[at]
-        thick = np.zeros((len(queries), len(self.dense)), np.float32)
-        thick[text[slot >= 0], slot[slot >= 0]] = weights[slot >= 0]
-        rare = slot < 0
-        begin, end = self.lists[at[rare]], self.lists[at[rare] + 1]
-        lists, n = _spread(begin, end), end - begin
-        place = np.repeat(text[rare] * count, n) + self.rows[lists]
-        thin = np.bincount(place, np.repeat(weights[rare], n) * self.rare[lists], len(queries) * count)
-        return thick @ self.dense + thin.reshape(len(queries), count).astype(np.float32)
-
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of several queries."""
-        nothing = (np.zeros(0, np.int64), np.zeros(0))
-        if not len(self.ids):
-            return [nothing for _ in queries]
+        """``nearest`` of several queries; ``leave`` has for each the id of the examples that are left out.
+
+        ``read`` counts the blocks that were read and ``there`` those that share a column, over all calls.
+        """
         made, whole = [], np.zeros(len(self.values))
         for first in range(0, len(queries), AT_ONCE):
             some = queries[first:first + AT_ONCE]
-            rough = self._rough(some)
-            if leave is not None:
-                rough[np.arange(len(some)), leave[first:first + AT_ONCE]] = 0
-            largest = np.maximum.reduceat(rough, np.arange(0, len(self.ids), self.block), axis=1)
-            least = np.partition(largest, -k, axis=1)[:, -k] if largest.shape[1] >= k else np.zeros(len(some), np.float32)
+            rough, least = self._rough(some, k, None if leave is None else np.array(leave[first:first + AT_ONCE]))
             text, place = np.nonzero((rough >= least[:, None] - SLACK) & (rough > 0))
             ends = np.searchsorted(text, np.arange(len(some) + 1))
             for j, (at, weights) in enumerate(some):
                 near = place[ends[j]:ends[j + 1]]
                 if not len(near):
-                    made.append(nothing)
+                    made.append((np.zeros(0, np.int64), np.zeros(0)))
                     continue
-                if len(near) > k:
-                    about = rough[j, near]
-                    near = near[about >= np.partition(about, -k)[-k] - SLACK]
                 begin, end = self.begins[near], self.begins[near + 1]
                 own = _spread(begin, end)
                 whole[at] = weights
@@ -341,8 +324,52 @@ class ExampleIndex:
                 made.append((near[order], cosines[order]))
         return made
 
+    def _rough(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, leave: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Single-precision cosines of the blocks that were read (0 elsewhere), and the k-th of each query."""
+        count, size = len(self.ids), len(queries)
+        rough = np.zeros((size, count), np.float32)
+        if not count:
+            return rough, np.zeros(size, np.float32)
+        at, weights = (np.concatenate([q[j] for q in queries]) for j in (0, 1))
+        text, slot = np.repeat(np.arange(size), [len(q[0]) for q in queries]), self.slots[at]
+        thick = np.zeros((size, self.dense.shape[1]), np.float32)
+        thick[text[slot >= 0], slot[slot >= 0]] = weights[slot >= 0]
+        begin, end = self.lists[at[slot < 0]], self.lists[at[slot < 0] + 1]
+        lists, times = _spread(begin, end), end - begin
+        text, weights = np.repeat(text[slot < 0], times), np.repeat(weights[slot < 0], times)
+        blocks = self.list_blocks[lists]
+        thin = np.bincount(text * len(self.edges) + blocks, weights * self.list_most[lists], size * len(self.edges))
+        bound = thick @ self.dense_most + thin.reshape(size, len(self.edges)).astype(np.float32)
+        open_ones = bound > 0
+        self.there += int(open_ones.sum())
+        bound += SLACK
+        least = np.zeros(size, np.float32)
+        for most in (*ROUNDS, None):
+            wanted = open_ones & (bound >= least[:, None])
+            if most is not None and wanted.shape[1] > most:
+                wanted &= bound >= np.partition(bound * wanted, -most, axis=1)[:, -most, None]
+            if not wanted.any():
+                break
+            open_ones &= ~wanted
+            self.read += int(wanted.sum())
+            read = np.flatnonzero(wanted.any(axis=0))
+            rows = _spread(self.edges[read], np.minimum(self.edges[read] + self.block, count))
+            # Lists are read where the own query wants the block, matrix rows where any of the batch does.
+            own = np.flatnonzero(wanted[text, blocks])
+            opens, closes = self.list_begins[lists[own]], self.list_begins[lists[own] + 1]
+            postings, times = _spread(opens, closes), closes - opens
+            sums = np.bincount(np.repeat(text[own] * count, times) + self.rows[postings], np.repeat(weights[own], times) * self.rare[postings], size * count)
+            found = thick @ self.dense[rows].T + sums.reshape(size, count)[:, rows].astype(np.float32)
+            shown = wanted[:, rows // self.block]
+            if leave is not None:
+                shown &= self.ids[rows] != leave[:, None]
+            rough[:, rows] += np.where(shown, found, 0)
+            if count > k:
+                least = np.partition(rough, -k, axis=1)[:, -k]
+        return rough, least
+
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS, leave: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of the k most similar examples, exactly; ties go to the smaller position."""
+        """(positions, cosines) of the k most similar examples, exactly; ties go to the smaller position. ``leave`` is an id."""
         return self.nearest_of([(at, weights)], k, None if leave is None else [leave])[0]
 
 
@@ -397,30 +424,40 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Toxi
     """A model of the labelled rows that are not held out. Without both labels every text gets the base rate."""
     stage = common.stages(docs, "toxicity")
     sample = stage(labelled_sample(docs, labels, limit), "sample")
-    terms, _, _ = chosen_terms(sample, stage)
-    vocabulary = vocabulary_of(sample)
+    ratios = chosen_terms(sample, stage)
+    terms, vocabulary = list(ratios), vocabulary_of(sample)
     counts, total = frequencies(docs, terms, vocabulary)
     idf = np.log((1 + total) / (1 + counts)) + 1
-    empty = ExampleIndex(dict(zip(terms, idf[:len(terms)].tolist(), strict=True)), BLOCK, vocabulary, idf[len(terms):])
-    shared = docs.sparkSession.sparkContext.broadcast(empty)
+    raised = idf[:len(terms)] * (1 + np.sqrt(list(ratios.values())))
+    empty = ExampleIndex(dict(zip(terms, raised.tolist(), strict=True)), BLOCK, vocabulary, idf[len(terms):])
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(empty)
 
     def counts_of(batches):
         for batch in _small(batches, 1):
             got = shared.value.counted(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a for a, _, _ in got], pa.list_(pa.int32())), pa.array([n for _, n, _ in got], pa.list_(pa.int32()))], ["doc_id", "toxic", "at", "n"])
 
-    made = sample.select(F.col("doc_id").cast("long"), "text", "toxic").mapInArrow(counts_of, "doc_id long, toxic int, at array<int>, n array<int>")
-    rows = made.orderBy("doc_id", "toxic", "at", "n").toArrow().combine_chunks()
+    plain = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic")
+    rows = plain.mapInArrow(counts_of, "doc_id long, toxic int, at array<int>, n array<int>").orderBy("doc_id", "toxic", "at", "n").toArrow().combine_chunks()
     ids, toxic = (rows.column(c).to_numpy() for c in ("doc_id", "toxic"))
-    at, n = (np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in rows.column(k).chunks]]).astype(np.int64) for k in ("at", "n"))
+    at, n = (np.concatenate([np.zeros(0, np.int32), *[c.flatten().to_numpy() for c in rows.column(k).chunks]]) for k in ("at", "n"))
     sizes = np.concatenate([np.zeros(0, np.int64), *[c.value_lengths().to_numpy() for c in rows.column("at").chunks]]).astype(np.int64)
     base = float(toxic.mean()) if len(toxic) else 0.0
     none_rate = (float(toxic[sizes == 0].sum()) + base) / (int((sizes == 0).sum()) + 1)
     index = empty.add_counted(ids, toxic, sizes, at, n)
-    own = [slice(a, b) for a, b in zip(index.begins[:-1], index.begins[1:], strict=True)]
-    others = index.nearest_of([(index.columns[k], index.weights[k]) for k in own], leave=list(range(len(own))))
-    raw = [vote(cosines, index.labels[near], base) for near, cosines in others]
-    ends, rates = rising(np.array(raw), index.labels)
+    filled = context.broadcast(index)
+
+    def voted(batches):
+        known = filled.value
+        for batch in _small(batches, 1):
+            some = [(a, w) for a, w, _ in known.vectors(batch.column(1).to_pylist())]
+            near = known.nearest_of(some, leave=batch.column(0).to_pylist())
+            raw = [vote(cosines, known.labels[found], base) if len(found) else None for found, cosines in near]
+            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64()), batch.column(2)], ["raw", "toxic"])
+
+    votes = plain.mapInArrow(voted, "raw double, toxic int").where("raw is not null").toArrow()
+    ends, rates = rising(votes.column("raw").to_numpy(), votes.column("toxic").to_numpy().astype(float))
     stage.remove()
     return ToxicityModel(index, base, none_rate, ends, rates)
 
