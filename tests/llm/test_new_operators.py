@@ -197,6 +197,8 @@ def test_neighbours_reach_the_recall_on_all_queries(spark):
 def test_equal_vectors_are_told_by_id_and_split_over_segments(spark, monkeypatch):
     monkeypatch.setattr(vector_tree, "SEGMENT", 50)
     monkeypatch.setattr(vector_tree, "VISITORS", 7)
+    monkeypatch.setattr(vector_tree, "FIRST_LEAVES", 1)
+    monkeypatch.setattr(vector_tree, "WIDER", 2)
     rows = [(k, [0.6, 0.8, 0.1] if k % 3 else [0.1 * (k % 7), 0.3, -0.2]) for k in range(600)]
     found = {}
     for r in vector_tree.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5).orderBy("query_id", "rank").collect():

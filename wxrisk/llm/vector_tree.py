@@ -3,8 +3,10 @@
 The tree is fitted on a bounded sample and every row is filed under a leaf. A query pops nodes from a priority
 queue, the one whose centre has the largest product first, until it has met as many leaves as calibration found
 to be needed: for a bounded set of queries the true neighbours are found by a scan of all rows, and the number of
-leaves is widened until the wanted share of them is met. Leaves are joined with the queries that visit them; a large
-leaf is many segments and many visitors are several groups, so no task holds a leaf that has a third of the rows.
+leaves is widened until the wanted share of them is met. The search widens too: what a query has found in its
+first leaves is the floor for the next, so hardly more than the answer is sent on. Neighbouring leaves are packed into
+bins that are joined with the queries that visit them; a large leaf is many parts and many visitors are several
+groups, so no task holds a leaf that has a third of the rows.
 """
 
 from __future__ import annotations
@@ -23,16 +25,19 @@ from wxrisk.llm import common
 SAMPLE_NUMBERS = 1 << 22
 #: Children of a node, rows of a leaf (more where the sample is too small to part them), rounds of k-means.
 BRANCHES = 16
-LEAF_ROWS = 256
+LEAF_ROWS = 128
 LEAST_SAMPLE = 8
 ROUNDS = 8
 #: Queries that calibrate the search, and the share of their true neighbours that it has to meet.
 CALIBRATION = 256
-RECALL = 0.96
-#: Rows of a leaf and visiting queries in one group of the search; queries multiplied at once.
+RECALL = 0.95
+#: Rows of a bin's part and visiting queries in one group of the search; queries multiplied at once.
 SEGMENT = 8192
 VISITORS = 4096
-AT_ONCE = 128
+AT_ONCE = 256
+#: Leaves of the first search, and how many times as many each wider one reaches.
+FIRST_LEAVES = 8
+WIDER = 8
 #: Far above what a different order of adding changes in a product, relative to the largest one.
 SLACK = 1e-9
 
@@ -121,34 +126,50 @@ def k_means(rows: np.ndarray, k: int, draw: np.random.Generator) -> tuple[np.nda
     return groups, centres[held]
 
 
-def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, each added from the first dimension to the last, so that equal rows have equal ones."""
-    sums = np.zeros(len(rows))
-    for k in range(rows.shape[1]):
-        sums += rows[:, k] * query[k]
+def products(rows: np.ndarray, queries: np.ndarray, place: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Inner products of rows and queries in double precision, each added from the first dimension to the last, so that equal rows have equal ones."""
+    sums = np.zeros(len(place))
+    for row, query in zip(np.ascontiguousarray(rows.T), np.ascontiguousarray(queries.T), strict=True):
+        sums += row[place] * query[number]
     return sums
 
 
-def best_of(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, row number, product) of the k best rows of each query; equal ones by smaller id, never its own.
+def first_of(number: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best entries of each query, largest score first, equal ones by smaller id."""
+    order = np.lexsort((ids, -score, number))
+    sorted_numbers = number[order]
+    return order[np.arange(len(order)) - np.searchsorted(sorted_numbers, sorted_numbers) < k]
 
-    One matrix product finds what may be among the best, ties included; only that is worked out exactly.
+
+def best_of(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int,
+            floor: np.ndarray | None = None, met: list[tuple[int, int, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, row number, product) of the k best rows of each query that reach its floor; never its own row.
+
+    ``met`` has ranges of rows with the sorted numbers of the queries that visit them; without it all visit all.
+    Matrix products find what may be among the best, ties included; only that is worked out exactly.
     """
-    numbers, places, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    made = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    longest = float(np.sqrt((rows * rows).sum(axis=1).max(initial=0)))
     for begin in range(0, len(queries), AT_ONCE):
         some = queries[begin:begin + AT_ONCE]
-        rough = some @ rows.T
-        rough[ids[None, :] == query_ids[begin:begin + AT_ONCE, None]] = -np.inf
-        least = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(some), -np.inf)
-        slack = SLACK * (1 + np.abs(rough, where=np.isfinite(rough), out=np.zeros_like(rough)).max(axis=1, initial=0))
-        for j, query in enumerate(some):
-            near = np.flatnonzero((rough[j] >= least[j] - slack[j]) & (rough[j] > -np.inf))
-            exact = products(rows[near], query)
-            order = np.lexsort((ids[near], -exact))[:k]
-            numbers.append(np.full(len(order), begin + j))
-            places.append(near[order])
-            values.append(exact[order])
-    return np.concatenate(numbers), np.concatenate(places), np.concatenate(values)
+        if met is None:
+            rough = some @ rows.T
+        else:
+            rough = np.full((len(some), len(rows)), -np.inf)
+            for a, b, visitors in met:
+                own = visitors[slice(*np.searchsorted(visitors, (begin, begin + AT_ONCE)))] - begin
+                rough[own, a:b] = some[own] @ rows[a:b].T
+        rough[ids == query_ids[begin:begin + AT_ONCE, None]] = -np.inf
+        if floor is not None:
+            least = floor[begin:begin + AT_ONCE]
+        else:
+            least = np.partition(rough, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(some), -np.inf)
+        slack = SLACK * (1 + np.sqrt((some * some).sum(axis=1)) * longest)
+        number, place = np.nonzero((rough >= (least - slack)[:, None]) & (rough > -np.inf))
+        score = products(rows, some, place, number)
+        best = first_of(number, ids[place], score, k)
+        made.append((number[best] + begin, place[best], score[best]))
+    return tuple(np.concatenate(x) for x in zip(*made, strict=True))
 
 
 def searchable(vectors: DataFrame) -> DataFrame:
@@ -213,10 +234,14 @@ class VectorIndex:
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, asked = shared.value
+            best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
             for batch in batches:
                 own, leaf = (batch.column(c).to_numpy() for c in (0, 2))
                 number, place, score = best_of(own, matrix(batch.column(1), width), known, asked, k)
-                yield pa.RecordBatch.from_arrays([pa.array(known[number]), pa.array(own[place]), pa.array(leaf[place]), pa.array(score)], ["query_id", "vec_id", "leaf", "score"])
+                best = [np.append(old, new) for old, new in zip(best, (number, own[place], leaf[place], score), strict=True)]
+                first = first_of(best[0], best[1], best[3], k)
+                best = [x[first] for x in best]
+            yield pa.RecordBatch.from_arrays([pa.array(known[best[0]]), *map(pa.array, best[1:])], ["query_id", "vec_id", "leaf", "score"])
 
         return nearest_first(self.filed.mapInArrow(scan, _BEST), k)
 
@@ -235,40 +260,91 @@ class VectorIndex:
         self.visits, self.calibrated_recall = visits, float((needed <= visits).mean()) if len(needed) else 1.0
         return self
 
+    def bins(self) -> dict[int, tuple[int, int]]:
+        """(bin, rows of the bin) of each leaf: leaves that follow one another in the tree, up to SEGMENT rows, or one larger leaf."""
+        packs, held = [], SEGMENT + 1
+        for leaf in sorted(self.sizes):
+            if held + self.sizes[leaf] > SEGMENT:
+                packs.append([])
+                held = 0
+            packs[-1].append(leaf)
+            held += self.sizes[leaf]
+        return {leaf: (number, sum(self.sizes[x] for x in pack)) for number, pack in enumerate(packs) for leaf in pack}
+
     def search(self, queries: DataFrame, k: int) -> DataFrame:
         """(query_id, rank, vec_id, score) of the nearest found of (vec_id, vector) rows, one row per query's id."""
-        tree, visits, width = self.tree, self.visits, self.tree.width
-        spark = self.filed.sparkSession
-        shared = spark.sparkContext.broadcast(tree)
+        tree, visits, width, bins = self.tree, self.visits, self.tree.width, self.bins()
+        shared = self.filed.sparkSession.sparkContext.broadcast((tree, {leaf: b for leaf, (b, _) in bins.items()}))
+        steps = [0, min(FIRST_LEAVES, visits)]
+        while steps[-1] < visits:
+            steps.append(min(visits, steps[-1] * WIDER))
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """A row for each query, step and bin with the leaves of the bin that the step visits."""
+            known, bin_of = shared.value
             for batch in batches:
-                met = shared.value.best_first(matrix(batch.column(1), width), visits)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(met, pa.list_(pa.int64()))], ["vec_id", "vector", "leaves"])
-
-        routed = self.stage(queries.mapInArrow(route, "vec_id long, vector array<double>, leaves array<long>"), "routed")
-        visiting = routed.select("vec_id", "vector", F.explode("leaves").alias("leaf"))
-        guests = {r["leaf"]: r["count"] for r in visiting.groupBy("leaf").count().collect()}
-        parts = spark.createDataFrame(
-            [(leaf, -(-size // SEGMENT), -(-guests[leaf] // VISITORS)) for leaf, size in sorted(self.sizes.items()) if leaf in guests], "leaf long, segments int, groups int")
-        parts = F.broadcast(parts)  # a row per leaf, so bounded by the sample
-
-        def dealt(rows: DataFrame, own: str, other: str, by: str) -> DataFrame:
-            whole = F.sequence(F.lit(0), F.col(other) - 1)
-            return rows.join(parts, "leaf").withColumn(own, F.pmod(F.xxhash64(by), F.col(own)).cast("int")).withColumn(other, F.explode(whole))
-
-        members = dealt(self.filed, "segments", "groups", "vec_id")
-        asking = dealt(visiting, "groups", "segments", "vec_id")
-        keys = ["leaf", "segments", "groups"]
-
-        def meet(held: pa.Table, asked: pa.Table) -> pa.Table:
-            ids, rows = held.column("vec_id").to_numpy(), matrix(held.column("vector"), width)
-            query_ids, wanted = asked.column("vec_id").to_numpy(), matrix(asked.column("vector"), width)
-            number, place, score = best_of(ids, rows, query_ids, wanted, k)
-            return pa.table({"query_id": query_ids[number], "vec_id": ids[place], "leaf": np.zeros(len(place), np.int64), "score": score})
-
-        found = members.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInArrow(meet, _BEST)
-        return nearest_first(found, k).select("query_id", "rank", "vec_id", "score")
+                rows, places, bin_numbers, leaves = [], [], [], []
+                for row, met in enumerate(known.best_first(matrix(batch.column(1), width), visits)):
+                    for step in range(len(steps) - 1):
+                        own: dict[int, list[int]] = {}
+                        for leaf in met[steps[step]:steps[step + 1]]:
+                            if leaf in bin_of:
+                                own.setdefault(bin_of[leaf], []).append(leaf)
+                        rows += [row] * len(own)
+                        places += [step] * len(own)
+                        bin_numbers += own.keys()
+                        leaves += own.values()
+                yield pa.RecordBatch.from_arrays([*[c.take(pa.array(rows, pa.int64())) for c in batch.columns], pa.array(places, pa.int32()), pa.array(bin_numbers, pa.int64()),
+                                                  pa.array(leaves, pa.list_(pa.int64()))], ["vec_id", "vector", "step", "bin", "leaves"])
+
+        routed = self.stage(queries.mapInArrow(route, "vec_id long, vector array<double>, step int, bin long, leaves array<long>"), "routed")
+        guests = {(r["step"], r["bin"]): r["count"] for r in routed.groupBy("step", "bin").count().collect()}  # bounded by steps and leaves
+        found = None
+        for step in range(len(steps) - 1):
+            asked = routed.where(F.col("step") == step).drop("step")
+            if found is None:
+                asked = asked.withColumn("floor", F.lit(None).cast("double"))
+            else:
+                kth = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count("*") >= k, F.min("score")).otherwise(float("-inf")).alias("floor"))
+                asked = asked.join(kth, "vec_id", "left").fillna(float("-inf"), ["floor"])
+            more = self._met(asked, {b: n for (s, b), n in guests.items() if s == step}, bins, k)
+            found = nearest_first(more if found is None else found.select(more.columns).unionByName(more), k)
+            if step + 2 < len(steps):
+                found = self.stage(found, f"step-{step}")
+        return found.select("query_id", "rank", "vec_id", "score")
+
+    def _met(self, asked: DataFrame, guests: dict[int, int], bins: dict[int, tuple[int, int]], k: int) -> DataFrame:
+        """(query_id, vec_id, score) of the best rows of each bin's part for the queries that visit it."""
+        spark, width = self.filed.sparkSession, self.tree.width
+        dealt = [(leaf, b, -(-size // SEGMENT), -(-guests[b] // VISITORS)) for leaf, (b, size) in bins.items() if b in guests]
+        # Both have a row per leaf at most, so they are bounded by the sample.
+        of_leaf = F.broadcast(spark.createDataFrame(dealt, "leaf long, bin long, parts int, groups int"))
+        of_bin = F.broadcast(spark.createDataFrame(sorted({x[1:] for x in dealt}), "bin long, parts int, groups int"))
+
+        def whole(number: str):
+            return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+        def drawn(number: str):
+            return F.pmod(F.xxhash64("vec_id"), F.col(number)).cast("int")
+
+        members = self.filed.join(of_leaf, "leaf").withColumn("parts", drawn("parts")).withColumn("groups", whole("groups"))
+        visitors = asked.join(of_bin, "bin").withColumn("groups", drawn("groups")).withColumn("parts", whole("parts"))
+
+        def meet(held: pa.Table, guests: pa.Table) -> pa.Table:
+            held = held.sort_by("leaf")
+            ids, leaf, rows = held.column("vec_id").to_numpy(), held.column("leaf").to_numpy(), matrix(held.column("vector"), width)
+            query_ids, queries, floor = guests.column("vec_id").to_numpy(), matrix(guests.column("vector"), width), guests.column("floor")
+            lists = guests.column("leaves").combine_chunks()
+            wanted = lists.flatten().to_numpy(zero_copy_only=False)
+            number = np.repeat(np.arange(len(query_ids)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            order = np.argsort(wanted, kind="stable")
+            wanted, number = wanted[order], number[order]
+            met = [(*np.searchsorted(leaf, (x, x + 1)).tolist(), number[slice(*np.searchsorted(wanted, (x, x + 1)))]) for x in np.unique(leaf)]
+            number, place, score = best_of(ids, rows, query_ids, queries, k, floor.to_numpy() if floor.null_count == 0 else None, met)
+            return pa.table({"query_id": query_ids[number], "vec_id": ids[place], "score": score})
+
+        keys = ["bin", "parts", "groups"]
+        return members.groupBy(*keys).cogroup(visitors.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
 
 
 def nearest_first(found: DataFrame, k: int) -> DataFrame:
