@@ -33,7 +33,7 @@ BLOCK = 8
 DENSE = 512
 AT_ONCE = 32
 #: Blocks that a text reads at most before its k-th cosine is set anew: few at first, then all that may still reach it.
-ROUNDS = (4, 24)
+ROUNDS = (4,)
 #: More than twice what single precision can change in a cosine.
 SLACK = 1e-4
 #: Letters of the word beginnings that are terms beside the words.
@@ -353,17 +353,25 @@ class ExampleIndex:
             open_ones &= ~wanted
             self.read += int(wanted.sum())
             read = np.flatnonzero(wanted.any(axis=0))
-            rows = _spread(self.edges[read], np.minimum(self.edges[read] + self.block, count))
+            if 2 * len(read) < len(self.edges):
+                rows = _spread(self.edges[read], np.minimum(self.edges[read] + self.block, count))
+                matrix = self.dense[rows]
+            else:  # copying the most of the matrix costs more than it saves
+                rows, matrix = np.arange(count), self.dense
             # Lists are read where the own query wants the block, matrix rows where any of the batch does.
             own = np.flatnonzero(wanted[text, blocks])
             opens, closes = self.list_begins[lists[own]], self.list_begins[lists[own] + 1]
             postings, times = _spread(opens, closes), closes - opens
             sums = np.bincount(np.repeat(text[own] * count, times) + self.rows[postings], np.repeat(weights[own], times) * self.rare[postings], size * count)
-            found = thick @ self.dense[rows].T + sums.reshape(size, count)[:, rows].astype(np.float32)
+            sums = sums.reshape(size, count)
+            found = thick @ matrix.T + (sums if len(rows) == count else sums[:, rows])
             shown = wanted[:, rows // self.block]
             if leave is not None:
                 shown &= self.ids[rows] != leave[:, None]
-            rough[:, rows] += np.where(shown, found, 0)
+            if len(rows) == count:
+                np.copyto(rough, found, where=shown, casting="same_kind")
+            else:
+                rough[:, rows] = np.where(shown, found, rough[:, rows])
             if count > k:
                 least = np.partition(rough, -k, axis=1)[:, -k]
         return rough, least
