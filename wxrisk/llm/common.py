@@ -59,15 +59,24 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it; letter case does not count."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pinned(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with computed columns that later steps read instead of computing them again.
 
     The optimizer copies an ordinary expression into each filter above it; what a generator
     makes it does not copy.
     """
-    one = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_pinned")
-    kept = [c for c in df.columns if c not in columns]
-    return df.select(*[F.col(f"`{c}`") for c in kept], one).select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"_pinned.{n}").alias(n) for n in columns])
+    name = fresh(df, "_pinned")
+    one = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias(name)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, one).select(*kept, *[F.col(f"{name}.{n}").alias(n) for n in columns])
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:

@@ -265,9 +265,10 @@ def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     """``docs`` with one row per group of near duplicates: that with the smallest doc_id.
 
     Rows without doc_id come last in a group and are told apart by their text; repeated rows
-    become one. doc_id is taken to be unique: rows of one doc_id with different texts stay.
+    become one. doc_id is taken to be unique: rows of one doc_id with different texts stay. Columns may have any names.
     """
-    keyed = docs.withColumn("_key", common.row_key())
-    groups = near_duplicate_components(keyed.select(F.col("_key").alias("doc_id"), "text"), width, percent)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", "text"]).select(*docs.columns)
+    key = common.fresh(docs, "_key")
+    keyed = docs.withColumn(key, common.row_key())
+    groups = near_duplicate_components(keyed.select(F.col(key).alias("doc_id"), "text"), width, percent)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key, "text"]).select(*[f"`{c}`" for c in docs.columns])

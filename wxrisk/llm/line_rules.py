@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxrisk.llm.common import let, pinned, space_words
+from wxrisk.llm.common import fresh, let, pinned, space_words
 
 SPACE = r"[ \t-\r]"
 WORD_CHAR = r"[^ \t-\r]"
@@ -125,8 +125,12 @@ def rule_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, without their failing lines; columns as in ``docs``."""
-    kept = judged(docs, counts=False).where("rules.kept").withColumn("text", F.col("rules.clean_text"))
+    """The documents that the rules keep, without their failing lines; columns as in ``docs``.
+
+    Null and empty texts go. A column ``rules`` of ``docs`` and columns with names of helpers keep their values.
+    """
+    own = {c: fresh(docs, "_own_rules") for c in docs.columns if c.lower() == "rules"}
+    kept = judged(docs.withColumnsRenamed(own), counts=False).where("rules.kept").withColumn("text", F.col("rules.clean_text"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])

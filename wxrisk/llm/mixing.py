@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wxrisk.llm.common import space_words
+from wxrisk.llm.common import fresh, space_words
 
 # Weights of the sources in code point order, repeating; the mix's size and the most a source may be repeated.
 WEIGHTS = (5, 2, 1)
@@ -61,20 +61,27 @@ def mixed(docs: DataFrame, seed: int = 20, **targets) -> DataFrame:
     own = ("size", "source_size", "target", "rate", "copies", "taken")
     kept = docs.select(*[c for c in docs.columns if c not in own])
     sized = kept.withColumn("size", F.size(space_words(F.col("text"))).cast("long"))
-    goals = source_targets(sized.select("source", "size"), **targets).withColumnRenamed("source", "_source")
-    goals = goals.select("_source", "source_size", "target")
+    other = fresh(docs, "_source")
+    goals = source_targets(sized.select("source", "size"), **targets).withColumnRenamed("source", other)
+    goals = goals.select(other, "source_size", "target")
     if docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         goals = F.broadcast(goals)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     more = (_draw(seed, "doc_id", "text") < F.col("rate") - F.floor("rate")).cast("long")
     return (
-        sized.join(goals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        sized.join(goals, F.col("source").eqNullSafe(F.col(other))).drop(other)
         .withColumn("rate", rate).withColumn("copies", F.floor("rate") + more)
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
 
 
 def emitted(docs: DataFrame, seed: int = 20, **targets) -> DataFrame:
-    """The mix itself: each document as many times as it is taken, with ``copy`` from 1."""
-    rows = mixed(docs, seed, **targets).where("copies > 0")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns, "copy")
+    """The mix itself: each document as many times as it is taken, with ``copy`` from 1.
+
+    Columns of ``docs`` keep their values also where they have names of ``mixed``; only a column ``copy`` is
+    replaced. Null and empty texts have no words and are taken by their source's rate like others.
+    """
+    own = {c: fresh(docs, f"_kept_{c}") for c in docs.columns if c.lower() in ("size", "source_size", "target", "rate", "copies", "taken")}
+    rows = mixed(docs.withColumnsRenamed(own), seed, **targets).where("copies > 0")
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return rows.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns if c.lower() != "copy"], copy)

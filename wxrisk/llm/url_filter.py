@@ -1,6 +1,6 @@
 """URL filters: host and path rules, and a listed-URL test by blocked Bloom filter and exact join.
 
-Native. The filter has a fixed number of blocks, so it is broadcast whatever the list's size;
+Native. The filter's blocks are sized from the list's count up to a bound, so it can be broadcast;
 only URLs that it lets pass are shuffled to the list.
 """
 
@@ -11,9 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 2**13 blocks of 8 words of 32 bits: 256 KB of bits, and the proven size of what is broadcast.
-BLOCK_BITS = 13
+from wxrisk.llm.common import fresh
+
+#: Words of 32 bits in a block, listed URLs to a block, and blocks at least and at most: 4,194,304 blocks are 128 MB of
+#: bits, the proven bound of what is broadcast. Longer lists fill the blocks more and pass more URLs to the join.
 WORDS = 8
+URLS_PER_BLOCK = 8
+LEAST_BLOCKS, MOST_BLOCKS = 64, 1 << 22
 
 Rule = tuple[str, str, str]
 
@@ -44,8 +48,13 @@ def best_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column
     return rule, verdict
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(1 << BLOCK_BITS)).cast("int")
+def blocks_for(urls: int) -> int:
+    """Blocks of a filter for so many URLs."""
+    return min(MOST_BLOCKS, max(LEAST_BLOCKS, urls // URLS_PER_BLOCK))
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(1), key), F.lit(blocks)).cast("int")
 
 
 def _bits(key: Column) -> list[Column]:
@@ -53,29 +62,33 @@ def _bits(key: Column) -> list[Column]:
     return [F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.lit(100 + k), key), F.lit(32)).cast("int")) for k in range(WORDS)]
 
 
-def bloom_filter(listed: DataFrame, key: str) -> DataFrame:
-    """One row (block, w0 ... w7) per used block; at most 2**13 rows."""
+def bloom_filter(listed: DataFrame, key: str, blocks: int) -> DataFrame:
+    """One row (block, w0 ... w7) per used block; at most ``blocks`` rows."""
     words = [bit.alias(f"w{k}") for k, bit in enumerate(_bits(F.col(key)))]
-    return listed.where(F.col(key).isNotNull()).select(_block(F.col(key)).alias("block"), *words).groupBy("block").agg(
+    return listed.where(F.col(key).isNotNull()).select(_block(F.col(key), blocks).alias("block"), *words).groupBy("block").agg(
         *[F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS)])
 
 
 def listed_rows(rows: DataFrame, key: str, listed: DataFrame, listed_key: str) -> DataFrame:
     """``rows`` with boolean ``is_listed``: whether the key is among the listed ones; exact.
 
-    Null keys are never listed. Copies in the list count once, and rows of a hot key are split by
-    adaptive execution, as the list's side has one row a key.
+    The filter is sized from the list's count. Null keys are never listed. Copies in the list count once, and
+    rows of a hot key are split by adaptive execution, as the list's side has one row a key. Helper columns are named so
+    that no column of ``rows`` is met; an existing ``is_listed`` is replaced.
     """
-    names = listed.where(F.col(listed_key).isNotNull()).select(F.col(listed_key).alias("_key")).distinct()
-    bloom = F.broadcast(bloom_filter(names, "_key"))
-    probed = rows.withColumn("_block", _block(F.col(key))).join(bloom, F.col("_block") == bloom["block"], "left")
-    passes = F.col("block").isNotNull() & F.col(key).isNotNull()
+    name, block, maybe, bits = (fresh(rows, n) for n in ("_key", "_block", "_maybe", "_bits"))
+    names = listed.where(F.col(listed_key).isNotNull()).select(F.col(listed_key).alias(name)).distinct()
+    blocks = blocks_for(names.count())
+    bloom = bloom_filter(names, name, blocks).select(F.col("block").alias(block), F.array(*[f"w{k}" for k in range(WORDS)]).alias(bits))
+    kept = rows.select(*[f"`{c}`" for c in rows.columns if c.lower() != "is_listed"])
+    probed = kept.withColumn(maybe, _block(F.col(key), blocks)).join(F.broadcast(bloom), F.col(maybe) == F.col(block), "left")
+    passes = F.col(block).isNotNull() & F.col(key).isNotNull()
     for k, bit in enumerate(_bits(F.col(key))):
-        passes = passes & (F.col(f"w{k}").bitwiseAND(bit) != 0)
-    probed = probed.withColumn("_maybe", F.coalesce(passes, F.lit(False))).drop("block", "_block", *[f"w{k}" for k in range(WORDS)])
-    sure = probed.where("not _maybe").withColumn("is_listed", F.lit(False))
-    checked = probed.where("_maybe").join(names, F.col(key) == names["_key"], "left").withColumn("is_listed", F.col("_key").isNotNull())
-    return sure.drop("_maybe").unionByName(checked.drop("_maybe", "_key"))
+        passes = passes & (F.col(bits)[k].bitwiseAND(bit) != 0)
+    probed = probed.withColumn(maybe, F.coalesce(passes, F.lit(False))).drop(block, bits)
+    sure = probed.where(~F.col(maybe)).withColumn("is_listed", F.lit(False))
+    checked = probed.where(F.col(maybe)).join(names, F.col(key) == F.col(name), "left").withColumn("is_listed", F.col(name).isNotNull())
+    return sure.drop(maybe).unionByName(checked.drop(maybe, name))
 
 
 def judged_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
