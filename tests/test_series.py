@@ -143,8 +143,8 @@ def test_keyless_rows_are_not_gathered(spark):
     assert labels.label_both(df, block_rows=64).count() == 900
 
 
-@pytest.mark.parametrize("cut_every", [5, 1 << 16])
-def test_running_totals(spark, cut_every):
+@pytest.mark.parametrize("range_rows", [5, 1 << 16])
+def test_running_totals(spark, range_rows):
     rng = random.Random(5)
     values = sorted({round(rng.uniform(-5, 5), 2) for _ in range(400)})
     data = [(g, v, i % 4) for g in ("hot", "cold") for i, v in enumerate(values if g == "hot" else values[:7])]
@@ -152,7 +152,7 @@ def test_running_totals(spark, cut_every):
     totals = {"s": ("sum", "n"), "m": ("max", "n")}
     for before in (False, True):
         got = {(r["g"], r["v"]): (r["s"], r["m"]) for r in
-               running(df, ["g"], "v", totals, before=before, cut_every=cut_every).collect()}
+               running(df, ["g"], "v", totals, before=before, range_rows=range_rows).collect()}
         assert len(got) == len(data)
         for g in ("hot", "cold"):
             seen = []
@@ -163,14 +163,14 @@ def test_running_totals(spark, cut_every):
                 if not before:
                     assert got[g, v] == (sum(seen), max(seen))
     alone = df.filter("g = 'hot'").select("v", "n")
-    got = sorted((r["v"], r["s"]) for r in running(alone, [], "v", {"s": ("sum", "n")}, cut_every=cut_every).collect())
+    got = sorted((r["v"], r["s"]) for r in running(alone, [], "v", {"s": ("sum", "n")}, range_rows=range_rows).collect())
     assert [s for _, s in got] == list(pd.Series([n for g, _, n in data if g == "hot"]).cumsum())
 
 
-@pytest.mark.parametrize("cut_every", [3, 1 << 16])
-def test_quantiles(df, frame, cut_every):
+@pytest.mark.parametrize("range_rows", [3, 1 << 16])
+def test_quantiles(df, frame, range_rows):
     wanted = {"a": ("MaxTemp_2m", 0.95), "b": ("Precip", 0.99), "c": ("RH_2m", 0.5), "d": ("Precip", 0.0)}
-    got = {r["District"]: r for r in group_quantiles(df, ["District"], wanted, cut_every=cut_every).collect()}
+    got = {r["District"]: r for r in group_quantiles(df, ["District"], wanted, range_rows=range_rows).collect()}
     for district, part in frame.groupby("District"):
         for name, (column, q) in wanted.items():
             expected = part[column].quantile(q)
@@ -291,10 +291,10 @@ def brute_metrics(pairs):
 @pytest.mark.parametrize("pairs", [
     [(0.9, 1), (0.8, 0), (0.8, 1), (0.8, 1), (0.3, 0), (0.1, 1)], [(0.5, 1), (0.5, 0)], [(0.1, 1), (0.7, 1)], [(0.2, 0)],
 ])
-@pytest.mark.parametrize("cut_every", [2, 1 << 16])
-def test_ranking_metrics(spark, pairs, cut_every):
+@pytest.mark.parametrize("range_rows", [2, 1 << 16])
+def test_ranking_metrics(spark, pairs, range_rows):
     df = spark.createDataFrame(pairs, "prob double, label int")
-    row = metrics.ranking_metrics(metrics.score_table(df, "prob", "label", cut_every=cut_every)).first()
+    row = metrics.ranking_metrics(metrics.score_table(df, "prob", "label", range_rows=range_rows)).first()
     ap, auc = brute_metrics(pairs)
     assert row["average_precision"] == pytest.approx(ap) and row["roc_auc"] == pytest.approx(auc)
 

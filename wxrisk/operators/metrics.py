@@ -1,7 +1,7 @@
 """Scores of a scorer: ranking metrics, curves and counts.
 
 Ranking metrics first fold equal scores into one row with its positives and
-negatives, then accumulate along the score in pieces, so the scored table is
+negatives, then accumulate along the score in ranges, so the scored table is
 never sorted in one task.
 """
 
@@ -10,20 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wxrisk.operators.running import CUT_EVERY, running
-from wxrisk.session import unstaged
+from wxrisk.operators.running import RANGE_ROWS, running
 
 
-def score_table(df: DataFrame, score: str, label: str, *, stage=unstaged,
-                cut_every: int = CUT_EVERY) -> DataFrame:
+def score_table(df: DataFrame, score: str, label: str, *, stage=None,
+                range_rows: int = RANGE_ROWS) -> DataFrame:
     """Per distinct score: positives, negatives and both counts at this score or above (tp, fp)."""
     positive = F.col(label).cast("int")
     folded = df.select((-F.col(score)).alias("_down"), positive.alias("_y")).groupBy("_down").agg(
         F.sum("_y").alias("pos"), F.sum(1 - F.col("_y")).alias("neg")
     )
-    folded = stage(folded, "scores")
     totals = {"tp": ("sum", "pos"), "fp": ("sum", "neg")}
-    table = running(folded, [], "_down", totals, cut_every=cut_every)
+    table = running(folded, [], "_down", totals, stage=stage, range_rows=range_rows)
     return table.select((-F.col("_down")).alias("threshold"), "pos", "neg", "tp", "fp")
 
 

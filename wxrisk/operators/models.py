@@ -137,9 +137,12 @@ def save(spark: SparkSession, model: PipelineModel, card: ModelCard, path: str)
     row.coalesce(1).write.mode("overwrite").text(f"{path}/card")
 
 
+def read_card(spark: SparkSession, path: str) -> ModelCard:
+    return ModelCard(**json.loads(spark.read.text(f"{path}/card").first()[0]))
+
+
 def load(spark: SparkSession, path: str) -> tuple[PipelineModel, ModelCard]:
-    card = ModelCard(**json.loads(spark.read.text(f"{path}/card").first()[0]))
-    return PipelineModel.load(f"{path}/model"), card
+    return PipelineModel.load(f"{path}/model"), read_card(spark, path)
 
 
 def score_stored(spark: SparkSession, path: str, features: DataFrame) -> DataFrame:

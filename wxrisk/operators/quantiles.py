@@ -1,9 +1,8 @@
 """Exact quantiles with linear interpolation, spread over the cluster.
 
-The built-in exact percentile keeps every distinct value of a group in one
-task's memory. Here values are counted first (equal values fold into one row),
-then cut into pieces along the value; the piece totals tell which piece holds
-each wanted rank, and only those pieces are sorted.
+The built-in exact percentile keeps every distinct value of a group in one task's memory. Here values are counted
+first (equal values fold into one row), then dealt by range of (group, value); the totals of the ranges tell which
+range holds each wanted rank, and only those ranges are sorted. The number of ranges grows with the distinct values.
 """
 
 from __future__ import annotations
@@ -12,8 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wxrisk.operators.running import CUT_EVERY, in_pieces
-from wxrisk.session import unstaged
+from wxrisk.operators.running import RANGE_ROWS, _starts, in_ranges
 
 
 def group_quantiles(
@@ -21,8 +19,8 @@ def group_quantiles(
     group: list[str],
     wanted: dict[str, tuple[str, float]],
     *,
-    stage=unstaged,
-    cut_every: int = CUT_EVERY,
+    stage=None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """One row per group with a column per entry ``name: (column, quantile)``; NULLs are skipped."""
     pairs = F.array(*[
@@ -36,20 +34,20 @@ def group_quantiles(
         .filter(F.col("v").isNotNull())
         .groupBy(*keys, "q", "v").agg(F.count("*").alias("n"))
     )
-    counted = stage(counted, "value-counts")
+    cut, ranges = in_ranges(counted, keys, "v", stage=stage, range_rows=range_rows)
     pieces = [*keys, "_piece"]
-    cut = in_pieces(counted, keys, "v", cut_every=cut_every, stage=stage)
-    along = W.partitionBy(*keys).orderBy("_piece")
-    totals = cut.groupBy(*pieces, "q").agg(F.sum("n").alias("total")).select(
-        *pieces, "q", "total",
-        (F.sum("total").over(along) - F.col("total")).alias("start"),
-        F.sum("total").over(W.partitionBy(*keys)).alias("size"),
-    )
-    place = (F.col("size") - 1) * F.col("q")
-    holding = totals.withColumn("place", place).filter(
+    sums = {"n": ("sum", "n")}
+    totals = cut.groupBy(*pieces, "q").agg(F.sum("n").alias("_all_n"))
+    if ranges == 1:
+        whole = totals.withColumns({"size": F.col("_all_n"), "_from_n": F.lit(0)})
+    else:
+        sizes = totals.groupBy(*keys).agg(F.sum("_all_n").alias("size"))
+        whole = totals.join(_starts(totals.select(*pieces, "_all_n"), keys, sums), pieces).join(sizes, keys)
+    placed = whole.select(
+        *pieces, F.col("_all_n").alias("total"), F.coalesce("_from_n", F.lit(0)).alias("start"), ((F.col("size") - 1) * F.col("q")).alias("place"))
+    holding = placed.filter(
         (F.col("start") <= F.ceil("place")) & (F.col("start") + F.col("total") - 1 >= F.floor("place"))
     ).select(*pieces, "start", "place")
-    holding = stage(holding, "pieces-with-ranks")
     inside = W.partitionBy(*pieces).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     around = cut.drop("q").join(holding, pieces).withColumn("upto", F.col("start") + F.sum("n").over(inside))
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1

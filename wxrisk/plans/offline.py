@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wxrisk import constants as K
-from wxrisk.operators import features, labels, metrics, models, sequences
+from wxrisk.operators import boosting, features, labels, metrics, models, recurrent, sequences
 from wxrisk.session import TableStages, unstaged
 from wxrisk.sources.files import read_daily_csv
 
@@ -42,32 +42,51 @@ def before_last_days(df: DataFrame, days: int = K.TEST_DAYS) -> DataFrame:
     return models.time_split(df, days)[0]
 
 
-def train_trees(spark: SparkSession, table: DataFrame, out: str, *, target: str = "heatwave",
-                rounds: int = 100, days: int = K.TEST_DAYS) -> DataFrame:
-    """Trains on all but the last ``days`` days, stores the model, gives the metrics on those days."""
+def train_trees(spark: SparkSession, table: DataFrame, out: str, *, target: str = "heatwave", rounds: int = boosting.ROUNDS,
+                patience: int = boosting.PATIENCE, days: int = K.TEST_DAYS) -> DataFrame:
+    """Trains on all but the last ``days`` days, stores the model, gives the metrics on those days.
+
+    Up to ``rounds`` trees are tried until ``patience`` more of them bring no better average precision on those days.
+    """
+    stage = TableStages(spark, "trees")
     rows, inputs = models.model_matrix(table, target)
-    train, test = models.time_split(rows, days)
-    model, card = models.train_trees(train, inputs, valid=test, rounds=rounds, target=target)
+    train, test = models.time_split(stage(rows, "matrix"), days)
+    model, card = boosting.train_until_no_better(train, test, inputs, rounds=rounds, patience=patience, target=target)
     models.save(spark, model, card, out)
     return evaluate(models.score(model, test), "label")
 
 
-def train_sequences(spark: SparkSession, table: DataFrame, out: str, *, target: str = "heatwave",
-                    steps: int = K.TIMESTEPS, epochs: int = 20, inputs: list[str] | None = None) -> DataFrame:
-    """Trains the sequence classifier on a reproducible 80/20 split; scaling is fitted on the 80 only."""
-    inputs = inputs or sequences.sequence_inputs(table)
+def sequence_rows(spark: SparkSession, table: DataFrame, target: str, steps: int, inputs: list[str]) -> tuple[DataFrame, DataFrame, list]:
+    """(train, test, scaling): standardised sequences of a reproducible 80/20 split; scaling is fitted on the 80 only."""
     rows = sequences.training_sequences(table, target, steps, inputs=inputs)
     train, test = models.hash_split(rows, "District", "Date")
-    statistics = models.step_statistics(train)
     # One row per input column: a model parameter, stored with the model.
-    scaling = [(int(r["input"]), float(r["mean"]), float(r["std"])) for r in statistics.collect()]
+    scaling = [(int(r["input"]), float(r["mean"]), float(r["std"])) for r in models.step_statistics(train).orderBy("input").collect()]
     fixed = spark.createDataFrame(scaling, "input int, mean double, std double")
-    model, card = models.train_sequences(
-        models.standardise(train, fixed), inputs, steps=steps, epochs=epochs, target=target
-    )
+    return models.standardise(train, fixed), models.standardise(test, fixed), scaling
+
+
+def train_epochs(spark: SparkSession, table: DataFrame, out: str, *, target: str = "heatwave", steps: int = K.TIMESTEPS,
+                 epochs: int = recurrent.EPOCHS, inputs: list[str] | None = None) -> DataFrame:
+    """Trains the recurrent classifier, stores it, gives the table of its epochs."""
+    inputs = inputs or sequences.sequence_inputs(table)
+    train, test, scaling = sequence_rows(spark, table, target, steps, inputs)
+    weights, card, told = recurrent.train_epochs(train, test, inputs, steps=steps, epochs=epochs, stage=TableStages(spark, "epochs"), target=target)
+    card.parameters["scaling"] = scaling
+    recurrent.save(spark, weights, card, out)
+    told.coalesce(1).write.mode("overwrite").parquet(f"{out}/epochs")
+    return spark.read.parquet(f"{out}/epochs")
+
+
+def train_sequences(spark: SparkSession, table: DataFrame, out: str, *, target: str = "heatwave",
+                    steps: int = K.TIMESTEPS, epochs: int = 20, inputs: list[str] | None = None) -> DataFrame:
+    """Trains the sequence classifier on a reproducible 80/20 split; scaling is fitted on the 80 only."""
+    inputs = inputs or sequences.sequence_inputs(table)
+    train, test, scaling = sequence_rows(spark, table, target, steps, inputs)
+    model, card = models.train_sequences(train, inputs, steps=steps, epochs=epochs, target=target)
     card.parameters["scaling"] = scaling
     models.save(spark, model, card, out)
-    return evaluate(models.score(model, models.flatten(models.standardise(test, fixed))), "label")
+    return evaluate(models.score(model, models.flatten(test)), "label")
 
 
 def evaluate(scored: DataFrame, label_column: str, prob: str = "prediction_prob", *, stage=unstaged) -> DataFrame:
@@ -79,17 +98,28 @@ def evaluate(scored: DataFrame, label_column: str, prob: str = "prediction_prob"
     )
 
 
+def score_stored(spark: SparkSession, model: str, table: DataFrame) -> DataFrame:
+    """Scores a feature table with a stored model of any kind."""
+    card = models.read_card(spark, model)
+    if card.kind != "recurrent":
+        return models.score_stored(spark, model, table)
+    weights, card = recurrent.load(spark, model)
+    rows = sequences.scoring_sequences(table, card.timesteps, inputs=card.inputs)
+    fixed = spark.createDataFrame([tuple(x) for x in card.parameters["scaling"]], "input int, mean double, std double")
+    return recurrent.scored(models.standardise(rows, fixed), weights, card)
+
+
 def predict(spark: SparkSession, model: str, table: DataFrame, *, target: str = "heatwave",
             threshold: float = 0.5) -> DataFrame:
     """Scores with a stored model of either kind; the known label is joined on (District, Date)."""
-    scored = models.decided(models.score_stored(spark, model, table), threshold)
+    scored = models.decided(score_stored(spark, model, table), threshold)
     if target not in table.columns:
         return scored
     known = table.select("District", "Date", F.col(target).cast("int").alias("actual"))
     return scored.join(known, ["District", "Date"], "left")
 
 
-def run(spark: SparkSession, csv: str, root: str, *, target: str = "heatwave", rounds: int = 100) -> DataFrame:
+def run(spark: SparkSession, csv: str, root: str, *, target: str = "heatwave", rounds: int = boosting.ROUNDS) -> DataFrame:
     """All stages from the CSV to the metrics, with their tables below ``root``."""
     history = ingest(spark, csv, f"{root}/weather")
     stage = TableStages(spark, "offline")
