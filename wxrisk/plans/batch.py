@@ -18,16 +18,16 @@ from wxrisk.streaming import pipeline
 
 
 def serving_tables(spark: SparkSession, root: str, profile: str = "batch") -> dict[str, KeyedTable]:
-    """The three serving tables of a profile below ``root``."""
+    """The three serving tables of a profile below ``root``; partitioned by district and day (summaries: month)."""
     rows = SERVING_BATCH if profile == "batch" else SERVING_STREAM
     layout = {
-        "weather_transformed": (rows, ["district"], ["fetch_time"]),
-        "weather_daily_summary": (DAILY_SERVING, ["district"], ["date"]),
-        "weather_alerts": (ALERTS, ["district", "date"], ["fetch_time"]),
+        "weather_transformed": (rows, ["district"], ["fetch_time"], {"part_day": F.to_date("fetch_time")}),
+        "weather_daily_summary": (DAILY_SERVING, ["district"], ["date"], {"part_month": F.substring("date", 1, 7)}),
+        "weather_alerts": (ALERTS, ["district", "date"], ["fetch_time"], None),
     }
     return {
-        name: KeyedTable(spark, f"{root}/{name}", KEYS[name], partition, order, schema)
-        for name, (schema, partition, order) in layout.items()
+        name: KeyedTable(spark, f"{root}/{name}", KEYS[name], partition, order, schema, derived)
+        for name, (schema, partition, order, derived) in layout.items()
     }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wxrisk import constants as K
 from wxrisk.operators import boosting, features, labels, metrics, models, recurrent, sequences
-from wxrisk.session import TableStages, unstaged
+from wxrisk.session import TableStages, scratch_block, unstaged
 from wxrisk.sources.files import read_daily_csv
 
 
@@ -122,8 +122,8 @@ def predict(spark: SparkSession, model: str, table: DataFrame, *, target: str =
 def run(spark: SparkSession, csv: str, root: str, *, target: str = "heatwave", rounds: int = boosting.ROUNDS) -> DataFrame:
     """All stages from the CSV to the metrics, with their tables below ``root``."""
     history = ingest(spark, csv, f"{root}/weather")
-    stage = TableStages(spark, "offline")
-    labels.label_both(history, stage=stage).write.mode("overwrite").parquet(f"{root}/weather_labeled")
+    with scratch_block():
+        labels.label_both(history, stage=TableStages(spark, "offline")).write.mode("overwrite").parquet(f"{root}/weather_labeled")
     features.build_features(spark.read.parquet(f"{root}/weather_labeled")).write.mode("overwrite").parquet(
         f"{root}/features"
     )

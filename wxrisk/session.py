@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,9 +75,13 @@ class TableStages:
     its size and read only the columns they need.
     """
 
+    _blocks: list[list[TableStages]] = []
+
     def __init__(self, spark: SparkSession, label: str = "stage"):
         self.spark = spark
         self.root = scratch_path(spark, label)
+        if self._blocks:
+            self._blocks[-1].append(self)
 
     def __call__(self, df, name: str):
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -88,6 +93,22 @@ class TableStages:
         remove_folder(self.spark, self.root)
 
 
+@contextmanager
+def scratch_block():
+    """Deletes, at its end, the intermediate tables of all stages made inside.
+
+    For a job that writes the result of operators inside the block: what they staged is read by then.
+    """
+    made: list[TableStages] = []
+    TableStages._blocks.append(made)
+    try:
+        yield
+    finally:
+        TableStages._blocks.remove(made)
+        for stage in made:
+            stage.remove()
+
+
 def unstaged(df, name: str):
     """The default stage: keep the plan lazy."""
     return df

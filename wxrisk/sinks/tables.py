@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,18 +51,27 @@ class KeyedTable:
     rows are completed in a staging folder first and then put in place. If the
     last step is cut short, the same upsert (same token) finishes it from the
     staging folder, so no stored row is lost and none is doubled. A token names
-    one batch of rows, and only the newest batch may be repeated.
+    one batch of rows, and only the newest batch may be repeated. ``derived`` partition
+    columns are made from the key (a day of its time, say), so that a batch rewrites the days
+    it touches and not the whole history of a district; readers do not see them.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str], partition: list[str],
-                 order: list[str] | None = None, schema: StructType | None = None):
+                 order: list[str] | None = None, schema: StructType | None = None, derived: dict[str, Column] | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.key, self.partition, self.order = key, partition, order or []
+        self.key, self.partition, self.order, self.derived = key, [*partition, *(derived or {})], order or [], derived or {}
 
     def read(self) -> DataFrame:
         """The stored rows. The schema matters: folder names alone would turn a text date into a date."""
-        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return reader.parquet(self.path)
+        return self._stored().drop(*self.derived)
+
+    def _stored(self) -> DataFrame:
+        if self.schema is None:
+            return self.spark.read.parquet(self.path)
+        schema = self.schema
+        if self.derived:
+            schema = self.spark.createDataFrame([], self.schema).withColumns(self.derived).schema
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def _arrange(self, df: DataFrame) -> DataFrame:
         """Rows of a partition side by side; adaptive execution splits a hot partition over several tasks."""
@@ -80,7 +89,7 @@ class KeyedTable:
         Partitions with a value are found by a plain join, which prunes the scan at run time;
         those without one by a null filter, which prunes it beforehand, and a null-safe join.
         """
-        touched, stored = fresh.select(*self.partition).distinct(), self.read()
+        touched, stored = fresh.select(*self.partition).distinct(), self._stored()
         blank = reduce(or_, [F.col(name).isNull() for name in self.partition])
         named = stored.join(touched, self.partition, "left_semi")
         return named.unionByName(_same_rows(stored.where(blank), touched.where(blank), self.partition, "left_semi"))
@@ -88,6 +97,7 @@ class KeyedTable:
     def upsert(self, rows: DataFrame, version: list[str], token: str) -> None:
         """Merge ``rows``; ``token`` names the batch (same token, same staging folder)."""
         self.schema = self.schema or rows.schema
+        rows = rows.withColumns(self.derived)
         fresh = last_per_key(rows, self.key, version)
         if not _exists(self.spark, self.path):
             self._write(fresh, self.path, "overwrite")

@@ -157,8 +157,9 @@ def hour_stats_stream(scored: DataFrame, time: str) -> DataFrame:
 class RecentBuffer:
     """Keeps the newest ``size`` rows over all batches as a small table of its own.
 
-    Each batch contributes at most its own newest ``size`` rows. The buffer is
-    written to a folder per batch; the newest folder is the buffer.
+    Each batch contributes at most its own newest ``size`` rows. Two folders take turns: a batch reads what
+    the one before it left and writes the other, so a repeated batch gives the same buffer, and nothing is searched for or
+    piles up. Every batch of a query must pass through, empty ones too.
     """
 
     def __init__(self, spark: SparkSession, root: str, size: int, *order: str):
@@ -168,18 +169,16 @@ class RecentBuffer:
         return df.orderBy(*[F.desc(c) for c in self.order]).limit(self.size)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        fresh = self._top(batch)
-        for earlier in range(batch_id - 1, -1, -1):
-            if committed(self.spark, self._folder(earlier)):
-                kept = self.spark.read.schema(batch.schema).parquet(self._folder(earlier))
-                fresh = self._top(fresh.unionByName(kept))
-                break
+        fresh, earlier = self._top(batch), self._folder(batch_id - 1)
+        if committed(self.spark, earlier):
+            fresh = self._top(fresh.unionByName(self.spark.read.schema(batch.schema).parquet(earlier)))
         fresh.write.mode("overwrite").parquet(self._folder(batch_id))
 
     def _folder(self, batch_id: int) -> str:
-        return f"{self.root}/upto={batch_id}"
+        return f"{self.root}/turn={batch_id % 2}"
 
     def read(self, batch_id: int) -> DataFrame:
+        """The buffer after the newest batch."""
         return self.spark.read.parquet(self._folder(batch_id))
 
 
