@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wxrisk.llm import jaccard, line_rules, mixing, spaced_seeds, toxicity
 from wxrisk.llm.common import stages, table
+from wxrisk.session import scratch_block
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +47,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
-    stage = stages(docs, "pipeline")
+    """All stages over ``documents``; each result is written to the shared folder and read again.
+
+    When a stage is written, what it staged itself and the result before it are deleted.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        stage = stages(docs, f"pipeline-{name}")
+        with scratch_block():
+            docs = stage(step(spark, docs, sf_dir), name)
+        if before:
+            before.remove()
+        before = stage
     return docs
