@@ -6,14 +6,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from wxrisk.operators import cleaning, serving, views
+from wxrisk.operators import models, cleaning, serving, views
 from wxrisk.plans import batch
 from wxrisk.schemas import DAILY, PAYLOAD, RAW, SERVING_BATCH, SERVING_COLUMNS, SERVING_STREAM
 from wxrisk.session import scratch_path
 from wxrisk.sinks import files as sinks
 from wxrisk.sinks.tables import KeyedTable, last_per_key, write_with_fallback
 from wxrisk.sources import files, fixtures, messages, payloads
-from wxrisk.streaming import pipeline
+from wxrisk.streaming import model_scoring, pipeline
 from wxrisk.streaming.progress import ProgressCounter
 
 NOON = dt.datetime(2024, 5, 1, 12)
@@ -285,6 +285,78 @@ def test_progress_figures(spark, folder):
         spark.streams.removeListener(counter)
     assert (counter.figures.batches, counter.figures.rows) == (2, stored.count())
     assert counter.figures.per_second > 0 and counter.figures.errors == 0
+    assert 0 < counter.figures.mean_rate <= counter.figures.rate_peak
+
+
+class _Progress:
+    def __init__(self, number, rows, rate, query="q"):
+        self.id, self.batchId, self.numInputRows, self.processedRowsPerSecond = query, number, rows, rate
+        self.batchDuration, self.timestamp, self.progress = 500, f"t{number}", self
+
+
+def test_progress_sums_survive_a_restart(spark):
+    store = scratch_path(spark, "figures")
+    first = ProgressCounter(spark, store)
+    for report in (_Progress(0, 10, 4.0), _Progress(1, 0, 0.0), _Progress(2, 30, 8.0), _Progress(2, 30, 8.0)):
+        first.onQueryProgress(report)
+    again = ProgressCounter(spark, store)
+    assert again.figures == first.figures and (again.figures.batches, again.figures.rows, again.figures.rate_peak) == (2, 40, 8.0)
+    again.onQueryProgress(_Progress(2, 30, 8.0))
+    again.onQueryProgress(_Progress(3, 2, 3.0))
+    assert (again.figures.batches, again.figures.rows, again.figures.mean_rate) == (3, 42, 5.0)
+    assert ProgressCounter(spark, store).figures == again.figures
+    assert ProgressCounter(spark, scratch_path(spark, "nothing")).figures.batches == 0
+
+
+def test_an_upsert_rewrites_only_the_days_it_touches(spark):
+    path = scratch_path(spark, "days")
+    table = KeyedTable(spark, path, ["district", "at"], ["district"], ["at"], derived={"part_day": F.to_date("at")})
+    history = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("district"), (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("at"),
+        F.lit(1).alias("v"))
+    table.upsert(history, ["v"], "1")
+
+    def files():
+        return {f.split("/days")[1] for f in spark.read.parquet(path).inputFiles()}
+
+    before = files()
+    fresh = spark.createDataFrame([("a", dt.datetime(2024, 1, 3, 0), 2), ("b", dt.datetime(2024, 1, 3, 1), 2), ("a", dt.datetime(2024, 3, 1), 2)], "district string, at timestamp, v int")
+    table.upsert(fresh, ["v"], "2")
+    rewritten = {f.rsplit("/", 1)[0] for f in before - files()}
+    assert len(rewritten) == 2 and all("part_day=2024-01-03" in f for f in rewritten)
+    assert table.read().columns == ["at", "v", "district"] or set(table.read().columns) == {"district", "at", "v"}
+    assert table.read().count() == 401 and table.read().where("v = 2").count() == 3
+
+
+def _scored_feed(spark, folder, parts):
+    path, stored = feed(spark, folder, parts)
+    return pipeline.scored_stream(pipeline.replay_stream(spark, path, stored.schema, 1)), stored
+
+
+def test_a_stream_takes_up_new_models_and_survives_broken_ones(spark, folder):
+    stream, stored = _scored_feed(spark, folder, 5)
+    root = scratch_path(spark, "versions")
+    versions = model_scoring.ModelVersions(spark, f"{root}/models")
+    data = spark.createDataFrame([(float(k), float(k % 7), int(k > 20)) for k in range(40)], "MaxTemp_2m double, Precip double, label int")
+    model, card = models.train_trees(data, ["MaxTemp_2m", "Precip"], rounds=2)
+    other, _ = models.train_trees(data.withColumnRenamed("Precip", "no_such_input"), ["no_such_input"], rounds=2)
+    scorer = model_scoring.ScoreByNewestModel(versions, pipeline.lake_sink(f"{root}/out"))
+
+    def write(batch, batch_id):
+        scorer(batch, batch_id)
+        if batch_id == 0:
+            spark.createDataFrame([("no card",)], "card string").write.text(f"{root}/models/v=1/card")
+        elif batch_id == 1:
+            assert versions.publish(model, card) == 2
+        elif batch_id == 3:
+            versions.publish(other, models.ModelCard("trees", "heatwave", []))
+
+    pipeline.start(stream, write, f"{root}/k", seconds=None).awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    used = {r.batch_id: (r.source, r.model_version) for r in out.select("batch_id", "source", "model_version").distinct().collect()}
+    assert used == {0: ("rule", None), 1: ("rule", None), 2: ("model", 2), 3: ("model", 2), 4: ("rule", None)}
+    assert out.count() == stored.count() and out.where("not heatwave_probability between 0 and 1").count() == 0
+    assert set(scorer.broken) == {1, 3}
 
 
 def test_unknown_hours_and_speed_first(spark):

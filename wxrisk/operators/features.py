@@ -118,32 +118,31 @@ def rolling_features(df: DataFrame, *, key: str = "District", date: str = "Date"
 def climatology(df: DataFrame, key: str = "District", date: str = "Date") -> DataFrame:
     """Median maximum temperature and rain per district and day of year.
 
-    A group holds one row per year of history, so its size is bounded by the
-    calendar, not by the number of districts or observations.
+    Equal values are counted first, map-side, and the median is taken of the counted values: a day of year
+    with very many rows is as long as its distinct values.
     """
-    return (
-        df.groupBy(key, F.dayofyear(date).alias("doy"))
-        .agg(F.median("MaxTemp_2m").alias("clim_maxT"), F.median("Precip").alias("clim_precip"))
-    )
+    both = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("metric"), F.col(column).cast("double").alias("v"))
+        for name, column in (("t", "MaxTemp_2m"), ("p", "Precip"))])).alias("_m")
+    counted = df.select(key, F.dayofyear(date).alias("doy"), both).groupBy(key, "doy", "_m.metric", "_m.v").agg(F.count("*").alias("n"))
+
+    def median(metric: str):
+        held = F.col("metric") == metric
+        return F.percentile(F.when(held, F.col("v")), F.lit(0.5), F.when(held, F.col("n")).otherwise(0))
+
+    return counted.groupBy(key, "doy").agg(median("t").alias("clim_maxT"), median("p").alias("clim_precip"))
 
 
 def add_anomalies(df: DataFrame, normal: DataFrame | None = None, key: str = "District",
                   date: str = "Date") -> DataFrame:
     """Departure of temperature and rain from the day-of-year median.
 
-    With a ``normal`` table its values are joined. Without one the medians are
-    taken over the rows themselves, in the one shuffle that brings the years of
-    a day together: no second pass and no join.
+    ``normal`` has the medians; without one they are those of the rows themselves. They are a row per district and
+    day of year, so the join is a small one. Rows without a district or date have no median.
     """
-    df = df.withColumn("doy", F.dayofyear(date))
-    if normal is not None:
-        df = df.join(normal, [key, "doy"], "left")
-    else:
-        years = W.partitionBy(key, "doy")
-        df = df.withColumns({
-            "clim_maxT": F.median("MaxTemp_2m").over(years), "clim_precip": F.median("Precip").over(years),
-        })
-    return df.withColumns({
+    normal = climatology(df, key, date) if normal is None else normal
+    joined = df.withColumn("doy", F.dayofyear(date)).join(normal, [key, "doy"], "left")
+    return joined.withColumns({
         "anom_maxT": F.col("MaxTemp_2m") - F.col("clim_maxT"),
         "anom_precip": F.col("Precip") - F.col("clim_precip"),
     })

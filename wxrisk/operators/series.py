@@ -29,15 +29,15 @@ UNDATED = 1 << 40
 UNDATED_SLOTS = 1 << 16
 
 
-def _alone(key: str, columns: list[str]) -> Column:
-    """A hash of the row where it has no key, else NULL: tells keyless rows apart when grouping."""
-    return F.when(F.col(key).isNull(), F.xxhash64(*columns))
-
-
 def _slot_sizes(df: DataFrame, key: str, slot: Column) -> DataFrame:
     return df.groupBy(key, slot.alias(_SLOT)).agg(F.count("*").alias("_rows"))
 
 
+def _slot(df: DataFrame, order: str, slot: Column | None) -> Column:
+    undated = F.lit(UNDATED) + F.pmod(F.xxhash64(*df.columns), F.lit(UNDATED_SLOTS))
+    return F.coalesce((F.year(order) if slot is None else slot).cast("long"), undated)
+
+
 def with_position(
     df: DataFrame, key: str, order: str, *, slot: Column | None = None, name: str = POSITION
 ) -> DataFrame:
@@ -49,15 +49,19 @@ def with_position(
     history has one row per district and day, at most 366 in a year; a denser
     series needs a finer slot. Rows with equal ``order`` are told apart by a
     hash of the whole row, rows without a date come last, in slots drawn by hash.
-    Rows without a key get no position.
+    Rows without a key get no position; they never meet in a task.
     """
-    undated = F.lit(UNDATED) + F.pmod(F.xxhash64(*df.columns), F.lit(UNDATED_SLOTS))
-    slot = F.coalesce((F.year(order) if slot is None else slot).cast("long"), undated)
-    inside = W.partitionBy(key, _SLOT, _alone(key, df.columns)).orderBy(F.asc_nulls_last(order), F.xxhash64(*df.columns))
+    keyed = df.where(F.col(key).isNotNull())
+    placed = _placed(keyed, key, order, _slot(df, order, slot), name)
+    return placed.unionByName(df.where(F.col(key).isNull()).withColumn(name, F.lit(None).cast("long")))
+
+
+def _placed(keyed: DataFrame, key: str, order: str, slot: Column, name: str) -> DataFrame:
+    inside = W.partitionBy(key, _SLOT).orderBy(F.asc_nulls_last(order), F.xxhash64(*keyed.columns))
     earlier = W.partitionBy(key).orderBy(_SLOT).rowsBetween(W.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
-    starts = _slot_sizes(df.where(F.col(key).isNotNull()), key, slot).select(key, _SLOT, start)
-    numbered = df.withColumn(_SLOT, slot).withColumn("_place", F.row_number().over(inside))
+    starts = _slot_sizes(keyed, key, slot).select(key, _SLOT, start)
+    numbered = keyed.withColumn(_SLOT, slot).withColumn("_place", F.row_number().over(inside))
     return (
         numbered.join(starts, [key, _SLOT], "left")
         .withColumn(name, (F.col("_start") + F.col("_place") - 1).cast("long"))
@@ -118,18 +122,22 @@ def in_blocks(
     df: DataFrame, key: str, order: str, overlap: int, *, block_rows: int = BLOCK_ROWS,
     slot: Column | None = None,
 ) -> Blocks:
-    positioned = with_position(df, key, order, slot=slot)
+    keyed, number = df.where(F.col(key).isNotNull()), _slot(df, order, slot)
+    positioned = _placed(keyed, key, order, number, POSITION)
     home = F.floor(F.col(POSITION) / block_rows)
     last = F.floor((F.col(POSITION) + overlap) / block_rows)
     spread = (
         positioned.withColumn("_home", home)
-        .select("*", F.explode_outer(F.sequence(home, last)).alias(BLOCK))
-        .withColumn(COPY, F.coalesce(F.col(BLOCK) != F.col("_home"), F.lit(False)))
-        .withColumn(BLOCK, F.coalesce(BLOCK, -1 - F.abs(F.shiftright(_alone(key, df.columns), 1))))
+        .select("*", F.explode(F.sequence(home, last)).alias(BLOCK))
+        .withColumn(COPY, F.col(BLOCK) != F.col("_home"))
         .drop("_home")
     )
-    last_block = F.floor((F.count("*") - 1) / block_rows)
-    layout = df.where(F.col(key).isNotNull()).groupBy(key).agg(last_block.alias("_end")).select(
+    # A keyless row is a block of its own, named by its hash.
+    alone = df.where(F.col(key).isNull()).withColumns({
+        POSITION: F.lit(None).cast("long"), BLOCK: -1 - F.abs(F.shiftright(F.xxhash64(*df.columns), 1)), COPY: F.lit(False)})
+    # The sizes are those that the positions are made of: one count serves both.
+    rows = F.sum("_rows")
+    layout = _slot_sizes(keyed, key, number).groupBy(key).agg(F.floor((rows - 1) / block_rows).alias("_end")).select(
         key, F.explode(F.sequence(F.lit(0).cast("long"), "_end")).alias(BLOCK)
     )
-    return Blocks(spread, key, layout)
+    return Blocks(spread.unionByName(alone), key, layout)
