@@ -1,5 +1,7 @@
 """Long and short benchmark items, the recall of their masks, and helper names as columns of the input."""
 
+import base64
+import hashlib
 import random
 from itertools import combinations
 
@@ -126,3 +128,15 @@ def test_filter_grows_with_the_list(spark):
     keys = spark.range(40_000).select(F.concat(F.lit("h.org/"), "id").alias("canonical"))
     asked = spark.range(20_000, 60_000).select(F.concat(F.lit("h.org/"), "id").alias("url"))
     assert url_filter.listed_rows(asked, "url", keys, "canonical").where("is_listed").count() == 20_000
+
+
+def test_a_large_payload_is_cut_in_one_pass(spark, tmp_path):
+    unit = "<p>körper 😀\r\n</p>" * 1000
+    text = unit * 1200
+    pages = spark.createDataFrame([(1, "u", text), (2, "v", "small")], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "a"))
+    found = {r.page_id: r for r in warc.read_back(spark, str(tmp_path / "a")).collect()}
+    raw = text.encode()
+    digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+    assert len(raw) > 20_000_000 and (found[1].payload_bytes, found[1].payload_digest) == (len(raw), digest)
+    assert found[2].payload_bytes == 5

@@ -72,10 +72,11 @@ def chunk_table(rows: DataFrame, chunk: int = CHUNK_CHARS) -> DataFrame:
     uuid = F.concat_ws("-", *[F.substring(key, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     body = F.when(F.col("kind") == "response", F.col("html")).otherwise("")
     count = F.greatest(F.lit(1), F.ceil(F.char_length(body) / F.lit(chunk)).cast("int"))
-    cut = rows.withColumn("record", uuid).withColumn("segments", count)
-    cut = cut.withColumn("segment", F.explode(F.sequence(F.lit(1), F.col("segments"))))
-    return cut.withColumn("last", F.col("segment") == F.col("segments")).withColumn(
-        "data", F.when(F.col("segments") == 1, body).otherwise(body.substr((F.col("segment") - 1) * chunk + 1, F.lit(chunk)))).drop("html")
+    # One pass from begin to end; the generator then hands on one piece after the other, without the payload.
+    pieces = F.when(count == 1, F.array(body)).otherwise(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)))
+    kept = [c for c in rows.columns if c != "html"]
+    cut = rows.select(*kept, uuid.alias("record"), count.alias("segments"), F.posexplode(pieces).alias("place", "data"))
+    return cut.withColumn("segment", F.col("place") + 1).withColumn("last", F.col("segment") == F.col("segments")).drop("place")
 
 
 def record_text(chunks: DataFrame) -> Column:
