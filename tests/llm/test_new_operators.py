@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.test_llm_operators import ODD, SCHEMA
-from wxrisk.llm import fill_middle, source_audit, vector_tree
+from wxrisk.llm import fill_middle, source_audit, toxicity, vector_tree
 
 # ---- fill in the middle
 
@@ -231,3 +231,33 @@ def test_all_leaves_make_the_search_exact(spark):
     for r in index.search(queries, 10).orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append(r.vec_id)
     assert found == {q: [i for i, _ in best] for q, best in brute_neighbours(rows, 10, 100).items()}
+
+
+# ---- block-max index of the toxicity examples
+
+
+def test_blocks_that_cannot_reach_the_kth_cosine_are_skipped(monkeypatch):
+    draw = np.random.default_rng(6)
+    monkeypatch.setattr(toxicity, "DENSE", 20)
+    words = ["".join(chr(97 + int(x)) for x in draw.integers(0, 26, 6)) for _ in range(400)]
+    index = toxicity.ExampleIndex({w: float(1 + k % 5) for k, w in enumerate(dict.fromkeys(words))})
+    texts = []
+    for k in range(900):
+        family = 40 + 9 * (k % 40)
+        texts.append(" ".join(words[int(j)] for j in [*draw.integers(0, 40, 4), *draw.integers(family, family + 9, 12)]))
+    vectors = index.vectors(texts)
+    index.add([(k, k % 2, at, w) for k, (at, w, _) in enumerate(vectors)])
+    dense = np.zeros((len(index.ids), len(index.values)))
+    for row, (a, b) in enumerate(zip(index.begins[:-1], index.begins[1:], strict=True)):
+        dense[row, index.columns[a:b]] = index.weights[a:b]
+    asked = [(at, w) for at, w, _ in vectors[:200]]
+    for leave in (None, list(range(200))):
+        index.read = index.there = 0
+        for j, ((at, w), (near, cosines)) in enumerate(zip(asked, index.nearest_of(asked, leave=leave), strict=True)):
+            whole = dense[:, at] @ w
+            if leave:
+                whole[index.ids == j] = 0
+            want = np.lexsort((np.arange(len(whole)), -np.round(whole, 12)))[:toxicity.NEIGHBOURS]
+            want = want[whole[want] > 0]
+            assert near.tolist() == want.tolist() and np.allclose(cosines, whole[want])
+        assert 0 < index.read < 0.5 * index.there
