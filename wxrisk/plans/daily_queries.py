@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wxrisk import constants as K
 from wxrisk.functions import risk
+from wxrisk.functions.scalar import steady
 from wxrisk.operators import alerts as A
 from wxrisk.operators import cleaning as C
 from wxrisk.operators import features as FE
@@ -21,7 +22,7 @@ from wxrisk.operators import serving, views
 from wxrisk.operators.series import in_blocks
 from wxrisk.plans import offline
 from wxrisk.plans import sql_inputs as Q
-from wxrisk.plans.registry import plain_round_sql, query
+from wxrisk.plans.registry import plain_round_sql, query, steady_sql
 from wxrisk.session import TableStages
 from wxrisk.sinks.files import history_records
 from wxrisk.sources import fixtures as X
@@ -629,6 +630,53 @@ def sequence_scaling(spark, sf_dir):
     return MO.step_statistics(SE.training_sequences(labelled, inputs=["MaxTemp_2m", "Precip"]))
 
 
+# All inputs: each sequence as two sums over its steps and inputs, weighted by the step and by the input.
+_SEQUENCE_INPUTS = _INPUTS  # the tables have no coordinates
+_Z = _FEATURES + f""", z as (select {DD}, cast(coalesce(heatwave, false) as int) as label, row_number() over (partition by "District" order by "Date") as rn,
+  count(*) over (partition by "District") as n, {', '.join(f'coalesce(cast("{c}" as double), 0e0) as "{c}"' for c in _SEQUENCE_INPUTS)} from features)"""
+
+
+def _digest_sql(start: str, end: str, least: int, extra: str) -> str:
+    total = " + ".join(f'"{c}"' for c in _SEQUENCE_INPUTS)
+    by_input = " + ".join(f'{i} * "{c}"' for i, c in enumerate(_SEQUENCE_INPUTS, 1))
+    return f"""with {_Z}, a as (select *, {total} as a, {by_input} as b from z), q as (select {DD}, label, rn, count(*) over w as steps,
+      sum(rn * a) over w - (min(rn) over w - 1) * sum(a) over w as by_step, sum(b) over w as by_input
+      from a window w as (partition by "District" order by "Date" rows between {start} and {end}))
+      select {DD}, {extra} cast(steps as int) as steps, {steady_sql('by_step', 2)} as by_step, {steady_sql('by_input', 2)} as by_input from q where rn > {least}"""
+
+
+def _digested(rows: DataFrame, *keep: str) -> DataFrame:
+    def total(weighted):
+        return F.aggregate(F.flatten(F.transform("sequence", weighted)), F.lit(0.0), lambda s, x: s + x)
+
+    by_step = total(lambda step, j: F.transform(step, lambda x: x * (j + 1)))
+    by_input = total(lambda step: F.transform(step, lambda x, i: x * (i + 1)))
+    return rows.select("District", "Date", *keep, F.size("sequence").alias("steps"), steady(by_step, 2).alias("by_step"), steady(by_input, 2).alias("by_input"))
+
+
+@query(_digest_sql("14 preceding", "1 preceding", 14, "label,"), doubles="by_step by_input", days="Date")
+def sequences_train_all(spark, sf_dir):
+    """Training sequences over every input of the feature table."""
+    table, _ = feature_rows(spark, sf_dir)
+    return _digested(SE.training_sequences(table), "label")
+
+
+@query(_digest_sql("13 preceding", "current row", 13, ""), doubles="by_step by_input", days="Date")
+def sequences_score_all(spark, sf_dir):
+    """Scoring sequences over every input of the feature table."""
+    table, _ = feature_rows(spark, sf_dir)
+    return _digested(SE.scoring_sequences(table))
+
+
+@query(f"""with {_Z}, u as (select *, greatest(0, least(n, rn + 14) - greatest(rn, 14)) as uses from z) """ + " union all ".join(
+    f"""select {i} as input, sum("{c}" * uses) / sum(uses) as mean, sqrt(greatest(0, sum("{c}" * "{c}" * uses) / sum(uses) - pow(sum("{c}" * uses) / sum(uses), 2))) as std from u"""
+    for i, c in enumerate(_SEQUENCE_INPUTS)), doubles="mean std")
+def sequence_scaling_all(spark, sf_dir):
+    """Mean and deviation of every input over all steps of all training sequences."""
+    table, _ = feature_rows(spark, sf_dir)
+    return MO.step_statistics(SE.training_sequences(table))
+
+
 _RANKED = Q.LABELS + f""", r as (select {DD}, {Q.flood_score_linear('coalesce("Precip", 0e0)', 'coalesce("RH_2m", 50e0)')}
   as prob, cast(flood_proxy as int) as label from labelled), g as (select prob, sum(label) as pos, count(*) - sum(label) as neg
   from r group by 1), a as (select *, sum(pos) over (order by prob desc) as tp, sum(neg) over (order by prob desc) as fp,
