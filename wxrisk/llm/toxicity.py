@@ -105,9 +105,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS
 
 
 def _small(batches, place: int):
-    """The batches in slices of about a megabyte of text, so that a task's lists stay short."""
+    """The batches in slices of about 256 KB of text, so that a task's lists stay short."""
     for batch in batches:
-        for a, b in common.chunks(batch.column(place), 1 << 20):
+        for a, b in common.chunks(batch.column(place), 1 << 18):
             yield batch.slice(a, b - a)
 
 
@@ -251,9 +251,11 @@ class ExampleIndex:
         steps = np.diff(at.astype(np.int32), prepend=np.int32(0))
         short = n.astype(np.min_scalar_type(int(n.max(initial=0))))
         self.short = (ids, labels, sizes, zlib.compress(steps.tobytes(), 1), zlib.compress(short.tobytes(), 1), short.dtype.str)
-        ends = np.append(0, np.cumsum(sizes))
-        each = [(at[a:b], n[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        return self.add([(int(i), int(y), a, self.weighed(a, m)) for i, y, (a, m) in zip(ids, labels, each, strict=True)])
+        weights = (1 + np.log(n)) * self.values[at]
+        opens = (np.cumsum(sizes) - sizes)[sizes > 0]
+        if len(opens):
+            weights /= np.repeat(np.sqrt(np.add.reduceat(weights * weights, opens)), sizes[sizes > 0])
+        return self._laid_out(ids, labels, sizes, at, weights)
 
     def __getstate__(self):
         return (self.idf, self.block, self.vocabulary, self.values[len(self.names):], self.short) if self.short else self.__dict__
@@ -269,13 +271,23 @@ class ExampleIndex:
 
     def add(self, examples: list[tuple[int, int, np.ndarray, np.ndarray]]) -> ExampleIndex:
         """Examples (id, label, columns, weights); like ones are put side by side, so that blocks differ."""
-        order = sorted((e for e in examples if len(e[2])), key=lambda e: (int(e[2][np.argmax(e[3])]), -float(e[3].max()), e[0]))
-        self.ids = np.array([e[0] for e in order], np.int64)
-        self.labels = np.array([e[1] for e in order], float)
-        column = np.concatenate([np.zeros(0, np.int64), *[e[2] for e in order]])
+        sizes = np.array([len(e[2]) for e in examples], np.int64)
+        at, weights = (np.concatenate([np.zeros(0), *[e[k] for e in examples]]) for k in (2, 3))
+        return self._laid_out(np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples]), sizes, at.astype(np.int64), weights)
+
+    def _laid_out(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, at: np.ndarray, weights: np.ndarray) -> ExampleIndex:
+        """The index over examples that lie one after the other; those without a column are left out."""
+        ends = np.cumsum(sizes)
+        held = np.flatnonzero(sizes > 0)
+        opens = (ends - sizes)[held]
+        most = np.maximum.reduceat(weights, opens) if len(held) else np.zeros(0)
+        leads = np.where(weights == np.repeat(most, sizes[held]), np.arange(len(weights)), len(weights))
+        lead = at[np.minimum.reduceat(leads, opens)] if len(held) else np.zeros(0, np.int64)
+        order = held[np.lexsort((ids[held], -most, lead))]
+        self.ids, self.labels, sizes, ends = ids[order].astype(np.int64), labels[order].astype(float), sizes[order], ends[order]
+        own = _spread(ends - sizes, ends)
+        column, self.weights = at[own], weights[own]
         self.columns = column.astype(np.int32)
-        self.weights = np.concatenate([np.zeros(0), *[e[3] for e in order]])
-        sizes = np.array([len(e[2]) for e in order], np.int64)
         self.begins = np.append(0, np.cumsum(sizes))
         row = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
         often = np.bincount(column, minlength=len(self.values))
@@ -464,7 +476,9 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Toxi
             raw = [vote(cosines, known.labels[found], base) if len(found) else None for found, cosines in near]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64()), batch.column(2)], ["raw", "toxic"])
 
+    shared.unpersist()
     votes = plain.mapInArrow(voted, "raw double, toxic int").where("raw is not null").toArrow()
+    filled.unpersist()
     ends, rates = rising(votes.column("raw").to_numpy(), votes.column("toxic").to_numpy().astype(float))
     stage.remove()
     return ToxicityModel(index, base, none_rate, ends, rates)
