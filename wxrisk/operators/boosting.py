@@ -81,7 +81,8 @@ def train_until_no_better(train: DataFrame, valid: DataFrame, inputs: list[str],
     while True:
         model, card = models.train_trees(train, inputs, rounds=budget, target=target, seed=seed)
         ranked = prefix_ranking(model, valid).select("round", "pos", "average_precision").orderBy("round").collect()  # a row per round
-        if not ranked or ranked[0]["pos"] == 0:
+        rankable = bool(ranked) and ranked[0]["pos"] > 0
+        if not rankable:
             best = budget
             break
         best, stopped = stopping_round([r["average_precision"] for r in ranked], patience)
@@ -90,5 +91,5 @@ def train_until_no_better(train: DataFrame, valid: DataFrame, inputs: list[str],
         budget = min(rounds, 2 * budget)
     if best < budget:
         model, card = models.train_trees(train, inputs, rounds=best, target=target, seed=seed)
-    card.parameters |= {"tried": budget, "kept": best, "budget": rounds, "patience": patience}
+    card.parameters |= {"tried": budget, "kept": best, "budget": rounds, "patience": patience, "rankable": rankable}
     return model, card

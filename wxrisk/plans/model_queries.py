@@ -110,11 +110,12 @@ def gbt_evaluation_checked(spark, sf_dir):
 
 @query(f"""with {_LABELLED} select 1000 as budget, 50 as patience, true as kept_in_budget, true as waited, count(*) > 0 as any_rows from l where held""")
 def gbt_rounds(spark, sf_dir):
-    """What early stopping tried and kept: the best prefix was followed by the whole patience, or the budget ended."""
-    tried, kept, budget, patience = (MO.read_card(spark, trees(spark, sf_dir)).parameters[k] for k in ("tried", "kept", "budget", "patience"))
+    """What early stopping tried and kept: the best prefix was followed by the whole patience, or the budget ended, or no held-out row is positive."""
+    told = MO.read_card(spark, trees(spark, sf_dir)).parameters
+    tried, kept, budget, patience = (told[k] for k in ("tried", "kept", "budget", "patience"))
     rows = gbt_evaluation(spark, sf_dir).agg((F.count("*") > 0).alias("any_rows"))
     return rows.select(F.lit(budget).alias("budget"), F.lit(patience).alias("patience"), F.lit(1 <= kept <= tried <= budget).alias("kept_in_budget"),
-                       F.lit(tried == budget or kept + patience <= tried).alias("waited"), "any_rows")
+                       F.lit(not told["rankable"] or tried == budget or kept + patience <= tried).alias("waited"), "any_rows")
 
 
 @query(f"with {_LABELLED} select {_DD}, actual, true as in_range, true as decided from l where rn >= 14", days="Date")
