@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wxrisk import constants as K
 from wxrisk.functions.scalar import wave
 from wxrisk.operators.series import BLOCK, BLOCK_ROWS, COPY, POSITION, Blocks, in_blocks
+from wxrisk.session import unstaged
 
 # How many rows the lags and rolling frames look back.
 LOOK_BACK = max(*K.LAG_DAYS, 6)
@@ -75,16 +76,17 @@ def wetness_in_units(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float
 
 
 def wetness_across(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
-                   name: str = "API") -> Blocks:
+                   name: str = "API", stage=unstaged) -> Blocks:
     """Adds to :func:`wetness_in_units` what earlier units leave behind. Overlap copies go.
 
     The value at the end of each unit goes through a table with one row per unit. A unit
-    reads as many earlier ones as it takes until their weight is zero in a double.
+    reads as many earlier ones as it takes until their weight is zero in a double. The rows are
+    read twice, for the ends and for the result; ``stage`` has them computed once.
     """
     rows, key = _unit_rows(block_rows, decay), blocks.key
     reach = math.ceil(ZERO_AT / (rows * -math.log(decay))) + 1
     piece = max(BLOCKS_PER_PIECE, reach)
-    own = blocks.own_rows().df.withColumn(_UNIT, F.floor(F.col(POSITION) / rows))
+    own = stage(blocks.own_rows().df.withColumn(_UNIT, F.floor(F.col(POSITION) / rows)), "in-units")
     ends = own.where(F.col(key).isNotNull()).groupBy(key, BLOCK, _UNIT).agg(F.max_by(name, POSITION).alias(_ENDS))
     home = F.floor(F.col(_UNIT) / piece)
     spread = ends.select("*", F.explode(F.sequence(home, F.floor((F.col(_UNIT) + reach) / piece))).alias("_piece"))
@@ -98,9 +100,9 @@ def wetness_across(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float =
 
 
 def wetness_index(blocks: Blocks, block_rows: int = BLOCK_ROWS, decay: float = K.WETNESS_DECAY,
-                  name: str = "API") -> Blocks:
+                  name: str = "API", stage=unstaged) -> Blocks:
     """Antecedent precipitation: today's rain plus ``decay`` (between 0 and 1) times yesterday's index."""
-    return wetness_across(wetness_in_units(blocks, block_rows, decay, name), block_rows, decay, name)
+    return wetness_across(wetness_in_units(blocks, block_rows, decay, name), block_rows, decay, name, stage)
 
 
 def look_back(blocks: Blocks, block_rows: int = BLOCK_ROWS, rain: str = "precip") -> Blocks:

@@ -90,7 +90,7 @@ def lags(spark, sf_dir):
 def api_index(spark, sf_dir):
     rows = daily(spark, sf_dir).select("District", "Date", "Precip")
     blocks = in_blocks(rows, "District", "Date", 0)
-    return FE.wetness_index(blocks).plain().drop("Precip")
+    return FE.wetness_index(blocks, stage=TableStages(spark, "wetness")).plain().drop("Precip")
 
 
 @query(f"""with {Q.DAILY}, n as (select {DD}, coalesce("Precip", 0e0) as v,
@@ -102,7 +102,7 @@ def api_index_long_memory(spark, sf_dir):
     """Slow decay over many short blocks, so nearly all of the index comes from earlier ones."""
     rows = daily(spark, sf_dir).select("District", "Date", "Precip")
     blocks = in_blocks(rows, "District", "Date", 0, block_rows=128)
-    return FE.wetness_index(blocks, 128, decay=0.99).plain().drop("Precip")
+    return FE.wetness_index(blocks, 128, decay=0.99, stage=TableStages(spark, "wetness")).plain().drop("Precip")
 
 
 @query(f"""with {Q.DAILY} select {DD}, cast(dayofyear("Date") as int) as doy,
