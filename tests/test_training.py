@@ -73,6 +73,23 @@ def test_training_stops_and_keeps_the_best(noisy):
     assert len(model.stages[-1].trees) == 3
 
 
+def test_the_best_prefix_is_cut_out_and_not_fitted_again(spark, noisy, monkeypatch):
+    train, valid, inputs = noisy.where("k < 400"), noisy.where("k >= 400"), ["a", "b", "c"]
+    fits, plain = [], models.train_trees
+    monkeypatch.setattr(models, "train_trees", lambda *a, **more: fits.append(more["rounds"]) or plain(*a, **more))
+    monkeypatch.setattr(boosting, "FIRST", 0)
+    model, card = boosting.train_until_no_better(train, valid, inputs, rounds=16, patience=1)
+    kept = card.parameters["kept"]
+    assert fits == [2, 6, 16][:len(fits)] and kept < fits[-1] == card.parameters["tried"] and card.parameters["maxIter"] == kept
+    path = scratch_path(spark, "cut")
+    models.save(spark, model, card, path)
+    stored, known = models.load(spark, path)
+    short, _ = plain(train, inputs, rounds=kept)
+    assert known == card and len(stored.stages[-1].trees) == kept == stored.stages[-1].getMaxIter()
+    told = [[(r.k, r.prediction_prob) for r in models.score(m, valid).orderBy("k").collect()] for m in (short, model, stored)]
+    assert told[0] == told[1] == told[2]
+
+
 def test_network_slopes():
     draw = np.random.default_rng(2)
     net = recurrent.Network(3, hidden=4, dense=5)
