@@ -90,6 +90,14 @@ def test_the_best_prefix_is_cut_out_and_not_fitted_again(spark, noisy, monkeypat
     assert told[0] == told[1] == told[2]
 
 
+def test_what_an_epoch_sends_to_the_driver(spark):
+    parts = spark.createDataFrame([(-1, 0.0, 2), (-1, 0.0, 6), (0, 4.0, 2), (0, 12.0, 6), (1, float("nan"), 2)], "place int, part double, rows long")
+    mean = recurrent.averaged(parts)
+    assert mean.columns == ["place", "mean"] and "rangepartitioning" not in mean._jdf.queryExecution().toString()
+    found = {r.place: r["mean"] for r in mean.collect()}
+    assert (found[-1], found[0]) == (8.0, 2.0) and np.isnan(found[1])
+
+
 def test_network_slopes():
     draw = np.random.default_rng(2)
     net = recurrent.Network(3, hidden=4, dense=5)
