@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +237,18 @@ def test_all_leaves_make_the_search_exact(spark):
 # ---- block-max index of the toxicity examples
 
 
+def test_each_text_is_spaced_once(monkeypatch):
+    index = toxicity.ExampleIndex({"bad": 2.0, "^good": 1.0}, vocabulary=np.sort(toxicity.common.word_hashes(pa.array(["good day"]))[0]), word_idf=np.ones(2))
+    index.add([(k, k % 2, *index.vector(t)) for k, t in enumerate(["good day", "bad day", "goodness"])])
+    model = toxicity.ToxicityModel(index, 0.5, 0.5, np.array([1.0]), np.array([0.5]))
+    texts = ["Bad DAY, good!", "goodness", "", "nothing known"]
+    alone = [model.score(t) for t in texts]
+    calls, plain = [], toxicity.spaced
+    monkeypatch.setattr(toxicity, "spaced", lambda text: calls.append(text) or plain(text))
+    assert model.scores(texts) == alone and calls == texts
+    assert alone[0][2] == ["bad", "day", "good"] and alone[1][2] == ["^good"] and alone[2] == alone[3] == (0.5, [], [])
+
+
 def test_blocks_that_cannot_reach_the_kth_cosine_are_skipped(monkeypatch):
     draw = np.random.default_rng(6)
     monkeypatch.setattr(toxicity, "DENSE", 20)

@@ -77,9 +77,12 @@ class TermFinder:
         return made
 
     def __call__(self, text: str) -> Counter:
+        return self.of_spaced(spaced(text))
+
+    def of_spaced(self, body: str) -> Counter:
+        """The same for a text that ``spaced`` has gone over."""
         if not self.columns:
             return Counter()
-        body = spaced(text)
         return Counter(column for last, (column, begins) in self.automaton.iter(body) if not begins or body[last + 1] != " ")
 
 
@@ -144,17 +147,18 @@ def chosen_terms(sample: DataFrame, stage) -> dict[str, float]:
     return {r["term"]: r["ratio"] for r in best}
 
 
-def word_columns(texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
+def word_columns(bodies: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
     """(text, column, count, place of the first one among the text's words) of the words that are known.
 
-    ``vocabulary`` has the sorted 64-bit hashes of the words. Ordered by text and column.
+    ``bodies`` are texts that ``spaced`` has gone over, ``vocabulary`` has the sorted 64-bit hashes of the words. Ordered
+    by text and column.
     """
-    if not len(texts) or not len(vocabulary):
+    if not len(bodies) or not len(vocabulary):
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    hashes, starts = common.word_hashes(pa.array([spaced(t) for t in texts]))
+    hashes, starts = common.word_hashes(pa.array(bodies))
     at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
     known = np.flatnonzero(vocabulary[at] == hashes)
-    text = np.repeat(np.arange(len(texts)), np.diff(starts))[known]
+    text = np.repeat(np.arange(len(bodies)), np.diff(starts))[known]
     keys, first, n = np.unique(text * len(vocabulary) + at[known], return_index=True, return_counts=True)
     text = keys // len(vocabulary)
     return text, keys % len(vocabulary), n, known[first] - starts[text]
@@ -181,11 +185,11 @@ def frequencies(docs: DataFrame, terms: list[str], vocabulary: np.ndarray) -> tu
     def rows(batches):
         counts, n, find = np.zeros(size, np.int64), 0, TermFinder(known)
         for batch in _small(batches, 0):
-            texts = batch.column(0).to_pylist()
-            n += len(texts)
-            for text in texts if known else []:
-                counts[list(find(text))] += 1
-            counts[len(known):] += np.bincount(word_columns(texts, shared.value)[1], minlength=size - len(known))
+            bodies = [spaced(t) for t in batch.column(0).to_pylist()]
+            n += len(bodies)
+            for body in bodies if known else []:
+                counts[list(find.of_spaced(body))] += 1
+            counts[len(known):] += np.bincount(word_columns(bodies, shared.value)[1], minlength=size - len(known))
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(counts[some], n), pa.int64())], ["k", "n"])
 
@@ -220,15 +224,15 @@ class ExampleIndex:
         self.short = None
         self.add([])
 
-    def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(columns, counts, places of the words or -1) of each text; empty if nothing of it is known."""
-        text, column, n, place = word_columns(texts, self.vocabulary)
+    def counted(self, bodies: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(columns, counts, places of the words or -1) of each spaced text; empty if nothing of it is known."""
+        text, column, n, place = word_columns(bodies, self.vocabulary)
         column = column + len(self.names)
-        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        ends = np.searchsorted(text, np.arange(len(bodies) + 1))
         made = []
-        for k, t in enumerate(texts):
+        for k, body in enumerate(bodies):
             own = slice(ends[k], ends[k + 1])
-            found = sorted(self.find(t).items())
+            found = sorted(self.find.of_spaced(body).items())
             at, m = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
             made.append((np.append(at, column[own]), np.append(m, n[own]), np.append(np.full(len(at), -1), place[own])))
         return made
@@ -240,7 +244,10 @@ class ExampleIndex:
 
     def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(columns, weights, places of the words) of each text's unit vector."""
-        return [(at, self.weighed(at, n), place) for at, n, place in self.counted(texts)]
+        return self.vectors_of_spaced([spaced(t) for t in texts])
+
+    def vectors_of_spaced(self, bodies: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        return [(at, self.weighed(at, n), place) for at, n, place in self.counted(bodies)]
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(columns, weights) of a text's unit vector; both empty if it has none of the words and terms."""
@@ -349,8 +356,8 @@ class ExampleIndex:
         begin, end = self.lists[at[slot < 0]], self.lists[at[slot < 0] + 1]
         lists, times = _spread(begin, end), end - begin
         text, weights = np.repeat(text[slot < 0], times), np.repeat(weights[slot < 0], times)
-        blocks = self.list_blocks[lists]
-        thin = np.bincount(text * len(self.edges) + blocks, weights * self.list_most[lists], size * len(self.edges))
+        cells = text * len(self.edges) + self.list_blocks[lists]
+        thin = np.bincount(cells, weights * self.list_most[lists], size * len(self.edges))
         bound = thick @ self.dense_most + thin.reshape(size, len(self.edges)).astype(np.float32)
         open_ones = bound > 0
         self.there += int(open_ones.sum())
@@ -371,12 +378,13 @@ class ExampleIndex:
             else:  # copying the most of the matrix costs more than it saves
                 rows, matrix = np.arange(count), self.dense
             # Lists are read where the own query wants the block, matrix rows where any of the batch does.
-            own = np.flatnonzero(wanted[text, blocks])
+            own = np.flatnonzero(wanted.ravel()[cells])
             opens, closes = self.list_begins[lists[own]], self.list_begins[lists[own] + 1]
             postings, times = _spread(opens, closes), closes - opens
             sums = np.bincount(np.repeat(text[own] * count, times) + self.rows[postings], np.repeat(weights[own], times) * self.rare[postings], size * count)
             sums = sums.reshape(size, count)
-            found = thick @ matrix.T + (sums if len(rows) == count else sums[:, rows])
+            found = thick @ matrix.T
+            found += sums if len(rows) == count else sums[:, rows]
             shown = wanted[:, rows // self.block]
             if leave is not None:
                 shown &= self.ids[rows] != leave[:, None]
@@ -419,14 +427,15 @@ class ToxicityModel:
 
     def scores(self, texts: list[str], why: bool = True) -> list[tuple[float, list[tuple[int, float, int]], list[str]]]:
         """(score, [(example id, cosine, label)], terms and words found) of each text; only the score unless ``why``."""
-        vectors = self.index.vectors(texts)
+        bodies = [spaced(t) for t in texts]
+        vectors = self.index.vectors_of_spaced(bodies)
         near = self.index.nearest_of([(at, weights) for at, weights, _ in vectors])
-        return [self._score(t, *v, *n, why) for t, v, n in zip(texts, vectors, near, strict=True)]
+        return [self._score(body, *v, *n, why) for body, v, n in zip(bodies, vectors, near, strict=True)]
 
     def score(self, text: str) -> tuple[float, list[tuple[int, float, int]], list[str]]:
         return self.scores([text])[0]
 
-    def _score(self, text, at, weights, places, near, cosines, why):
+    def _score(self, body, at, weights, places, near, cosines, why):
         if not len(near):
             return self.none_rate, [], []
         raw = vote(cosines, self.index.labels[near], self.base)
@@ -435,8 +444,9 @@ class ToxicityModel:
         if not why:
             return score, [], []
         evidence = [(int(self.index.ids[k]), float(c), int(self.index.labels[k])) for k, c in zip(near[:3], cosines[:3], strict=True)]
-        words, names = spaced(text).encode().split(), self.index.names
-        best = np.argsort(-weights, kind="stable")[:5]
+        words, names = body.encode().split(), self.index.names
+        high = np.flatnonzero(weights >= np.partition(weights, -5)[-5]) if len(weights) > 5 else np.arange(len(weights))
+        best = high[np.argsort(-weights[high], kind="stable")[:5]]
         return score, evidence, [names[at[k]] if places[k] < 0 else words[places[k]].decode() for k in best]
 
 
@@ -455,7 +465,7 @@ def fitted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Toxi
 
     def counts_of(batches):
         for batch in _small(batches, 1):
-            got = shared.value.counted(batch.column(1).to_pylist())
+            got = shared.value.counted([spaced(t) for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([a for a, _, _ in got], pa.list_(pa.int32())), pa.array([n for _, n, _ in got], pa.list_(pa.int32()))], ["doc_id", "toxic", "at", "n"])
 
     plain = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic")
